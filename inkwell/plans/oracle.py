@@ -126,3 +126,82 @@ def ngrams(t: str) -> str:
 
 def non_blank(x: str) -> str:
     return f"regexp_matches({x}, {q(C.NON_BLANK_RE)})"
+
+
+# --- naive Bayes (multinomial, Laplace), dense over labels ------------------------------
+
+def nb_fit(name: str, train: str, alpha: float = 1.0) -> str:
+    """CTEs ``{name}_priors(label, log_prior)`` and ``{name}_cond(feature, label, log_p)``.
+
+    ``train`` is a relation with columns (label, feature) - one row per feature
+    occurrence - and ``{name}_docs(label)`` must list one row per training document.
+    """
+    return f"""{name}_counts AS (SELECT label, feature, count(*) AS c FROM {train} GROUP BY label, feature),
+{name}_n AS (SELECT label, count(*) AS n FROM {name}_docs GROUP BY label),
+{name}_priors AS (SELECT label, ln(n) - ln(sum(n) OVER ()) AS log_prior FROM {name}_n),
+{name}_totals AS (SELECT label, sum(c) AS t FROM {name}_counts GROUP BY label),
+{name}_v AS (SELECT count(DISTINCT feature) AS v FROM {name}_counts),
+{name}_cond AS (
+  SELECT f.feature, p.label,
+         ln(coalesce(c.c, 0) + {alpha}) - ln(t.t + {alpha} * v.v) AS log_p
+  FROM (SELECT DISTINCT feature FROM {name}_counts) f
+  CROSS JOIN {name}_priors p
+  LEFT JOIN {name}_counts c ON c.feature = f.feature AND c.label = p.label
+  JOIN {name}_totals t ON t.label = p.label
+  CROSS JOIN {name}_v v)"""
+
+
+def nb_predict(name: str, model: str, feats: str) -> str:
+    """CTE ``{name}(id, label, prob)``; ``feats`` has (id, feature) per occurrence."""
+    return f"""{name}_cnt AS (SELECT id, feature, count(*) AS n FROM {feats} GROUP BY id, feature),
+{name}_ll AS (
+  SELECT q.id, m.label, sum(q.n * m.log_p) AS ll
+  FROM {name}_cnt q JOIN {model}_cond m USING (feature) GROUP BY q.id, m.label),
+{name}_sc AS (SELECT id, label, ll + log_prior AS score FROM {name}_ll JOIN {model}_priors USING (label)),
+{name}_mx AS (SELECT *, max(score) OVER (PARTITION BY id) AS m,
+                    row_number() OVER (PARTITION BY id ORDER BY score DESC, label) AS rk FROM {name}_sc),
+{name} AS (
+  SELECT id, max(CASE WHEN rk = 1 THEN label END) AS label, 1.0 / sum(exp(score - m)) AS prob
+  FROM {name}_mx GROUP BY id)"""
+
+
+def lang_norm(x: str) -> str:
+    return f"(' ' || trim(lower({rx_replace(f'coalesce({x}, {q(chr(39)*0)})', C.WS_RUN_RE, ' ')})) || ' ')"
+
+
+def trigram_rows(rel: str, key: str, text: str) -> str:
+    """SELECT key, feature over every character trigram of the normalized text."""
+    s = lang_norm(text)
+    return (f"SELECT {key}, unnest(list_transform(range(1, length(s) - 1), lambda i: substring(s, i, 3)))"
+            f" AS feature FROM (SELECT {key}, {s} AS s FROM {rel})")
+
+
+NOT_ARABIC_LETTER_RE = r"[^\x{0621}-\x{064A}]"
+NOT_LETTER_RE = r"[^\p{L}]"
+
+
+def is_arabic_script(x: str) -> str:
+    t = f"coalesce({x}, '')"
+    return (f"(length({rx_replace(t, NOT_LETTER_RE, '')}) > 0 AND "
+            f"length({rx_replace(t, NOT_ARABIC_LETTER_RE, '')}) * 2 > length({rx_replace(t, NOT_LETTER_RE, '')}))")
+
+
+LANGID_MODEL = f"""lid_docs AS (SELECT lang AS label FROM documents WHERE lang IS NOT NULL AND lang <> ''),
+lid_train AS (SELECT lang AS label, feature FROM ({trigram_rows(
+    "(SELECT * FROM documents WHERE lang IS NOT NULL AND lang <> '')", 'lang', 'text')})),
+""" + nb_fit("lid", "lid_train")
+
+
+def langid_detect(name: str, rel: str, id_col: str, text_col: str) -> str:
+    """CTE ``{name}({id_col}, language, language_prob)`` over relation ``rel`` (needs LANGID_MODEL)."""
+    feats = f"(SELECT {id_col} AS id, feature FROM ({trigram_rows(rel, id_col, text_col)}))"
+    return nb_predict(f"{name}_nb", "lid", feats) + f""",
+{name} AS (
+  SELECT r.{id_col},
+         CASE WHEN r.{text_col} IS NULL OR r.{text_col} = '' THEN ''
+              WHEN {is_arabic_script('r.' + text_col)} THEN 'ar'
+              ELSE coalesce(p.label, '') END AS language,
+         CASE WHEN r.{text_col} IS NULL OR r.{text_col} = '' THEN 0.0
+              WHEN {is_arabic_script('r.' + text_col)} THEN 1.0
+              ELSE coalesce(p.prob, 0.0) END AS language_prob
+  FROM {rel} r LEFT JOIN {name}_nb p ON p.id = r.{id_col})"""

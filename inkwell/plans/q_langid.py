@@ -1 +1,28 @@
-"""Queries registered in a later slice."""
+"""Language identification queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from inkwell.functions.text import first_line
+from inkwell.operators import langid
+from inkwell.plans import oracle as O
+from inkwell.plans.catalog import r6, register
+from inkwell.session import spread
+from inkwell.sources.tables import table
+
+
+def langid_model(spark, sf_dir):
+    return langid.train(spread(table(spark, sf_dir, "documents")))
+
+
+@register("detect_language", sql=O.with_(
+    O.LANGID_MODEL,
+    "heads AS (SELECT doc_id, split_part(text, chr(10), 1) AS head FROM documents)",
+    O.langid_detect("det", "heads", "doc_id", "head"),
+) + "SELECT doc_id, language, round(language_prob, 6) AS language_prob FROM det")
+def q_detect_language(spark, sf_dir):
+    """Language of every document's headline, model trained on the whole labelled texts."""
+    heads = spread(table(spark, sf_dir, "documents")).select("doc_id", first_line(F.col("text")).alias("head"))
+    out = langid.detect(heads, "doc_id", "head", langid_model(spark, sf_dir))
+    return out.select("doc_id", "language", r6("language_prob").alias("language_prob"))
