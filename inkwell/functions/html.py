@@ -31,7 +31,7 @@ META_IMAGE_RE = r"""(?is)<meta\s[^>]*?property\s*=\s*(?:"og:image"|'og:image')[^
 CONTENT_DQ_RE = r"""(?is)\scontent\s*=\s*"([^"]*)\""""
 CONTENT_SQ_RE = r"""(?is)\scontent\s*=\s*'([^']*)'"""
 HAS_CONTENT_RE = r"""(?is)\scontent\s*="""
-EDGE_WS_RE = rf"^[{C.WS}]+|[{C.WS}]+$"
+EDGE_WS_RE = rf"^[{C.WS}]+|[{C.WS}]+\z"
 
 
 def _c(col) -> Column:

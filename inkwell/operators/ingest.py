@@ -73,3 +73,26 @@ def feed_to_articles(feed: DataFrame, pages: DataFrame, model, languages=tuple(C
     detected = detect_headline_language(feed, model)
     selected = select_rows(detected, languages, quota)
     return to_article(lookup_pages(selected, pages))
+
+
+def api_to_article(rows: DataFrame, model) -> DataFrame:
+    """API rows -> articles with per-field defaults; language of description (else title),
+    falling back to the request's default ('ar' for country 'ae', else 'en')."""
+    rid = F.concat_ws(":", *[F.col(c).cast("string") for c in ("country", "category", "page", "pos")
+                             if c in rows.columns])
+    base = rows.withColumn("_rid", rid).withColumn("_lt", F.coalesce(
+        F.nullif(F.col("description"), F.lit("")), F.nullif(F.col("title"), F.lit("")), F.lit("")))
+    det = langid.detect(base, "_rid", "_lt", model, out_col="_lang")
+    default_lang = F.when(F.col("country") != F.lit("ae"), F.lit("en")).otherwise(F.lit("ar"))
+    empty_source = F.struct(F.lit(None).cast("string").alias("id"), F.lit(None).cast("string").alias("name"))
+    out = det.select(
+        F.coalesce(F.col("source"), empty_source).alias("source"),
+        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("author", "title", "description", "url",
+                                                              "urlToImage")],
+        F.coalesce(F.col("publishedAt"), fields.fetched_at()).alias("publishedAt"),
+        F.coalesce(F.col("content"), F.lit("")).alias("content"),
+        F.when(F.col("_lang") != F.lit(""), F.col("_lang")).otherwise(default_lang).alias("language"),
+        fields.fetched_at().alias("fetched_at"),
+        "country", "category",
+    )
+    return out

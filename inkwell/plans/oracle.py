@@ -205,3 +205,86 @@ def langid_detect(name: str, rel: str, id_col: str, text_col: str) -> str:
               WHEN {is_arabic_script('r.' + text_col)} THEN 1.0
               ELSE coalesce(p.prob, 0.0) END AS language_prob
   FROM {rel} r LEFT JOIN {name}_nb p ON p.id = r.{id_col})"""
+
+
+# --- HTML, URL and time fields ------------------------------------------------------------
+
+def _html():
+    from inkwell.functions import html as H
+    return H
+
+
+def _fields():
+    from inkwell.functions import fields as FF
+    return FF
+
+
+def unescape(x: str) -> str:
+    for ref, ch in C.HTML_ENTITIES:
+        x = f"replace({x}, {q(ref)}, {q(ch)})"
+    return x
+
+
+def visible(h: str) -> str:
+    x = f"coalesce({h}, '')"
+    for pat in _html().INVISIBLE_RE:
+        x = rx_replace(x, pat, _html().SEPARATOR)
+    return x
+
+
+def text_of(x: str) -> str:
+    H = _html()
+    pieces = f"string_split_regex({x}, {q(H.TAG_SPLIT_RE)})"
+    stripped = f"list_transform({pieces}, lambda p: {rx_replace(unescape('p'), H.EDGE_WS_RE, '')})"
+    return f"array_to_string(list_filter({stripped}, lambda p: p <> ''), ' ')"
+
+
+def has_article(h: str) -> str:
+    return f"regexp_matches({visible(h)}, {q(_html().HAS_ARTICLE_RE)})"
+
+
+def article_text(h: str) -> str:
+    return text_of(f"regexp_extract({visible(h)}, {q(_html().ARTICLE_RE)}, 1)")
+
+
+def paragraph_text(h: str) -> str:
+    H = _html()
+    parts = f"string_split_regex({visible(h)}, {q(H.PARAGRAPH_OPEN_RE)})[2:]"
+    cut = f"regexp_replace(p, {q('(?is)(?:' + H.PARAGRAPH_END_RE + ').*')}, '')"
+    return f"array_to_string(list_transform({parts}, lambda p: {_text_of_var(cut)}), ' ')"
+
+
+def _text_of_var(x: str) -> str:
+    # same as text_of, with its own lambda variable name (no shadowing of 'p')
+    H = _html()
+    pieces = f"string_split_regex({x}, {q(H.TAG_SPLIT_RE)})"
+    un = unescape("pc")
+    stripped = f"list_transform({pieces}, lambda pc: {rx_replace(un, H.EDGE_WS_RE, '')})"
+    return f"array_to_string(list_filter({stripped}, lambda pc: pc <> ''), ' ')"
+
+
+def main_text(h: str) -> str:
+    return f"CASE WHEN {has_article(h)} THEN {article_text(h)} ELSE {paragraph_text(h)} END"
+
+
+def main_image(h: str) -> str:
+    H = _html()
+    meta = f"regexp_extract({visible(h)}, {q(H.META_IMAGE_RE)}, 0)"
+    val = (f"CASE WHEN regexp_matches({meta}, {q(H.CONTENT_DQ_RE)}) THEN regexp_extract({meta}, {q(H.CONTENT_DQ_RE)}, 1)"
+           f" WHEN regexp_matches({meta}, {q(H.CONTENT_SQ_RE)}) THEN regexp_extract({meta}, {q(H.CONTENT_SQ_RE)}, 1)"
+           f" ELSE '' END")
+    return unescape(val)
+
+
+def source_host(u: str) -> str:
+    FF = _fields()
+    x = f"regexp_replace(regexp_replace({u}, {q(FF.URL_UNSAFE_RE)}, '', 'g'), {q(FF.URL_LEADING_RE)}, '')"
+    h = f"regexp_extract({x}, {q(FF.NETLOC_RE)}, 1)"
+    return (f"CASE WHEN (instr({h}, '[') > 0) <> (instr({h}, ']') > 0) THEN NULL "
+            f"ELSE replace({h}, 'www.', '') END")
+
+
+def publish_time(ts: str) -> str:
+    FF = _fields()
+    return (f"CASE WHEN regexp_matches({ts}, {q(FF.PUBLISH_RE)}) THEN "
+            f"coalesce(strftime(try_strptime({ts}, '%Y%m%d%H%M'), '%Y-%m-%dT%H:%M:%S'), '') ELSE '' END")

@@ -102,16 +102,21 @@ def write_api_envelopes(articles: DataFrame, root: str, page_col: str = "page")
                              ["source", *ARTICLE_FIELDS]]).alias("a")))).alias("_arts"))
            .select("country", "category", page_col, "status",
                    F.transform("_arts", lambda x: x["a"]).alias("articles")))
+    # JSON lines, one response per line; read back with ``read_api(..., json_lines=True)``
     env.write.mode("overwrite").partitionBy("country", "category").json(root)
 
 
-def read_api(spark: SparkSession, root: str) -> DataFrame:
+def read_api(spark: SparkSession, root: str, extra_fields=(), json_lines: bool = False) -> DataFrame:
     """One row per article of every response file, tagged with country and category.
 
     A response without ``articles`` contributes no rows; an unparsable file is a
-    corrupt record and is skipped; the rest are read.
+    corrupt record and is skipped; the rest are read. Files hold one pretty-printed
+    response each (as fetched), or one response per line with ``json_lines``.
     """
-    env = (spark.read.schema(API_ENVELOPE).option("multiLine", True)
+    schema = T.StructType(list(API_ENVELOPE.fields))
+    for name, dtype in extra_fields:
+        schema = schema.add(name, dtype)
+    env = (spark.read.schema(schema).option("multiLine", not json_lines)
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
            .option("basePath", root).json(root))
     env = env.where(F.col("_corrupt").isNull())
