@@ -288,3 +288,28 @@ def publish_time(ts: str) -> str:
     FF = _fields()
     return (f"CASE WHEN regexp_matches({ts}, {q(FF.PUBLISH_RE)}) THEN "
             f"coalesce(strftime(try_strptime({ts}, '%Y%m%d%H%M'), '%Y-%m-%dT%H:%M:%S'), '') ELSE '' END")
+
+
+# --- TF-IDF ----------------------------------------------------------------------------------
+
+CLEANED = ARTICLES + f""",
+cleaned AS (
+  SELECT doc_id, coalesce(language, 'en') AS language, title, description, content,
+         {cleaned_text(first_non_empty('content', 'description'), "coalesce(language, 'en')")} AS cleaned_text
+  FROM articles)"""
+
+
+def tfidf_ctes(src: str = "cleaned", max_features: int = C.MAX_FEATURES) -> str:
+    """CTEs tf(doc_id, term, tf), stats(term, df, cf), vocab(term, term_id, cf, df, idf), weights(...)."""
+    return f"""toks AS (SELECT doc_id, {terms('cleaned_text')} AS t FROM {src}),
+grams AS (SELECT doc_id, unnest({ngrams('t')}) AS term FROM toks),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM grams GROUP BY doc_id, term),
+stats AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM tf GROUP BY term),
+top AS (SELECT term, cf, df FROM stats ORDER BY cf DESC, term LIMIT {max_features}),
+vocab AS (
+  SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS term_id, cf, df,
+         ln((1.0 + n.n) / (1.0 + df)) + 1.0 AS idf
+  FROM top CROSS JOIN (SELECT count(*) AS n FROM {src}) n),
+weighted AS (SELECT tf.doc_id, v.term_id, v.term, tf.tf * v.idf AS w FROM tf JOIN vocab v USING (term)),
+weights AS (
+  SELECT doc_id, term_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM weighted)"""
