@@ -313,3 +313,65 @@ vocab AS (
 weighted AS (SELECT tf.doc_id, v.term_id, v.term, tf.tf * v.idf AS w FROM tf JOIN vocab v USING (term)),
 weights AS (
   SELECT doc_id, term_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM weighted)"""
+
+
+# --- labelled data, split, classifier, metrics --------------------------------------------------
+
+def model_ctes(p: str, task: str, seed: int = C.SPLIT_SEED, cuts=C.SPLIT_CUTS) -> str:
+    """CTEs for one task, all prefixed ``p``: {p}_labelled, {p}_splits, {p}_nbm_*, {p}_pred, {p}_base.
+
+    Needs CLEANED. {p}_pred / {p}_base: (doc_id, label, prediction[, prob]) on the test split.
+    """
+    return f"""{p}_labelled AS (
+  SELECT c.doc_id, c.language, c.cleaned_text, CAST(l.{task} AS VARCHAR) AS label
+  FROM cleaned c JOIN labels l USING (doc_id)
+  WHERE c.cleaned_text IS NOT NULL AND c.cleaned_text <> '' AND l.{task} IS NOT NULL),
+{p}_n AS (SELECT count(*) AS n FROM {p}_labelled),
+{p}_splits AS (
+  SELECT r.*, CASE WHEN r.rank < floor({cuts[0]}::DOUBLE * n.n) THEN 'train'
+                   WHEN r.rank < floor({cuts[1]}::DOUBLE * n.n) THEN 'val' ELSE 'test' END AS split
+  FROM (SELECT *, CAST(row_number() OVER (ORDER BY md5('{seed}:' || CAST(doc_id AS VARCHAR)), doc_id) - 1
+                       AS BIGINT) AS rank
+        FROM {p}_labelled) r CROSS JOIN {p}_n n),
+{p}_nbm_docs AS (SELECT label FROM {p}_splits WHERE split = 'train'),
+{p}_nbm_train AS (SELECT label, unnest({terms('cleaned_text')}) AS feature FROM {p}_splits WHERE split = 'train'),
+{nb_fit(p + '_nbm', p + '_nbm_train')},
+{p}_test AS (SELECT doc_id, label, cleaned_text FROM {p}_splits WHERE split = 'test'),
+{nb_predict(p + '_pr', p + '_nbm', f"(SELECT doc_id AS id, unnest({terms('cleaned_text')}) AS feature FROM {p}_test)")},
+{p}_prior_best AS (
+  SELECT (SELECT label FROM {p}_nbm_priors ORDER BY log_prior DESC, label LIMIT 1) AS label,
+         1.0 / sum(exp(log_prior - (SELECT max(log_prior) FROM {p}_nbm_priors))) AS prob
+  FROM {p}_nbm_priors),
+{p}_pred AS (
+  SELECT t.doc_id, t.label, coalesce(r.label, b.label) AS prediction, coalesce(r.prob, b.prob) AS prob
+  FROM {p}_test t LEFT JOIN {p}_pr r ON r.id = t.doc_id CROSS JOIN {p}_prior_best b),
+{p}_major AS (
+  SELECT label AS prediction FROM {p}_splits WHERE split = 'train'
+  GROUP BY label ORDER BY count(*) DESC, label LIMIT 1),
+{p}_base AS (SELECT t.doc_id, t.label, m.prediction FROM {p}_test t CROSS JOIN {p}_major m)"""
+
+
+def per_class_ctes(p: str, pred: str) -> str:
+    """CTEs {p}_cm(label, prediction, n) and {p}_pc(class, tp, fp, fn, support, precision, recall, f1)."""
+    return f"""{p}_cm AS (SELECT label, prediction, count(*) AS n FROM {pred} GROUP BY label, prediction),
+{p}_ts AS (SELECT label AS class, CAST(sum(n) AS DOUBLE) AS support,
+                  CAST(sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS DOUBLE) AS tp
+           FROM {p}_cm GROUP BY label),
+{p}_ps AS (SELECT prediction AS class, CAST(sum(n) AS DOUBLE) AS predicted FROM {p}_cm GROUP BY prediction),
+{p}_pc0 AS (
+  SELECT coalesce(t.class, s.class) AS class, coalesce(t.tp, 0) AS tp, coalesce(t.support, 0) AS support,
+         coalesce(s.predicted, 0) AS predicted
+  FROM {p}_ts t FULL OUTER JOIN {p}_ps s ON t.class = s.class),
+{p}_pc AS (
+  SELECT class, tp, predicted - tp AS fp, support - tp AS fn, support,
+         CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+         CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall,
+         CASE WHEN 2 * tp + (predicted - tp) + (support - tp) > 0
+              THEN 2.0 * tp / (2.0 * tp + (predicted - tp) + (support - tp)) ELSE 0.0 END AS f1
+  FROM {p}_pc0)"""
+
+
+def summary_select(p: str) -> str:
+    return f"""SELECT CASE WHEN sum(support) > 0 THEN sum(tp) / sum(support) ELSE 0.0 END AS accuracy,
+       CASE WHEN sum(support) > 0 THEN sum(f1 * support) / sum(support) ELSE 0.0 END AS weighted_f1,
+       avg(f1) AS macro_f1, CAST(sum(support) AS BIGINT) AS n FROM {p}_pc"""

@@ -1 +1,204 @@
-"""Queries registered in a later slice."""
+"""Label, split, classifier and metric queries."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from inkwell import constants as C
+from inkwell.operators import evaluate as EV
+from inkwell.operators import models as M
+from inkwell.operators.naive_bayes import NBModel
+from inkwell.plans import oracle as O
+from inkwell.plans.catalog import big, r6, register
+from inkwell.plans.q_tfidf import cleaned_docs
+from inkwell.session import cut_lineage, scratch_path, spread
+from inkwell.sources.tables import table
+
+TASK = "quality"
+
+
+def labelled(spark, sf_dir, task: str = TASK) -> DataFrame:
+    """Cleaned documents with the task's label (text non-empty, label valid)."""
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col(task).cast("string").alias("label"))
+    return M.labelled_rows(cleaned_docs(spark, sf_dir).join(lab, "doc_id"))
+
+
+@dataclass
+class TaskRun:
+    splits: DataFrame
+    model: NBModel
+    pred: DataFrame      # test rows: doc_id, label, prediction, prob
+    base: DataFrame      # test rows: doc_id, label, prediction (majority baseline)
+
+
+def run_task(spark, sf_dir, task: str = TASK) -> TaskRun:
+    # the labelled table feeds a count, the split, training and scoring: cut lineage once
+    lab = cut_lineage(spread(labelled(spark, sf_dir, task)))
+    splits = cut_lineage(M.split(lab))
+    train = splits.where(F.col("split") == "train")
+    test = splits.where(F.col("split") == "test")
+    model = M.train_nb(train)
+    pred = test.select("doc_id", "label").join(M.predict_nb(test, model), "doc_id")
+    base = test.select("doc_id", "label").join(F.broadcast(M.majority_model(train)))
+    return TaskRun(splits, model, pred, base)
+
+
+_BASE = O.with_(O.CLEANED, O.model_ctes("t", TASK))
+
+
+@register("labelled_rows", sql=_BASE + "SELECT doc_id, label FROM t_labelled")
+def q_labelled_rows(spark, sf_dir):
+    return labelled(spark, sf_dir).select("doc_id", "label")
+
+
+@register("filter_classifiable", sql=O.with_(O.CLEANED) + f"""
+SELECT doc_id, language FROM cleaned
+WHERE language = 'en' AND cleaned_text IS NOT NULL AND {O.non_blank('cleaned_text')}""")
+def q_filter_classifiable(spark, sf_dir):
+    return M.classifiable(cleaned_docs(spark, sf_dir), "en").select("doc_id", "language")
+
+
+@register("label_encode", sql=_BASE + """
+SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS id
+FROM (SELECT DISTINCT label FROM t_labelled)""")
+def q_label_encode(spark, sf_dir):
+    return M.label_map(labelled(spark, sf_dir))
+
+
+@register("split_data", sql=_BASE + "SELECT doc_id, rank, split FROM t_splits")
+def q_split_data(spark, sf_dir):
+    return M.split(labelled(spark, sf_dir)).select("doc_id", "rank", "split")
+
+
+@register("split_sizes", sql=_BASE + "SELECT split, count(*) AS n FROM t_splits GROUP BY split")
+def q_split_sizes(spark, sf_dir):
+    return M.split(labelled(spark, sf_dir)).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("nb_train", sql=_BASE + "SELECT label, feature, round(log_p, 6) AS log_p FROM t_nbm_cond")
+def q_nb_train(spark, sf_dir):
+    return run_task(spark, sf_dir).model.cond.select("label", "feature", r6("log_p").alias("log_p"))
+
+
+@register("nb_priors", sql=_BASE + "SELECT label, round(log_prior, 6) AS log_prior FROM t_nbm_priors")
+def q_nb_priors(spark, sf_dir):
+    return run_task(spark, sf_dir).model.priors.select("label", r6("log_prior").alias("log_prior"))
+
+
+@register("nb_predict", sql=_BASE + "SELECT doc_id, label, prediction, round(prob, 6) AS prob FROM t_pred")
+def q_nb_predict(spark, sf_dir):
+    return run_task(spark, sf_dir).pred.select("doc_id", "label", "prediction", r6("prob").alias("prob"))
+
+
+@register("nb_model_roundtrip", sql=_BASE + "SELECT doc_id, prediction FROM t_pred")
+def q_nb_model_roundtrip(spark, sf_dir):
+    """Model tables written to Parquet, read back, used to score the test split."""
+    run = run_task(spark, sf_dir)
+    path = scratch_path(spark, "nb-model")
+    M.save_model(run.model, path)
+    model = M.load_model(spark, path)
+    test = run.splits.where(F.col("split") == "test")
+    return M.predict_nb(test, model).select("doc_id", "prediction")
+
+
+_EVAL = _BASE.rstrip() + ",\n" + O.per_class_ctes("e", "t_pred") + "\n"
+
+
+@register("confusion_matrix", sql=_EVAL + "SELECT label, prediction, n FROM e_cm")
+def q_confusion_matrix(spark, sf_dir):
+    return EV.confusion(run_task(spark, sf_dir).pred)
+
+
+@register("accuracy", sql=_BASE + """
+SELECT round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM t_pred""")
+def q_accuracy(spark, sf_dir):
+    return EV.accuracy(run_task(spark, sf_dir).pred).select(r6("accuracy").alias("accuracy"))
+
+
+@register("weighted_f1", sql=_EVAL + """
+SELECT round(sum(f1 * support) / sum(support), 6) AS weighted_f1 FROM e_pc""")
+def q_weighted_f1(spark, sf_dir):
+    return EV.summary(run_task(spark, sf_dir).pred).select(r6("weighted_f1").alias("weighted_f1"))
+
+
+@register("classification_report", sql=_EVAL + """
+SELECT class AS name, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+       CAST(support AS BIGINT) AS support FROM e_pc
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM e_pc
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+       CAST(sum(support) AS BIGINT) FROM e_pc
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+       round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+       CAST(sum(support) AS BIGINT) FROM e_pc""")
+def q_classification_report(spark, sf_dir):
+    r = EV.report(run_task(spark, sf_dir).pred)
+    return r.select("name", *[r6(c).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+def _compare_sql(tasks) -> str:
+    ctes = [O.CLEANED]
+    sels = []
+    for i, task in enumerate(tasks):
+        p = f"k{i}"
+        ctes.append(O.model_ctes(p, task))
+        ctes.append(O.per_class_ctes(f"{p}o", f"{p}_base"))
+        ctes.append(O.per_class_ctes(f"{p}f", f"{p}_pred"))
+        for model, q in (("original", f"{p}o"), ("finetuned", f"{p}f")):
+            sels.append(f"SELECT '{task}' AS task, '{model}' AS model, round(accuracy, 6) AS accuracy, "
+                        f"round(weighted_f1, 6) AS weighted_f1, round(macro_f1, 6) AS macro_f1, n "
+                        f"FROM ({O.summary_select(q)})")
+    return O.with_(*ctes) + "\nUNION ALL\n".join(sels)
+
+
+def compare(spark, sf_dir, tasks) -> DataFrame:
+    out = None
+    for task in tasks:
+        run = run_task(spark, sf_dir, task)
+        for model, pred in (("original", run.base), ("finetuned", run.pred)):
+            s = EV.summary(pred).select(F.lit(task).alias("task"), F.lit(model).alias("model"),
+                                        *[r6(c).alias(c) for c in ("accuracy", "weighted_f1", "macro_f1")], "n")
+            out = s if out is None else out.unionByName(s)
+    return out
+
+
+@register("model_comparison", sql=_compare_sql([TASK]))
+def q_model_comparison(spark, sf_dir):
+    """Baseline (majority label, the untuned model) against the trained classifier on the test split."""
+    return compare(spark, sf_dir, [TASK])
+
+
+@register("train_evaluate", sql=_compare_sql(["quality", "toxic"]))
+def q_train_evaluate(spark, sf_dir):
+    """Split -> baseline -> train -> score again, for both label tasks."""
+    return compare(spark, sf_dir, ["quality", "toxic"])
+
+
+@register("metrics_record", sql="SELECT 'en' AS language, 'quality' AS task, 'naive_bayes' AS model_name, "
+          f"CAST({C.EPOCHS} AS BIGINT) AS epochs, CAST({C.BATCH_SIZE} AS BIGINT) AS batch_size, "
+          "o.accuracy AS original_accuracy, o.weighted_f1 AS original_f1, "
+          "f.accuracy AS finetuned_accuracy, f.weighted_f1 AS finetuned_f1 "
+          "FROM (" + _compare_sql([TASK]) + ") o, (" + _compare_sql([TASK]) + ") f "
+          "WHERE o.model = 'original' AND f.model = 'finetuned'")
+def q_metrics_record(spark, sf_dir):
+    """Nested metrics record written as JSON partitioned by (language, task), read back and flattened."""
+    c = compare(spark, sf_dir, [TASK])
+    o = c.where(F.col("model") == "original").select(F.struct("accuracy", F.col("weighted_f1").alias("f1"))
+                                                      .alias("original_model"))
+    f = c.where(F.col("model") == "finetuned").select(F.struct("accuracy", F.col("weighted_f1").alias("f1"))
+                                                       .alias("finetuned_model"))
+    rec = o.join(f).select(  # one row each
+        "original_model", "finetuned_model", F.lit("en").alias("language"), F.lit(TASK).alias("task"),
+        F.lit("naive_bayes").alias("model_name"),
+        F.struct(F.lit(C.EPOCHS).alias("epochs"), F.lit(C.BATCH_SIZE).alias("batch_size")).alias("training_params"))
+    path = scratch_path(spark, "metrics")
+    rec.write.mode("overwrite").partitionBy("language", "task").json(path)
+    back = spark.read.json(path)
+    return back.select("language", "task", "model_name",
+                       big("training_params.epochs").alias("epochs"), big("training_params.batch_size").alias("batch_size"),
+                       F.col("original_model.accuracy").alias("original_accuracy"),
+                       F.col("original_model.f1").alias("original_f1"),
+                       F.col("finetuned_model.accuracy").alias("finetuned_accuracy"),
+                       F.col("finetuned_model.f1").alias("finetuned_f1"))
