@@ -44,4 +44,4 @@ def load_all() -> None:
                                q_scoring)
 
 
-FLAGSHIP = "clean_articles"
+FLAGSHIP = "corpus_summary"

@@ -375,3 +375,91 @@ def summary_select(p: str) -> str:
     return f"""SELECT CASE WHEN sum(support) > 0 THEN sum(tp) / sum(support) ELSE 0.0 END AS accuracy,
        CASE WHEN sum(support) > 0 THEN sum(f1 * support) / sum(support) ELSE 0.0 END AS weighted_f1,
        avg(f1) AS macro_f1, CAST(sum(support) AS BIGINT) AS n FROM {p}_pc"""
+
+
+# --- scoring --------------------------------------------------------------------------------
+
+def nb_fit_grouped(n: str, train: str, docs: str, alpha: float = 1.0) -> str:
+    """Per-group model: ``train(grp, label, feature)``, ``docs(grp, label)`` -> {n}_priors, {n}_cond."""
+    return f"""{n}_counts AS (SELECT grp, label, feature, count(*) AS c FROM {train} GROUP BY grp, label, feature),
+{n}_nd AS (SELECT grp, label, count(*) AS n FROM {docs} GROUP BY grp, label),
+{n}_priors AS (SELECT grp, label, ln(n) - ln(sum(n) OVER (PARTITION BY grp)) AS log_prior FROM {n}_nd),
+{n}_totals AS (SELECT grp, label, sum(c) AS t FROM {n}_counts GROUP BY grp, label),
+{n}_v AS (SELECT grp, count(DISTINCT feature) AS v FROM {n}_counts GROUP BY grp),
+{n}_cond AS (
+  SELECT f.grp, f.feature, p.label, ln(coalesce(c.c, 0) + {alpha}) - ln(t.t + {alpha} * v.v) AS log_p
+  FROM (SELECT DISTINCT grp, feature FROM {n}_counts) f
+  JOIN {n}_priors p ON p.grp = f.grp
+  LEFT JOIN {n}_counts c ON c.grp = f.grp AND c.feature = f.feature AND c.label = p.label
+  JOIN {n}_totals t ON t.grp = p.grp AND t.label = p.label
+  JOIN {n}_v v ON v.grp = f.grp)"""
+
+
+def nb_predict_grouped(n: str, model: str, rows: str, text: str) -> str:
+    """{n}(id, prediction, prob) for ``rows(id, grp, {text})``; rows without shared features get the
+    group's prior choice; rows of a group without a model are absent."""
+    return f"""{n}_f AS (SELECT id, grp, unnest({terms(text)}) AS feature FROM {rows}),
+{n}_cnt AS (SELECT id, grp, feature, count(*) AS n FROM {n}_f GROUP BY id, grp, feature),
+{n}_ll AS (SELECT q.id, q.grp, m.label, sum(q.n * m.log_p) AS ll
+           FROM {n}_cnt q JOIN {model}_cond m ON m.grp = q.grp AND m.feature = q.feature
+           GROUP BY q.id, q.grp, m.label),
+{n}_sc AS (SELECT id, l.label, ll + log_prior AS score FROM {n}_ll l
+           JOIN {model}_priors p ON p.grp = l.grp AND p.label = l.label),
+{n}_mx AS (SELECT *, max(score) OVER (PARTITION BY id) AS m,
+                  row_number() OVER (PARTITION BY id ORDER BY score DESC, label) AS rk FROM {n}_sc),
+{n}_best AS (SELECT id, max(CASE WHEN rk = 1 THEN label END) AS label, 1.0 / sum(exp(score - m)) AS prob
+             FROM {n}_mx GROUP BY id),
+{n}_pmx AS (SELECT *, max(log_prior) OVER (PARTITION BY grp) AS m,
+                   row_number() OVER (PARTITION BY grp ORDER BY log_prior DESC, label) AS rk FROM {model}_priors),
+{n}_pbest AS (SELECT grp, max(CASE WHEN rk = 1 THEN label END) AS label, 1.0 / sum(exp(log_prior - m)) AS prob
+              FROM {n}_pmx GROUP BY grp),
+{n} AS (SELECT r.id, coalesce(b.label, pb.label) AS prediction, coalesce(b.prob, pb.prob) AS prob
+        FROM {rows} r JOIN {n}_pbest pb ON pb.grp = r.grp LEFT JOIN {n}_best b ON b.id = r.id)"""
+
+
+def sentiment_ctes(task: str = "quality") -> str:
+    """Needs CLEANED. CTE sentiment(doc_id, sentiment, sentiment_score) over every cleaned document."""
+    return f"""sm_lab AS (
+  SELECT c.doc_id, c.language AS grp, c.cleaned_text, CAST(l.{task} AS VARCHAR) AS label
+  FROM cleaned c JOIN labels l USING (doc_id)
+  WHERE c.cleaned_text IS NOT NULL AND c.cleaned_text <> '' AND l.{task} IS NOT NULL),
+sm_train AS (SELECT grp, label, unnest({terms('cleaned_text')}) AS feature FROM sm_lab),
+{nb_fit_grouped('smm', 'sm_train', 'sm_lab')},
+sm_rows AS (SELECT doc_id AS id, language AS grp, cleaned_text FROM cleaned
+            WHERE cleaned_text IS NOT NULL AND {non_blank('cleaned_text')}),
+{nb_predict_grouped('smp', 'smm', 'sm_rows', 'cleaned_text')},
+sentiment AS (
+  SELECT c.doc_id,
+         CASE WHEN c.cleaned_text IS NULL OR NOT {non_blank('c.cleaned_text')} THEN 'EMPTY'
+              ELSE coalesce(p.prediction, 'ERROR') END AS sentiment,
+         CASE WHEN c.cleaned_text IS NULL OR NOT {non_blank('c.cleaned_text')} THEN 0.0
+              ELSE coalesce(p.prob, 0.0) END AS sentiment_score
+  FROM cleaned c LEFT JOIN smp p ON p.id = c.doc_id)"""
+
+
+def topic_ctes(docs: str, temperature: float = 0.1) -> str:
+    """Needs CLEANED + tfidf_ctes (vocab, weights over cleaned). ``docs(doc_id)`` lists the scored rows.
+    CTE topics(doc_id, topic, topic_score, n_labels)."""
+    seeds_clean = cleaned_text(first_non_empty("seed_text", "seed_text"), "'en'")
+    return f"""cand AS (SELECT 'topic_' || CAST(item_id AS VARCHAR) AS label, text AS seed_text FROM benchmark),
+nl AS (SELECT count(*) AS n, min(label) AS first_label FROM cand),
+seed_c AS (SELECT label, {seeds_clean} AS cleaned_text FROM cand),
+seed_t AS (SELECT label, {terms('cleaned_text')} AS t FROM seed_c),
+seed_g AS (SELECT label, unnest({ngrams('t')}) AS term FROM seed_t),
+seed_tf AS (SELECT label, term, count(*) AS tf FROM seed_g GROUP BY label, term),
+seed_w0 AS (SELECT s.label, s.term, s.tf * v.idf AS w FROM seed_tf s JOIN vocab v USING (term)),
+seed_w AS (SELECT label, term, w / sqrt(sum(w * w) OVER (PARTITION BY label)) AS sw FROM seed_w0),
+sims AS (SELECT d.doc_id, s.label, sum(d.weight * s.sw) AS cos
+         FROM weights d JOIN seed_w s USING (term) GROUP BY d.doc_id, s.label),
+sims_r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY cos DESC, label) AS rk FROM sims),
+per_doc AS (SELECT doc_id, max(CASE WHEN rk = 1 THEN label END) AS best, max(cos) AS best_cos,
+                   sum(exp(cos / {temperature})) AS mass, count(*) AS n_present FROM sims_r GROUP BY doc_id),
+topics AS (
+  SELECT d.doc_id,
+         CASE WHEN p.best IS NOT NULL AND (p.best_cos > 0 OR p.best <= nl.first_label) THEN p.best
+              ELSE nl.first_label END AS topic,
+         (CASE WHEN p.best IS NOT NULL AND (p.best_cos > 0 OR p.best <= nl.first_label)
+               THEN exp(p.best_cos / {temperature}) ELSE 1.0 END)
+           / (coalesce(p.mass, 0.0) + (nl.n - coalesce(p.n_present, 0))) AS topic_score,
+         CAST(nl.n AS BIGINT) AS n_labels
+  FROM {docs} d CROSS JOIN nl LEFT JOIN per_doc p USING (doc_id))"""

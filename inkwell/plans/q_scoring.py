@@ -1 +1,168 @@
-"""Queries registered in a later slice."""
+"""Scoring and analysis queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from inkwell.functions import text as T
+from inkwell.operators import scoring, tfidf
+from inkwell.operators import models as M
+from inkwell.operators.preprocess import preprocess
+from inkwell.plans import oracle as O
+from inkwell.plans.catalog import big, r6, register
+from inkwell.plans.q_ingest import feed_articles
+from inkwell.plans.q_text import cleaned_articles
+from inkwell.session import cut_lineage, spread
+from inkwell.sources.tables import articles, candidate_labels, table
+
+TASK = "quality"
+_SCORED_DOCS = f"(SELECT doc_id FROM cleaned WHERE cleaned_text IS NOT NULL AND {O.non_blank('cleaned_text')})"
+_BASE = O.with_(O.CLEANED, O.tfidf_ctes(), O.sentiment_ctes(TASK), O.topic_ctes(_SCORED_DOCS))
+
+
+def _cleaned(spark, sf_dir):
+    # reused by training, vectorising and scoring: cut lineage once
+    c = cleaned_articles(spark, sf_dir)
+    return cut_lineage(c.select("doc_id", "language", "cleaned_text", "title", "description"))
+
+
+def sentiment_model(spark, sf_dir, cleaned):
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col(TASK).cast("string").alias("label"))
+    return scoring.train_sentiment(M.labelled_rows(cleaned.join(lab, "doc_id")))
+
+
+def _topics(spark, sf_dir, cleaned):
+    vec, weights = tfidf.fit_transform(cleaned)
+    docs = cleaned.where(F.col("cleaned_text").isNotNull() & T.non_blank("cleaned_text"))
+    return scoring.topic_scores(weights, docs, candidate_labels(spark, sf_dir), vec), vec, weights
+
+
+@register("sentiment_scores", sql=_BASE + """
+SELECT doc_id, sentiment, round(sentiment_score, 6) AS sentiment_score FROM sentiment""")
+def q_sentiment_scores(spark, sf_dir):
+    c = _cleaned(spark, sf_dir)
+    s = scoring.score_sentiment(c, sentiment_model(spark, sf_dir, c))
+    return s.select("doc_id", "sentiment", r6("sentiment_score").alias("sentiment_score"))
+
+
+@register("topic_scores", sql=_BASE + """
+SELECT doc_id, topic, round(topic_score, 6) AS topic_score, n_labels FROM topics""")
+def q_topic_scores(spark, sf_dir):
+    t, _vec, _w = _topics(spark, sf_dir, _cleaned(spark, sf_dir))
+    return t.select("doc_id", "topic", r6("topic_score").alias("topic_score"), "n_labels")
+
+
+@register("argmax_label", sql=_BASE + """
+SELECT doc_id, label, round(cos, 6) AS score, CAST(n AS BIGINT) AS n_labels_matched
+FROM (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM sims_r) WHERE rk = 1""")
+def q_argmax_label(spark, sf_dir):
+    """Highest-scoring label per document (label ascending on ties) with the label->score map size."""
+    c = _cleaned(spark, sf_dir)
+    vec, weights = tfidf.fit_transform(c)
+    sw = scoring.seed_weights(candidate_labels(spark, sf_dir), vec)
+    sims = (weights.join(F.broadcast(sw), "term").groupBy("doc_id", "label")
+            .agg(F.sum(F.col("weight") * F.col("sw")).alias("cos")))
+    per = sims.groupBy("doc_id").agg(
+        F.min_by("label", F.struct(-F.col("cos"), F.col("label"))).alias("label"),
+        F.map_from_entries(F.collect_list(F.struct("label", "cos"))).alias("scores"))
+    return per.select("doc_id", "label", r6(F.element_at("scores", F.col("label"))).alias("score"),
+                      big(F.size("scores")).alias("n_labels_matched"))
+
+
+@register("centroid_scores", sql="""
+WITH long AS (SELECT vec_id, label, unnest(range(1, len(embedding) + 1)) AS pos, unnest(embedding)::DOUBLE AS x
+              FROM embeddings),
+cent AS (SELECT label AS c_label, pos, avg(x) AS c FROM long GROUP BY label, pos),
+cn AS (SELECT c_label, sqrt(sum(c * c)) AS cn FROM cent GROUP BY c_label),
+vn AS (SELECT vec_id, sqrt(sum(x * x)) AS vn FROM long GROUP BY vec_id),
+dots AS (SELECT l.vec_id, c.c_label, sum(l.x * c.c) AS dot FROM long l JOIN cent c USING (pos)
+         GROUP BY l.vec_id, c.c_label),
+cos AS (SELECT d.vec_id, d.c_label, CASE WHEN cn > 0 AND vn > 0 THEN dot / (cn * vn) ELSE 0.0 END AS cos
+        FROM dots d JOIN cn USING (c_label) JOIN vn USING (vec_id)),
+best AS (SELECT vec_id, c_label AS predicted, cos AS cosine FROM (
+           SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY cos DESC, c_label) AS rk FROM cos) WHERE rk = 1)
+SELECT e.vec_id, e.label, b.predicted, round(b.cosine, 6) AS cosine FROM embeddings e JOIN best b USING (vec_id)""")
+def q_centroid_scores(spark, sf_dir):
+    s = scoring.centroid_scores(spread(table(spark, sf_dir, "embeddings")))
+    return s.select("vec_id", "label", "predicted", r6("cosine").alias("cosine"))
+
+
+@register("filter_valid_predictions", sql=_BASE + """
+SELECT s.doc_id, s.sentiment, t.topic FROM sentiment s JOIN topics t USING (doc_id)
+WHERE s.sentiment NOT IN ('EMPTY', 'ERROR') AND t.topic NOT IN ('EMPTY', 'ERROR')""")
+def q_filter_valid_predictions(spark, sf_dir):
+    c = _cleaned(spark, sf_dir)
+    s = scoring.score_sentiment(c, sentiment_model(spark, sf_dir, c))
+    t, _v, _w = _topics(spark, sf_dir, c)
+    return M.valid_predictions(s.join(t, "doc_id")).select("doc_id", "sentiment", "topic")
+
+
+def _classified(spark, sf_dir):
+    c = _cleaned(spark, sf_dir)
+    s = scoring.score_sentiment(c, sentiment_model(spark, sf_dir, c))
+    t, _v, _w = _topics(spark, sf_dir, c)
+    return c, s, t
+
+
+@register("analyze_articles", sql=_BASE + """
+SELECT c.doc_id, s.sentiment AS sentiment_label, round(s.sentiment_score, 6) AS sentiment_score,
+       t.topic, round(t.topic_score, 6) AS topic_confidence
+FROM cleaned c JOIN sentiment s USING (doc_id) JOIN topics t USING (doc_id)
+WHERE c.description IS NOT NULL AND """ + O.non_blank("coalesce(nullif(c.description, ''), c.title)"))
+def q_analyze_articles(spark, sf_dir):
+    """Sentiment and topic attached to every article with a non-blank description (else title)."""
+    c, s, t = _classified(spark, sf_dir)
+    head = T.first_non_empty("description", "title")
+    a = c.where(F.col("description").isNotNull() & T.non_blank(head)).select("doc_id")
+    out = (a.join(s, "doc_id").join(t, "doc_id")
+           .withColumn("sentiment_analysis", F.struct(F.col("sentiment").alias("label"),
+                                                      F.col("sentiment_score").alias("score"),
+                                                      F.lit(None).cast("string").alias("error")))
+           .withColumn("topic_classification", F.struct(F.col("topic").alias("topic"),
+                                                        F.col("topic_score").alias("confidence"),
+                                                        F.lit(None).cast("string").alias("error"))))
+    return out.select("doc_id", F.col("sentiment_analysis.label").alias("sentiment_label"),
+                      r6("sentiment_analysis.score").alias("sentiment_score"),
+                      F.col("topic_classification.topic").alias("topic"),
+                      r6("topic_classification.confidence").alias("topic_confidence"))
+
+
+@register("analysis_summary", sql=_BASE + """
+SELECT c.doc_id, coalesce(c.language, 'N/A') AS language, coalesce(c.title, 'N/A') AS title,
+       coalesce(s.sentiment, 'N/A') AS sentiment, coalesce(t.topic, 'N/A') AS topic
+FROM cleaned c LEFT JOIN sentiment s USING (doc_id) LEFT JOIN topics t USING (doc_id)""")
+def q_analysis_summary(spark, sf_dir):
+    c, s, t = _classified(spark, sf_dir)
+    j = c.join(s, "doc_id", "left").join(t, "doc_id", "left")
+    na = F.lit("N/A")
+    return j.select("doc_id", F.coalesce("language", na).alias("language"), F.coalesce("title", na).alias("title"),
+                    F.coalesce("sentiment", na).alias("sentiment"), F.coalesce("topic", na).alias("topic"))
+
+
+@register("corpus_summary", sql=_BASE + """
+SELECT c.language, t.topic, s.sentiment, count(*) AS n_articles,
+       round(avg(s.sentiment_score), 6) AS avg_sentiment_score
+FROM cleaned c JOIN sentiment s USING (doc_id) JOIN topics t USING (doc_id)
+GROUP BY c.language, t.topic, s.sentiment""")
+def q_corpus_summary(spark, sf_dir):
+    """Flagship: articles -> cleaned -> sentiment + topic -> per-language, per-topic summary."""
+    c, s, t = _classified(spark, sf_dir)
+    j = c.select("doc_id", "language").join(s, "doc_id").join(t, "doc_id")
+    return j.groupBy("language", "topic", "sentiment").agg(
+        F.count(F.lit(1)).alias("n_articles"), r6(F.avg("sentiment_score")).alias("avg_sentiment_score"))
+
+
+@register("pipeline")
+def q_pipeline(spark, sf_dir):
+    """The reference's full run: feed -> ingest (language, quota, pages) -> preprocess -> vectorise ->
+    sentiment + topic -> per-language, per-topic summary of the ingested articles."""
+    ingested = cut_lineage(preprocess(feed_articles(spark, sf_dir)).withColumn(
+        "doc_id", F.monotonically_increasing_id()))
+    labelled_src = _cleaned(spark, sf_dir)
+    model = sentiment_model(spark, sf_dir, labelled_src)
+    s = scoring.score_sentiment(ingested, model)
+    vec, weights = tfidf.fit_transform(ingested)
+    docs = ingested.where(T.non_blank("cleaned_text"))
+    t = scoring.topic_scores(weights, docs, candidate_labels(spark, sf_dir), vec)
+    j = ingested.select("doc_id", "language").join(s, "doc_id").join(t, "doc_id", "left")
+    return j.groupBy("language", "topic", "sentiment").agg(F.count(F.lit(1)).alias("n_articles"))
