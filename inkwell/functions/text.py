@@ -84,11 +84,20 @@ def stopword_array(words) -> Column:
 
 
 def remove_stopwords(tokens, lang=None, english=None, arabic=None) -> Column:
-    """Drop tokens whose lower case is a stop word; Arabic list for 'ar', English otherwise."""
-    en = stopword_array(english if english is not None else C.ENGLISH_STOPWORDS)
-    ar = stopword_array(arabic if arabic is not None else C.ARABIC_STOPWORDS)
-    stops = en if lang is None else F.when(_c(lang) == F.lit("ar"), ar).otherwise(en)
-    return F.filter(_c(tokens), lambda t: ~F.array_contains(stops, F.lower(t)))
+    """Drop tokens whose lower case is a stop word; Arabic list for 'ar', English otherwise.
+
+    ``isin`` over a long literal list becomes a hashed InSet, one lookup per token.
+    """
+    en = list(english if english is not None else C.ENGLISH_STOPWORDS)
+    ar = list(arabic if arabic is not None else C.ARABIC_STOPWORDS)
+
+    def is_stop(t):
+        low = F.lower(t)
+        if lang is None:
+            return low.isin(en)
+        return F.when(_c(lang) == F.lit("ar"), low.isin(ar)).otherwise(low.isin(en))
+
+    return F.filter(_c(tokens), lambda t: ~is_stop(t))
 
 
 def join_tokens(tokens) -> Column:
