@@ -32,18 +32,23 @@ def select_rows(feed: DataFrame, languages=tuple(C.TARGET_LANGUAGES), quota: int
     return first_per_group(kept, quota, ["language"], [F.col(order_col)])
 
 
-def lookup_pages(rows: DataFrame, pages: DataFrame, url_col: str = "source_url") -> DataFrame:
+def lookup_pages(rows: DataFrame, pages: DataFrame, url_col: str = "source_url",
+                 rows_bounded: bool = False) -> DataFrame:
     """rows + ``html`` of the page with the same url (null when no page: a failed fetch).
 
     The page table is large and the selected rows are few, so the page table is
     first semi-joined against the urls in the rows, then deduplicated per url
     (lowest page_id) and joined back. The rows side of the semi-join is bounded by
-    ``quota * len(languages)`` when called after ``select_rows``.
+    ``quota * len(languages)`` when called after ``select_rows``: pass ``rows_bounded``
+    there and both small sides are broadcast on that bound; otherwise they are shuffle
+    joins (AQE may still pick a broadcast from runtime sizes).
     """
     urls = rows.select(F.col(url_col).alias("url")).where(F.col("url").isNotNull()).distinct()
-    hits = pages.select("page_id", "url", "html").join(urls, "url", "left_semi")
+    # the url side is bounded by the quota, so the page table streams past it without a shuffle
+    small = F.broadcast if rows_bounded else (lambda d: d)
+    hits = pages.select("page_id", "url", "html").join(small(urls), "url", "left_semi")
     one = hits.groupBy("url").agg(F.min_by("html", "page_id").alias("html"))
-    return rows.join(one.withColumnRenamed("url", url_col), url_col, "left")
+    return rows.join(small(one.withColumnRenamed("url", url_col)), url_col, "left")
 
 
 def to_article(rows: DataFrame, url_col: str = "source_url") -> DataFrame:
@@ -72,7 +77,7 @@ def feed_to_articles(feed: DataFrame, pages: DataFrame, model, languages=tuple(C
     """The whole ingest stage: detect -> target languages -> quota -> page lookup -> article."""
     detected = detect_headline_language(feed, model)
     selected = select_rows(detected, languages, quota)
-    return to_article(lookup_pages(selected, pages))
+    return to_article(lookup_pages(selected, pages, rows_bounded=True))
 
 
 def api_to_article(rows: DataFrame, model) -> DataFrame:

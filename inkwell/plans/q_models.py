@@ -20,10 +20,11 @@ from inkwell.sources.tables import table
 TASK = "quality"
 
 
-def labelled(spark, sf_dir, task: str = TASK) -> DataFrame:
+def labelled(spark, sf_dir, task: str = TASK, cleaned: DataFrame | None = None) -> DataFrame:
     """Cleaned documents with the task's label (text non-empty, label valid)."""
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col(task).cast("string").alias("label"))
-    return M.labelled_rows(cleaned_docs(spark, sf_dir).join(lab, "doc_id"))
+    c = cleaned if cleaned is not None else cleaned_docs(spark, sf_dir)
+    return M.labelled_rows(c.join(lab, "doc_id"))
 
 
 @dataclass
@@ -34,9 +35,9 @@ class TaskRun:
     base: DataFrame      # test rows: doc_id, label, prediction (majority baseline)
 
 
-def run_task(spark, sf_dir, task: str = TASK) -> TaskRun:
+def run_task(spark, sf_dir, task: str = TASK, cleaned: DataFrame | None = None) -> TaskRun:
     # the labelled table feeds a count, the split, training and scoring: cut lineage once
-    lab = cut_lineage(spread(labelled(spark, sf_dir, task)))
+    lab = cut_lineage(spread(labelled(spark, sf_dir, task, cleaned)))
     splits = cut_lineage(M.split(lab))
     train = splits.where(F.col("split") == "train")
     test = splits.where(F.col("split") == "test")
@@ -155,8 +156,10 @@ def _compare_sql(tasks) -> str:
 
 def compare(spark, sf_dir, tasks) -> DataFrame:
     out = None
+    # several tasks share one cleaning pass over the documents
+    cleaned = cut_lineage(spread(cleaned_docs(spark, sf_dir))) if len(tasks) > 1 else None
     for task in tasks:
-        run = run_task(spark, sf_dir, task)
+        run = run_task(spark, sf_dir, task, cleaned)
         for model, pred in (("original", run.base), ("finetuned", run.pred)):
             s = EV.summary(pred).select(F.lit(task).alias("task"), F.lit(model).alias("model"),
                                         *[r6(c).alias(c) for c in ("accuracy", "weighted_f1", "macro_f1")], "n")

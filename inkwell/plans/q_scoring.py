@@ -156,8 +156,7 @@ def q_corpus_summary(spark, sf_dir):
 def q_pipeline(spark, sf_dir):
     """The reference's full run: feed -> ingest (language, quota, pages) -> preprocess -> vectorise ->
     sentiment + topic -> per-language, per-topic summary of the ingested articles."""
-    ingested = cut_lineage(preprocess(feed_articles(spark, sf_dir)).withColumn(
-        "doc_id", F.monotonically_increasing_id()))
+    ingested = cut_lineage(preprocess(feed_articles(spark, sf_dir)))   # keeps the feed's doc_id
     labelled_src = _cleaned(spark, sf_dir)
     model = sentiment_model(spark, sf_dir, labelled_src)
     s = scoring.score_sentiment(ingested, model)

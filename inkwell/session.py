@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
@@ -58,18 +59,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
     """Spread a scan that yields fewer tasks than the cluster has cores.
 
     Single-file inputs are one task; CPU-heavy text expressions then run on one
     core. Large inputs already come in many splits and are returned unchanged, so
-    no extra shuffle is added at scale.
+    no extra shuffle is added at scale. Rows are hash-partitioned on ``key`` (default:
+    the first column, the row id in every table here), which is deterministic on
+    recomputation without the sort a round-robin repartition needs.
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    return df.repartition(target, F.col(key or df.columns[0]))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
