@@ -156,10 +156,9 @@ def _compare_sql(tasks) -> str:
 
 def compare(spark, sf_dir, tasks) -> DataFrame:
     out = None
-    # several tasks share one cleaning pass over the documents
-    cleaned = cut_lineage(spread(cleaned_docs(spark, sf_dir))) if len(tasks) > 1 else None
+    # the tasks share the cleaned stage table
     for task in tasks:
-        run = run_task(spark, sf_dir, task, cleaned)
+        run = run_task(spark, sf_dir, task)
         for model, pred in (("original", run.base), ("finetuned", run.pred)):
             s = EV.summary(pred).select(F.lit(task).alias("task"), F.lit(model).alias("model"),
                                         *[r6(c).alias(c) for c in ("accuracy", "weighted_f1", "macro_f1")], "n")

@@ -11,7 +11,7 @@ from inkwell.operators.preprocess import preprocess
 from inkwell.plans import oracle as O
 from inkwell.plans.catalog import big, r6, register
 from inkwell.plans.q_ingest import feed_articles
-from inkwell.plans.q_text import cleaned_articles
+from inkwell.plans.q_tfidf import cleaned_stage
 from inkwell.session import cut_lineage, spread
 from inkwell.sources.tables import articles, candidate_labels, table
 
@@ -21,9 +21,8 @@ _BASE = O.with_(O.CLEANED, O.tfidf_ctes(), O.sentiment_ctes(TASK), O.topic_ctes(
 
 
 def _cleaned(spark, sf_dir):
-    # reused by training, vectorising and scoring: cut lineage once
-    c = cleaned_articles(spark, sf_dir)
-    return cut_lineage(c.select("doc_id", "language", "cleaned_text", "title", "description"))
+    # reused by training, vectorising and scoring: the cleaned stage table
+    return cleaned_stage(spark, sf_dir)
 
 
 def sentiment_model(spark, sf_dir, cleaned):

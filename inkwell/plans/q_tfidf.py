@@ -8,13 +8,20 @@ from inkwell.operators import tfidf
 from inkwell.plans import oracle as O
 from inkwell.plans.catalog import big, r6, register
 from inkwell.plans.q_text import cleaned_articles
+from inkwell.plans.stages import stage
 from inkwell.session import scratch_path
 
 _TFIDF_SQL = O.with_(O.CLEANED, O.tfidf_ctes())
 
 
+def cleaned_stage(spark, sf_dir):
+    """Cleaned articles as a stage table (written once per session, read by every consumer)."""
+    return stage(spark, sf_dir, "cleaned", lambda: cleaned_articles(spark, sf_dir).select(
+        "doc_id", "language", "cleaned_text", "title", "description"))
+
+
 def cleaned_docs(spark, sf_dir):
-    return cleaned_articles(spark, sf_dir).select("doc_id", "language", "cleaned_text")
+    return cleaned_stage(spark, sf_dir).select("doc_id", "language", "cleaned_text")
 
 
 @register("term_frequency", sql=_TFIDF_SQL + "SELECT doc_id, term, tf FROM tf")
