@@ -14,6 +14,7 @@ from inkwell.operators.naive_bayes import NBModel
 from inkwell.plans import oracle as O
 from inkwell.plans.catalog import big, r6, register
 from inkwell.plans.q_tfidf import cleaned_docs
+from inkwell.plans.stages import stage
 from inkwell.session import cut_lineage, scratch_path, spread
 from inkwell.sources.tables import table
 
@@ -35,7 +36,7 @@ class TaskRun:
     base: DataFrame      # test rows: doc_id, label, prediction (majority baseline)
 
 
-def run_task(spark, sf_dir, task: str = TASK, cleaned: DataFrame | None = None) -> TaskRun:
+def _build_task(spark, sf_dir, task: str, cleaned: DataFrame | None = None) -> TaskRun:
     # the labelled table feeds a count, the split, training and scoring: cut lineage once
     lab = cut_lineage(spread(labelled(spark, sf_dir, task, cleaned)))
     splits = cut_lineage(M.split(lab))
@@ -47,6 +48,24 @@ def run_task(spark, sf_dir, task: str = TASK, cleaned: DataFrame | None = None)
     return TaskRun(splits, model, pred, base)
 
 
+def run_task(spark, sf_dir, task: str = TASK, cleaned: DataFrame | None = None) -> TaskRun:
+    """Split, model and test-split predictions of one task, as stage tables (built once per session)."""
+    built = {}
+
+    def get() -> TaskRun:
+        if "r" not in built:
+            built["r"] = _build_task(spark, sf_dir, task, cleaned)
+        return built["r"]
+
+    splits = stage(spark, sf_dir, f"{task}_splits", lambda: get().splits)
+    cond = stage(spark, sf_dir, f"{task}_nb_cond", lambda: get().model.cond)
+    priors = stage(spark, sf_dir, f"{task}_nb_priors", lambda: get().model.priors)
+    pred = stage(spark, sf_dir, f"{task}_pred", lambda: get().pred)
+    base = stage(spark, sf_dir, f"{task}_base", lambda: get().base)
+    group_cols = [c for c in priors.columns if c not in ("label", "log_prior")]
+    return TaskRun(splits, NBModel(cond=cond, priors=priors, group_cols=group_cols), pred, base)
+
+
 _BASE = O.with_(O.CLEANED, O.model_ctes("t", TASK))
 
 

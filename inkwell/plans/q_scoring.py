@@ -12,6 +12,7 @@ from inkwell.plans import oracle as O
 from inkwell.plans.catalog import big, r6, register
 from inkwell.plans.q_ingest import feed_articles
 from inkwell.plans.q_tfidf import cleaned_stage
+from inkwell.plans.stages import stage
 from inkwell.session import cut_lineage, spread
 from inkwell.sources.tables import articles, candidate_labels, table
 
@@ -36,18 +37,30 @@ def _topics(spark, sf_dir, cleaned):
     return scoring.topic_scores(weights, docs, candidate_labels(spark, sf_dir), vec), vec, weights
 
 
+def sentiment_stage(spark, sf_dir):
+    """(doc_id, sentiment, sentiment_score) of every cleaned article, as a stage table."""
+    def build():
+        c = _cleaned(spark, sf_dir)
+        return scoring.score_sentiment(c, sentiment_model(spark, sf_dir, c))
+    return stage(spark, sf_dir, "sentiment", build)
+
+
+def topic_stage(spark, sf_dir):
+    """(doc_id, topic, topic_score, n_labels) of every non-blank cleaned article, as a stage table."""
+    return stage(spark, sf_dir, "topics", lambda: _topics(spark, sf_dir, _cleaned(spark, sf_dir))[0])
+
+
 @register("sentiment_scores", sql=_BASE + """
 SELECT doc_id, sentiment, round(sentiment_score, 6) AS sentiment_score FROM sentiment""")
 def q_sentiment_scores(spark, sf_dir):
-    c = _cleaned(spark, sf_dir)
-    s = scoring.score_sentiment(c, sentiment_model(spark, sf_dir, c))
+    s = sentiment_stage(spark, sf_dir)
     return s.select("doc_id", "sentiment", r6("sentiment_score").alias("sentiment_score"))
 
 
 @register("topic_scores", sql=_BASE + """
 SELECT doc_id, topic, round(topic_score, 6) AS topic_score, n_labels FROM topics""")
 def q_topic_scores(spark, sf_dir):
-    t, _vec, _w = _topics(spark, sf_dir, _cleaned(spark, sf_dir))
+    t = topic_stage(spark, sf_dir)
     return t.select("doc_id", "topic", r6("topic_score").alias("topic_score"), "n_labels")
 
 
@@ -90,17 +103,12 @@ def q_centroid_scores(spark, sf_dir):
 SELECT s.doc_id, s.sentiment, t.topic FROM sentiment s JOIN topics t USING (doc_id)
 WHERE s.sentiment NOT IN ('EMPTY', 'ERROR') AND t.topic NOT IN ('EMPTY', 'ERROR')""")
 def q_filter_valid_predictions(spark, sf_dir):
-    c = _cleaned(spark, sf_dir)
-    s = scoring.score_sentiment(c, sentiment_model(spark, sf_dir, c))
-    t, _v, _w = _topics(spark, sf_dir, c)
+    s, t = sentiment_stage(spark, sf_dir), topic_stage(spark, sf_dir)
     return M.valid_predictions(s.join(t, "doc_id")).select("doc_id", "sentiment", "topic")
 
 
 def _classified(spark, sf_dir):
-    c = _cleaned(spark, sf_dir)
-    s = scoring.score_sentiment(c, sentiment_model(spark, sf_dir, c))
-    t, _v, _w = _topics(spark, sf_dir, c)
-    return c, s, t
+    return _cleaned(spark, sf_dir), sentiment_stage(spark, sf_dir), topic_stage(spark, sf_dir)
 
 
 @register("analyze_articles", sql=_BASE + """
