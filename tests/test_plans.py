@@ -38,3 +38,8 @@ def test_tfidf_broadcasts_the_capped_vocabulary(spark):
     vec, w = tfidf.fit_transform(docs, max_features=3)
     assert vec.vocabulary.count() == 3
     assert "BroadcastHashJoin" in plan(w)
+
+
+def test_stopword_lookup_is_hashed(spark):
+    p = plan(E.queries()["remove_stopwords"](spark, SF))
+    assert "INSET" in p
