@@ -159,7 +159,7 @@ def q_corpus_summary(spark, sf_dir):
         F.count(F.lit(1)).alias("n_articles"), r6(F.avg("sentiment_score")).alias("avg_sentiment_score"))
 
 
-@register("pipeline")
+@register("article_pipeline")
 def q_pipeline(spark, sf_dir):
     """The reference's full run: feed -> ingest (language, quota, pages) -> preprocess -> vectorise ->
     sentiment + topic -> per-language, per-topic summary of the ingested articles."""
