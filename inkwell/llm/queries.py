@@ -11,7 +11,7 @@ import importlib.util
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import decontaminate, minmax_dedup, soft_mixing, token_parquet, toxic_segments
+from inkwell.llm import decontaminate, lattice_dedup, minmax_dedup, soft_mixing, token_parquet, toxic_segments, url_cascade, warc_chain
 from inkwell.llm.common import table
 from inkwell.session import scratch_path
 
@@ -23,6 +23,27 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: The rules of the url query: (rule, verdict).
+URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"),
+             ("net/fr/", "block")]
+
+
+def op1_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return url_cascade.judge_urls(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
+
+
+def op2_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives and read back over their boundary chains."""
+    path = scratch_path(spark, "warc")
+    warc_chain.write_warc(table(spark, sf_dir, "pages"), path)
+    records = warc_chain.read_warc(spark, path)
+    number = lambda c: F.regexp_extract(c, "^urn:page:(-?\\d+)$", 1).try_cast("bigint")
+    return records.select(number(F.col("name")).alias("page_id"), "payload_bytes", "payload_digest",
+                          F.col("kind").alias("record_type"), number(F.col("refers")).alias("refers_to"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) where the document contains 80 % or more of the item's 5-word shingles."""
     hits = decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -43,6 +64,12 @@ def op7_token_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_parquet.token_starts(spark, path)
 
 
+def op8_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of the embeddings of each label at cosine 0.98."""
+    out = lattice_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+    return out.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
 def op9_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from the labelled rows whose crc32(doc_id) is not 0 modulo 5."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -63,8 +90,11 @@ def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_cascade": op1_url_cascade,
+    "op2_warc_chain": op2_warc_chain,
     "op3_decontaminate": op3_decontaminate,
     "op5_minmax_dedup": op5_minmax_dedup,
+    "op8_lattice_dedup": op8_lattice_dedup,
     "op9_toxic_segments": op9_toxic_segments,
     "op10_soft_mixing": op10_soft_mixing,
 }
@@ -83,7 +113,35 @@ FROM (SELECT {key}, w, unnest(range(1, greatest(len(w) - {n - 2}, 2))) AS i
   FROM (SELECT {key}, {_WORDS} AS w FROM {table_name} WHERE text IS NOT NULL) WHERE len(w) > 0)"""
 
 
+_RULES = " UNION ALL ".join(f"SELECT '{r}' AS rule, '{v}' AS verdict" for r, v in URL_RULES)
+
 ORACLE = {
+    "op1_url_cascade": rf"""
+WITH p AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS u FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(u, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(u, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+r AS (SELECT rule, verdict, split_part(rule, '/', 1) AS rh, substr(rule, strpos(rule, '/')) AS rp FROM ({_RULES})),
+m AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM h JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id)
+SELECT h.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM h LEFT JOIN m USING (page_id)
+""",
+    "op2_warc_chain": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS b FROM pages),
+d AS (SELECT page_id, CAST(octet_length(encode(b)) AS BIGINT) AS n, sha1(b) AS d FROM p),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY d, n) AS r FROM d)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+  CASE WHEN n >= 1000 AND r <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND r <> page_id THEN r END AS refers_to FROM k
+""",
+    "op8_lattice_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+link AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+root AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a), n AS (SELECT a, count(*) AS c FROM link GROUP BY a)
+SELECT vec_id, coalesce(c, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN root ON root.a = vec_id LEFT JOIN n ON n.a = vec_id
+""",
     "op3_decontaminate": f"""
 WITH d AS ({_shingles('documents', 'doc_id', 5)}), b AS ({_shingles('benchmark', 'item_id', 5)}),
 sized AS (SELECT item_id, count(*) AS n, list(s ORDER BY s) AS all_s FROM b GROUP BY item_id),
