@@ -11,7 +11,8 @@ import importlib.util
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import decontaminate, lattice_dedup, minmax_dedup, soft_mixing, token_parquet, toxic_segments, url_cascade, warc_chain
+from inkwell.llm import (decontaminate, lattice_dedup, minmax_dedup, quote_link, soft_mixing, token_parquet,
+                         toxic_segments, url_cascade, warc_chain, weak_quality)
 from inkwell.llm.common import table
 from inkwell.session import scratch_path
 
@@ -51,12 +52,34 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("shared").alias("n_shared"), F.col("size").alias("n_shingles"))
 
 
+def quoted_messages(conversations: DataFrame) -> DataFrame:
+    """The conversations as mail: every message quotes the one before it, which quotes the one before that."""
+    before = conversations.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("p1"))
+    earlier = conversations.select("conv_id", (F.col("turn") + 2).alias("turn"), F.col("text").alias("p2"))
+    rows = conversations.join(before, ["conv_id", "turn"], "left").join(earlier, ["conv_id", "turn"], "left")
+    two = F.concat(quote_link.quote(quote_link.quote(F.col("p2"))), F.lit("\n"))
+    one = F.concat(F.coalesce(two, F.lit("")), quote_link.quote(F.col("p1")), F.lit("\n\n"))
+    return rows.select("conv_id", "turn", F.concat(F.coalesce(one, F.lit("")), F.coalesce("text", F.lit(""))).alias("text"))
+
+
+def op4_quote_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies found from quotations in all conversations, with texts free of quotes, in reply order columns."""
+    out = quote_link.link_quotes(quoted_messages(table(spark, sf_dir, "conversations")))
+    return out.withColumnRenamed("conv", "conv_id")
+
+
 def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of whole documents on 4-word shingles at 80 %."""
     out = minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
     return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
 
 
+def op6_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from the heuristics' votes on all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return weak_quality.score(docs, weak_quality.fit(docs)).select("doc_id", "quality", "weak_label", "keep")
+
+
 def op7_token_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of whole documents written as Parquet lists in id order, then read back."""
     path = scratch_path(spark, "tokens")
@@ -93,7 +116,9 @@ QUERIES = {
     "op1_url_cascade": op1_url_cascade,
     "op2_warc_chain": op2_warc_chain,
     "op3_decontaminate": op3_decontaminate,
+    "op4_quote_link": op4_quote_link,
     "op5_minmax_dedup": op5_minmax_dedup,
+    "op6_weak_quality": op6_weak_quality,
     "op8_lattice_dedup": op8_lattice_dedup,
     "op9_toxic_segments": op9_toxic_segments,
     "op10_soft_mixing": op10_soft_mixing,
@@ -148,6 +173,16 @@ sized AS (SELECT item_id, count(*) AS n, list(s ORDER BY s) AS all_s FROM b GROU
 first_of AS (SELECT min(item_id) AS item_id, any_value(n) AS n FROM sized GROUP BY all_s),
 hit AS (SELECT doc_id, item_id, count(*) AS c FROM b JOIN d USING (s) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, c AS n_shared, n AS n_shingles FROM hit JOIN first_of USING (item_id) WHERE 100 * c >= 80 * n
+""",
+    "op4_quote_link": r"""
+WITH m AS (SELECT conv_id, turn, coalesce(text, '') AS text FROM conversations),
+q AS (SELECT m.*, p.turn AS t1, len(string_split_regex(trim(p.text, E' \n\t'), '\n[ \t]*\n')) AS n1,
+  CASE WHEN g.turn IS NULL THEN 0 ELSE len(string_split_regex(trim(g.text, E' \n\t'), '\n[ \t]*\n')) END AS n2
+  FROM m LEFT JOIN m p ON p.conv_id = m.conv_id AND p.turn = m.turn - 1
+  LEFT JOIN m g ON g.conv_id = m.conv_id AND g.turn = m.turn - 2)
+SELECT conv_id, turn, text, t1 AS reply_to, CAST(coalesce(n1 + n2, 0) AS BIGINT) AS n_quotes,
+  CAST(coalesce(n1 + n2, 0) AS BIGINT) AS n_linked, min(turn) OVER (PARTITION BY conv_id) AS thread,
+  turn - min(turn) OVER (PARTITION BY conv_id) AS depth FROM q
 """,
     "op5_minmax_dedup": f"""
 WITH RECURSIVE s AS ({_shingles('documents', 'doc_id', 4)}),
