@@ -76,8 +76,8 @@ class _Index:
             values = np.concatenate(minima)
             owner = np.repeat(self.classes[load], [len(x) for x in minima])
             order = np.argsort(values, kind="stable")
-            seen = np.zeros(1 << 22, dtype=bool)
-            seen[(values & U64((1 << 22) - 1)).astype(np.int64)] = True
+            seen = np.zeros(1 << max(12, (16 * len(values)).bit_length()), dtype=bool)
+            seen[(values & U64(len(seen) - 1)).astype(np.int64)] = True
             self.tables[load, bits] = values[order], owner[order], seen
         return self.tables[load, bits]
 
@@ -88,7 +88,7 @@ class _Index:
             bits = bins_of(len(own), load)
             values, owner, seen = self.table(load, bits)
             mine = bin_minima(own, bits)
-            mine = mine[seen[(mine & U64((1 << 22) - 1)).astype(np.int64)]]
+            mine = mine[seen[(mine & U64(len(seen) - 1)).astype(np.int64)]]
             if not len(mine):
                 continue
             low, high = np.searchsorted(values, mine), np.searchsorted(values, mine, side="right")

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-_BLOCK = 1 << 21
+_BLOCK = 1 << 20
 _P = 0x9E3779B97F4A7C55
 _Q = 0xD6E8FEB86659FD93
 
