@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.llm.common import fresh, keep_ids, stash, text_slices
@@ -24,8 +24,10 @@ from inkwell.llm.text_hash import U64, distinct_sets, list_column, mix, stream
 #: 2 x 126 / 6 = 42 bands of 6 rows: a pair of similarity 0.8 is missed with probability 3e-6.
 PERMUTATIONS = 126
 ROWS = 6
-#: Hubs that a bucket tests in a round after the first.
-HUBS = 8
+#: Members of a bucket that one task compares with as many others.
+BLOCK = 1024
+#: Standard deviations below the threshold at which the signatures' estimate rules a pair out (3e-6 of the true links).
+SIGMAS = 4.5
 
 
 def minmax_signature(sets: list[np.ndarray], permutations: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
@@ -66,7 +68,10 @@ def band_keys(low: np.ndarray, high: np.ndarray, rows: int) -> np.ndarray:
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
                permutations: int = PERMUTATIONS, rows: int = ROWS) -> DataFrame:
-    """(id, n_shingles, d1, d2, bands) of every row; (d1, d2) is a 128-bit digest of its shingle set."""
+    """(id, n_shingles, d1, d2, bands, sketch) of every row.
+
+    (d1, d2) is a 128-bit digest of the shingle set; ``sketch`` has a byte of each signature value.
+    """
     if permutations % rows:
         raise ValueError("rows must divide permutations")
 
@@ -78,21 +83,26 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             d1, d2 = np.zeros(len(sets), dtype=U64), np.zeros(len(sets), dtype=U64)
             n_bands = 2 * permutations // rows
             keys = np.zeros((0, n_bands), dtype=U64)
+            sketch: list[bytes | None] = [None] * len(sets)
             if len(full):
                 some = [sets[i] for i in full]
                 with np.errstate(over="ignore"):
                     d1[full] = [mix(x ^ U64(0xA5A5A5A55A5A5A5A)).sum(dtype=U64) for x in some]
                     d2[full] = [mix(x + U64(0x0F1E2D3C4B5A6978)).sum(dtype=U64) for x in some]
-                keys = band_keys(*minmax_signature(some, permutations), rows)
+                low, high = minmax_signature(some, permutations)
+                keys = band_keys(low, high, rows)
+                for i, x in zip(full, (np.concatenate([low, high], axis=1) >> U64(24)).astype(np.uint8)):
+                    sketch[i] = x.tobytes()
             starts = np.zeros(len(sets) + 1, dtype=np.int64)
             np.cumsum(np.where(sizes > 0, n_bands, 0), out=starts[1:])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("i"), pa.array(sizes), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
-                 list_column(keys.reshape(-1), starts)], ["id", "n_shingles", "d1", "d2", "bands"])
+                 list_column(keys.reshape(-1), starts), pa.array(sketch, pa.binary())],
+                ["id", "n_shingles", "d1", "d2", "bands", "sketch"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).mapInArrow(
-        run, f"id {kind}, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>")
+        run, f"id {kind}, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>, sketch binary")
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -119,51 +129,82 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(F.lit(100) * both >= F.lit(percent) * (F.size("x") + F.size("y") - both)).select("a", "b"))
 
 
-def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def alike(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of a bucket, of different components, whose sketches do not rule out a link.
+
+    ``rows``: (key, lo, hi, side, rep, n, comp, sketch), one pair of blocks for each (key, lo, hi). The comparison is
+    numpy inside the task; only pairs that may be links leave it.
+    """
+    id_type = rows.schema["rep"].dataType.simpleString()
+
+    def compare(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        rep, n, comp = (t.column(c).to_numpy() for c in ("rep", "n", "comp"))
+        sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), dtype=np.uint8).reshape(len(rep), -1)
+        group = np.stack([t.column(c).to_numpy() for c in ("key", "lo", "hi")], axis=1)
+        side = t.column("side").to_numpy()
+        cut = np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1
+        width = sketch.shape[1]
+        least = width * (percent / 100 - SIGMAS * np.sqrt(percent / 100 * (1 - percent / 100) / width))
+        a, b = [], []
+        for i, j in zip([0, *cut], [*cut, len(rep)]):
+            same = group[i, 1] == group[i, 2]
+            for x in range(i, j if same else i + int((side[i:j] == 0).sum())):
+                others = np.arange(x + 1, j) if same else i + np.flatnonzero(side[i:j] == 1)
+                others = others[comp[others] != comp[x]]
+                others = others[100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x])]
+                if len(others):
+                    others = others[(sketch[others] == sketch[x]).sum(axis=1) >= least]
+                    a.append(np.minimum(rep[others], rep[x]))
+                    b.append(np.maximum(rep[others], rep[x]))
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            held = t if held is None else pa.concat_tables([held, t])
+            group = np.stack([held.column(c).to_numpy() for c in ("key", "lo", "hi")], axis=1)
+            last = int(np.flatnonzero((group != group[-1]).any(axis=1)).max(initial=-1)) + 1  # the last group may go on
+            if last:
+                yield from compare(held.slice(0, last))
+                held = held.slice(last)
+        if held is not None and held.num_rows:
+            yield from compare(held)
+
+    dealt = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "side", "rep")
+    return dealt.mapInArrow(run, f"a {id_type}, b {id_type}").distinct()
+
+
+def links(members: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """(node, root): components of the confirmed links among the members (key, rep, n) of shared buckets.
 
-    No bucket is expanded into its pairs. In each round a bucket tests a few hubs (one at
-    first, then HUBS), each from another of its smallest components so far, against its
-    members of other components, and then lets the hubs go; it is done when one component
-    is left. So a pair is skipped only when its two ends are already connected, and a bucket
-    that one group fills takes one round.
+    First each bucket's smallest member is confirmed with all others, which connects a group of near copies at a cost
+    linear in its size. Then only buckets that still hold several components are compared, without that
+    member: in blocks of BLOCK members by their sketches, so that a task holds two blocks whatever the size of
+    the bucket, and what the sketches leave is confirmed on the whole sets.
     """
-    roots = tested = None
-    while True:
-        if roots is None:
-            now = members.withColumn("comp", F.col("rep"))
-        else:
-            now = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-                "comp", F.coalesce("root", "rep")).drop("root")
-            mixed = now.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1")
-            now = stash(now.join(mixed.select("key"), "key"), "members")
-        if now.isEmpty():
-            break
-        hubs = now.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("rep", "n")).alias("h"))
-        if roots is None:
-            hubs = hubs.groupBy("key").agg(F.min(F.struct("size", "h", "comp")).alias("h")).select(
-                "key", F.col("h.h").alias("h"), F.col("h.comp").alias("comp"))
-        else:
-            rank = F.row_number().over(Window.partitionBy("key").orderBy("size", "h", "comp"))
-            hubs = hubs.withColumn("rank", rank).where(F.col("rank") <= HUBS)
-        hubs = hubs.select("key", F.col("h.rep").alias("hub"), F.col("h.n").alias("hub_n"),
-                           F.col("comp").alias("hub_comp"))
-        pairs = (now.join(hubs, "key").where(F.col("comp") != F.col("hub_comp"))
-                 .where(F.lit(100) * F.least("n", "hub_n") >= F.lit(percent) * F.greatest("n", "hub_n"))
-                 .select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stash(pairs, "pairs")
-        done = hubs.select("key", F.col("hub").alias("rep"))
-        members = stash(now.select("key", "rep", "n").join(done, ["key", "rep"], "left_anti"), "members")
-        good = stash(confirm(pairs, sets, percent), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if roots is not None:
-            if good.isEmpty():
-                continue
-            good = good.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))
-        roots = stash(connected_components(good), "roots")
-    return roots
+    hubs = members.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("h")).select(
+        "key", F.col("h.rep").alias("hub"), F.col("h.n").alias("hub_n"))
+    rest = members.join(hubs, "key").where("rep != hub")
+    pairs = stash(rest.where(F.lit(100) * F.least("n", "hub_n") >= F.lit(percent) * F.greatest("n", "hub_n"))
+                  .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
+    good = stash(confirm(pairs, sets, percent), "links")
+    roots = stash(connected_components(good), "roots")
+    now = rest.select("key", "rep", "n").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
+        "comp", F.coalesce("root", "rep")).drop("root")
+    now = stash(now, "members")
+    mixed = (now.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("m"))
+             .where("c0 < c1").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
+    now = now.join(mixed, "key").join(sketches, "rep").withColumn(
+        "own", F.pmod(F.xxhash64("rep", F.lit(11)), F.col("blocks")).cast("int"))
+    now = now.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"), "rep", "n", "comp", "sketch")
+    more = stash(confirm(stash(alike(now, percent), "alike"), sets, percent), "links")
+    if more.isEmpty():
+        return roots
+    return stash(connected_components(more.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))), "roots")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
@@ -180,18 +221,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     sig = stash(signatures(docs, id_col, text_col, words, permutations, rows), "signatures")
     classes = stash(sig.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles")
-                    .agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), "classes")
+                    .agg(F.min("id").alias("rep"), F.first("bands").alias("bands"),
+                         F.first("sketch").alias("sketch")), "classes")
     keys = classes.where("rep IS NOT NULL").select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("rep").alias("r0"), F.max("rep").alias("r1")).where("r0 < r1").select("key")
     members = stash(keys.join(shared, "key").distinct(), "members")
     needed = stash(members.select("rep").distinct(), "needed")
     sets = stash(shingle_sets(keep_ids(docs, id_col, needed), id_col, text_col, words), "sets")
-    roots = links(members, sets, percent)
-    named = classes.select("d1", "d2", "n_shingles", "rep")
-    if roots is not None:
-        named = named.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    else:
-        named = named.withColumn("root", F.lit(None).cast(classes.schema["rep"].dataType))
+    roots = links(members, sets, classes.select("rep", "sketch"), percent)
+    named = classes.select("d1", "d2", "n_shingles", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("d1", "d2", "n_shingles", F.coalesce("root", "rep").alias("component"))
     out = sig.select("id", "n_shingles", "d1", "d2").join(named, ["d1", "d2", "n_shingles"], "left")
     same = sig.where("n_shingles > 0 AND id IS NOT NULL")  # an id that has several texts
