@@ -26,6 +26,8 @@ PERMUTATIONS = 126
 ROWS = 6
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 1024
+#: Shingles of a block when the whole sets are compared (8 bytes each).
+BLOCK_SHINGLES = 1 << 20
 #: Standard deviations below the threshold at which the signatures' estimate rules a pair out (3e-6 of the true links).
 SIGMAS = 4.5
 
@@ -129,46 +131,75 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(F.lit(100) * both >= F.lit(percent) * (F.size("x") + F.size("y") - both)).select("a", "b"))
 
 
-def alike(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of a bucket, of different components, whose sketches do not rule out a link.
+class _Joined:
+    """Union-find of a few places; keeps the pairs that joined two groups."""
 
-    ``rows``: (key, lo, hi, side, rep, n, comp, sketch), one pair of blocks for each (key, lo, hi). The comparison is
-    numpy inside the task; only pairs that may be links leave it.
+    def __init__(self, n: int) -> None:
+        self.up = list(range(n))
+        self.forest: list[tuple[int, int]] = []
+
+    def root(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = self.up[self.up[i]]
+            i = self.up[i]
+        return i
+
+    def add(self, i: int, j: int) -> None:
+        a, b = self.root(i), self.root(j)
+        if a != b:
+            self.up[b] = a
+            self.forest.append((i, j))
+
+
+def _compared(rows: DataFrame, percent: int, exact: bool) -> DataFrame:
+    """(a, b): a forest over the members of every pair of blocks, whose trees are what its candidate pairs connect.
+
+    ``rows``: (key, lo, hi, side, rep, n, comp, sketch, items). Candidates are pairs of different components whose sizes
+    and sketches do not rule out a link; ``exact`` also confirms them on the whole sets. The comparison is numpy
+    inside the task, which holds one pair of blocks; the forest has fewer rows than the members.
     """
     id_type = rows.schema["rep"].dataType.simpleString()
 
     def compare(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        rep, n, comp = (t.column(c).to_numpy() for c in ("rep", "n", "comp"))
+        rep, n, comp, side = (t.column(c).to_numpy() for c in ("rep", "n", "comp", "side"))
         sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), dtype=np.uint8).reshape(len(rep), -1)
-        group = np.stack([t.column(c).to_numpy() for c in ("key", "lo", "hi")], axis=1)
-        side = t.column("side").to_numpy()
+        items = [np.sort(x.values.to_numpy().view(U64)) for x in t.column("items")] if exact else []
+        lo, hi = t.column("lo").to_numpy(), t.column("hi").to_numpy()
+        group = np.stack([t.column("key").to_numpy(), lo, hi], axis=1)
         cut = np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1
         width = sketch.shape[1]
         least = width * (percent / 100 - SIGMAS * np.sqrt(percent / 100 * (1 - percent / 100) / width))
-        a, b = [], []
         for i, j in zip([0, *cut], [*cut, len(rep)]):
-            same = group[i, 1] == group[i, 2]
-            for x in range(i, j if same else i + int((side[i:j] == 0).sum())):
-                others = np.arange(x + 1, j) if same else i + np.flatnonzero(side[i:j] == 1)
+            joined = _Joined(j - i)
+            across = i + np.flatnonzero(side[i:j] == 1)
+            for x in range(i, j if lo[i] == hi[i] else i + int((side[i:j] == 0).sum())):
+                others = np.arange(x + 1, j) if lo[i] == hi[i] else across
                 others = others[comp[others] != comp[x]]
                 others = others[100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x])]
-                if len(others):
-                    others = others[(sketch[others] == sketch[x]).sum(axis=1) >= least]
-                    a.append(np.minimum(rep[others], rep[x]))
-                    b.append(np.maximum(rep[others], rep[x]))
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+                others = others[(sketch[others] == sketch[x]).sum(axis=1) >= least]
+                if exact and len(others):
+                    flat = np.concatenate([items[y] for y in others])
+                    at = np.minimum(np.searchsorted(items[x], flat), len(items[x]) - 1)
+                    starts = np.cumsum([0, *(len(items[y]) for y in others[:-1])])
+                    both = np.add.reduceat((items[x][at] == flat).astype(np.int64), starts)
+                    others = others[100 * both >= percent * (n[others] + n[x] - both)]
+                for y in others:
+                    joined.add(x - i, int(y) - i)
+            if joined.forest:
+                ends = rep[i + np.array(joined.forest)]
+                yield pa.RecordBatch.from_arrays([pa.array(ends.min(axis=1)), pa.array(ends.max(axis=1))], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for batch in batches:
-            t = pa.Table.from_batches([batch])
-            held = t if held is None else pa.concat_tables([held, t])
-            group = np.stack([held.column(c).to_numpy() for c in ("key", "lo", "hi")], axis=1)
-            last = int(np.flatnonzero((group != group[-1]).any(axis=1)).max(initial=-1)) + 1  # the last group may go on
-            if last:
-                yield from compare(held.slice(0, last))
-                held = held.slice(last)
+            for at in range(0, batch.num_rows, BLOCK):
+                t = pa.Table.from_batches([batch.slice(at, BLOCK)])
+                held = t if held is None else pa.concat_tables([held, t])
+                group = np.stack([held.column(c).to_numpy() for c in ("key", "lo", "hi")], axis=1)
+                last = int(np.flatnonzero((group != group[-1]).any(axis=1)).max(initial=-1)) + 1  # the last group may go on
+                if last:
+                    yield from compare(held.slice(0, last))
+                    held = held.slice(last)
         if held is not None and held.num_rows:
             yield from compare(held)
 
@@ -176,32 +207,44 @@ def alike(rows: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, f"a {id_type}, b {id_type}").distinct()
 
 
+def _blocks(rows: DataFrame, size) -> DataFrame:
+    """Deals the members of every key with several components to blocks of bounded ``size`` and pairs the blocks."""
+    mixed = (rows.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), size.alias("blocks"))
+             .where("c0 < c1").select("key", F.col("blocks").cast("int").alias("blocks")))
+    own = F.pmod(F.xxhash64("rep", F.lit(11)), F.col("blocks")).cast("int")
+    return (rows.join(mixed, "key").withColumn("own", own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+                "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+                (F.col("own") > F.col("other")).cast("int").alias("side"), "rep", "n", "comp"))
+
+
 def links(members: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """(node, root): components of the confirmed links among the members (key, rep, n) of shared buckets.
 
     First each bucket's smallest member is confirmed with all others, which connects a group of near copies at a cost
-    linear in its size. Then only buckets that still hold several components are compared, without that
-    member: in blocks of BLOCK members by their sketches, so that a task holds two blocks whatever the size of
-    the bucket, and what the sketches leave is confirmed on the whole sets.
+    linear in its size. Buckets that still hold several components are then compared by sketches; what those
+    connect are families. Last, each family's members, now once each and with their whole sets, are compared
+    and confirmed. Buckets and families of any size are dealt to pairs of blocks of bounded size; tasks emit
+    forests, never pairs, so no step has more rows than members (times the blocks).
     """
     hubs = members.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("h")).select(
         "key", F.col("h.rep").alias("hub"), F.col("h.n").alias("hub_n"))
     rest = members.join(hubs, "key").where("rep != hub")
-    pairs = stash(rest.where(F.lit(100) * F.least("n", "hub_n") >= F.lit(percent) * F.greatest("n", "hub_n"))
-                  .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
-    good = stash(confirm(pairs, sets, percent), "links")
-    roots = stash(connected_components(good), "roots")
-    now = rest.select("key", "rep", "n").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "comp", F.coalesce("root", "rep")).drop("root")
-    now = stash(now, "members")
-    mixed = (now.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("m"))
-             .where("c0 < c1").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
-    now = now.join(mixed, "key").join(sketches, "rep").withColumn(
-        "own", F.pmod(F.xxhash64("rep", F.lit(11)), F.col("blocks")).cast("int"))
-    now = now.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
-        (F.col("own") > F.col("other")).cast("int").alias("side"), "rep", "n", "comp", "sketch")
-    more = stash(confirm(stash(alike(now, percent), "alike"), sets, percent), "links")
+    tested = stash(rest.where(F.lit(100) * F.least("n", "hub_n") >= F.lit(percent) * F.greatest("n", "hub_n"))
+                   .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
+    roots = stash(connected_components(stash(confirm(tested, sets, percent), "links")), "roots")
+    named = roots.withColumnRenamed("node", "rep")
+    now = stash(rest.select("key", "rep", "n").join(named, "rep", "left")
+                .select("key", "rep", "n", F.coalesce("root", "rep").alias("comp")), "members")
+    rows = _blocks(now, F.ceil(F.count(F.lit(1)) / BLOCK)).join(sketches, "rep")
+    families = connected_components(stash(_compared(rows, percent, False), "alike"))
+    family = (families.select(F.col("root").alias("key"), F.col("node").alias("rep"))
+              .join(members.select("rep", "n").distinct(), "rep").join(named, "rep", "left")
+              .select("key", "rep", "n", F.coalesce("root", "rep").alias("comp")))
+    family = stash(family, "families")
+    size = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+    rows = _blocks(family, size).join(sketches, "rep").join(sets.withColumnRenamed("id", "rep"), "rep")
+    more = stash(_compared(rows, percent, True), "links")
     if more.isEmpty():
         return roots
     return stash(connected_components(more.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))), "roots")
