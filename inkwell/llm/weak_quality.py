@@ -187,7 +187,7 @@ def _linear(weights: np.ndarray, w: np.ndarray, first: np.ndarray) -> np.ndarray
 
 def score(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
     """``docs`` with ``quality`` (scorer, 0 to 1), ``weak_label`` (posterior of the votes) and ``keep``; clashing names
-    get an underscore. A document is kept when the mean of both is 0.5 or more.
+    get an underscore. A document is kept when the odds of both multiply to 1 or more.
 
     All rows and columns stay. Null and empty texts have no words: they are not kept.
     """
@@ -202,7 +202,8 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataF
             q = 1 / (1 + np.exp(-np.clip(m.offset + m.slope * _linear(m.weights, w, first), -40, 40)))
             empty = np.diff(first) == 0
             q, weak = np.where(empty, 0.0, q), np.where(empty, 0.0, weak)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(q), pa.array(weak), pa.array((q + weak) / 2 >= 0.5)],
+            odds = np.log(np.clip([q, weak], 1e-9, 1 - 1e-9)) - np.log1p(-np.clip([q, weak], 1e-9, 1 - 1e-9))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(q), pa.array(weak), pa.array(odds.sum(axis=0) >= 0)],
                                              [*batch.schema.names, *names])
 
     schema = StructType(list(docs.schema.fields)).add(names[0], "double").add(names[1], "double").add(names[2], "boolean")
