@@ -98,12 +98,6 @@ HTML_ENTITIES = [
 # ---------------------------------------------------------------------------
 # Defaults of the reference's options (fixed values)
 # ---------------------------------------------------------------------------
-DEFAULT_TOPIC_LABELS = [
-    "politics", "sports", "business", "technology", "health", "entertainment",
-    "science", "world", "local", "environment", "crime", "education", "opinion",
-]
-DEFAULT_COUNTRIES = ["us", "ae"]
-DEFAULT_CATEGORIES = ["business", "technology", "science"]
 TARGET_LANGUAGES = ["ar", "en"]
 QUOTA_PER_LANGUAGE = 150
 PAGE_SIZE = 50
@@ -112,6 +106,5 @@ SPLIT_SEED = 42
 SPLIT_CUTS = (0.7, 0.85)
 EPOCHS = 2
 BATCH_SIZE = 8
-SCORING_CHARS = 512
 SENTINEL_EMPTY = "EMPTY"
 SENTINEL_ERROR = "ERROR"

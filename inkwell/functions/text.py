@@ -139,8 +139,3 @@ def first_non_empty(*cols) -> Column:
 def non_blank(col) -> Column:
     """Python's ``text.strip() != ''`` (Spark's trim only strips U+0020)."""
     return _c(col).rlike(C.NON_BLANK_RE)
-
-
-def truncate_chars(col, n: int) -> Column:
-    """First ``n`` code points (Python's ``text[:n]``); opt-in, the library scores whole texts."""
-    return F.substring(_c(col), 1, n)

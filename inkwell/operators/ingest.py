@@ -25,11 +25,11 @@ def detect_headline_language(feed: DataFrame, model, id_col: str = "doc_id") ->
     return langid.detect(feed, id_col, "headline_text", model).drop("language_prob")
 
 
-def select_rows(feed: DataFrame, languages=tuple(C.TARGET_LANGUAGES), quota: int = C.QUOTA_PER_LANGUAGE,
+def select_rows(feed: DataFrame, languages=tuple(C.TARGET_LANGUAGES), quota: int | None = None,
                 order_col: str = "doc_id") -> DataFrame:
-    """Target languages only, first ``quota`` rows of each in feed order."""
+    """Target languages only: all rows, or with a ``quota`` the first so many of each in feed order."""
     kept = feed.where(F.col("language").isin(list(languages)))
-    return first_per_group(kept, quota, ["language"], [F.col(order_col)])
+    return kept if quota is None else first_per_group(kept, quota, ["language"], [F.col(order_col)])
 
 
 def lookup_pages(rows: DataFrame, pages: DataFrame, url_col: str = "source_url",
@@ -73,11 +73,11 @@ def to_article(rows: DataFrame, url_col: str = "source_url") -> DataFrame:
 
 
 def feed_to_articles(feed: DataFrame, pages: DataFrame, model, languages=tuple(C.TARGET_LANGUAGES),
-                     quota: int = C.QUOTA_PER_LANGUAGE) -> DataFrame:
+                     quota: int | None = None) -> DataFrame:
     """The whole ingest stage: detect -> target languages -> quota -> page lookup -> article."""
     detected = detect_headline_language(feed, model)
     selected = select_rows(detected, languages, quota)
-    return to_article(lookup_pages(selected, pages, rows_bounded=True))
+    return to_article(lookup_pages(selected, pages, rows_bounded=quota is not None))
 
 
 def api_to_article(rows: DataFrame, model) -> DataFrame:

@@ -39,26 +39,19 @@ def fit(docs: DataFrame, label_col: str, features_col: str, group_cols=(), alpha
     priors = n_docs.select(*g, "label", (F.log("n") - F.log(F.sum("n").over(w_all))).alias("log_prior"))
     totals = counts.groupBy(*g, "label").agg(F.sum("c").alias("t"))
     vocab = counts.groupBy(*g).agg(F.countDistinct("feature").alias("v"))
-    labels = [r[0] for r in n_docs.select("label").distinct().orderBy("label").collect()]
-    wide = counts.groupBy(*g, "feature").pivot("label", labels).agg(F.first("c")).fillna(0, subset=labels)
-    stack = ", ".join(f"{_lit(lab)}, `{lab}`" for lab in labels)
-    dense = wide.selectExpr(*[f"`{c}`" for c in g], "feature",
-                            f"stack({len(labels)}, {stack}) AS (label, c)")
-    dense = dense.join(priors.select(*g, "label"), [*g, "label"])      # labels present in the group
-    small = totals.join(vocab, g)                                      # one row per (group, label)
-    cond = dense.join(F.broadcast(small), [*g, "label"]).select(
-        *g, "feature", "label",
-        (F.log(F.col("c") + F.lit(alpha)) - F.log(F.col("t") + F.lit(alpha) * F.col("v"))).alias("log_p"))
+    # one row per group: its labels with their totals (labels are few), and one map of counts per feature
+    labels = totals.join(vocab, g).groupBy(*g).agg(F.collect_list(F.struct("label", "t", "v")).alias("labels"))
+    by_feature = counts.groupBy(*g, "feature").agg(F.map_from_entries(F.collect_list(F.struct("label", "c"))).alias("m"))
+    dense = by_feature.join(labels, g).select(*g, "feature", "m", F.explode("labels").alias("x"))
+    count = F.coalesce(F.col("m")[F.col("x.label")], F.lit(0))
+    cond = dense.select(*g, "feature", F.col("x.label").alias("label"),
+                        (F.log(count + F.lit(alpha)) - F.log(F.col("x.t") + F.lit(alpha) * F.col("x.v"))).alias("log_p"))
     return NBModel(cond=cond, priors=priors, group_cols=g)
 
 
 _ALL = "_nb_all"
 
 
-def _lit(s: str) -> str:
-    return "'" + str(s).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def log_scores(docs: DataFrame, id_col: str, features_col: str, model: NBModel) -> DataFrame:
     """(id, label, score): joint log-likelihood for every label sharing a feature with the document."""
     g = model.group_cols

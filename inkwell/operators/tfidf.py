@@ -21,7 +21,8 @@ from inkwell.functions.text import ngrams, terms
 def doc_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "cleaned_text") -> DataFrame:
     """(doc_id, term): one row per uni-/bigram occurrence."""
     t = docs.select(F.col(id_col).alias("doc_id"), terms(F.col(text_col)).alias("_t"))
-    return t.select("doc_id", F.explode(ngrams(F.col("_t"))).alias("term"))
+    # the test is pushed into one use of the counts only unless it stands before them
+    return t.select("doc_id", F.explode(ngrams(F.col("_t"))).alias("term")).where(F.col("term").isNotNull())
 
 
 def term_frequency(docs: DataFrame, id_col: str = "doc_id", text_col: str = "cleaned_text") -> DataFrame:

@@ -81,6 +81,7 @@ def _detected_feed(spark, sf_dir):
 
 _DETECTED_SQL = [O.FEED_ROWS, O.LANGID_MODEL, O.langid_detect("det", "feed_rows", "doc_id", "headline_text"),
                  "detected AS (SELECT f.*, d.language FROM feed_rows f JOIN det d USING (doc_id))"]
+_TARGET_SQL = _DETECTED_SQL + [f"selected AS (SELECT * FROM detected WHERE language IN {TARGETS})"]
 _SELECTED_SQL = _DETECTED_SQL + [f"""selected AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY language ORDER BY doc_id) AS rn
@@ -96,36 +97,35 @@ def q_filter_language(spark, sf_dir):
 
 @register("language_quota", sql=O.with_(*_SELECTED_SQL) + "SELECT doc_id, language FROM selected")
 def q_language_quota(spark, sf_dir):
-    return ingest.select_rows(_detected_feed(spark, sf_dir)).select("doc_id", "language")
+    return ingest.select_rows(_detected_feed(spark, sf_dir), quota=C.QUOTA_PER_LANGUAGE).select("doc_id", "language")
 
 
 _ORDER_CASE = "CASE language " + " ".join(
     f"WHEN {O.q(x)} THEN {i}" for i, x in enumerate(C.TARGET_LANGUAGES)) + " END"
 
 
-@register("union_languages", sql=O.with_(*_SELECTED_SQL) + f"""
+@register("union_languages", sql=O.with_(*_TARGET_SQL) + f"""
 SELECT doc_id, language,
        CAST(row_number() OVER (ORDER BY {_ORDER_CASE}, doc_id) AS BIGINT) AS position
 FROM selected""")
 def q_union_languages(spark, sf_dir):
-    """Selected rows of each language, concatenated in target-language order, with their position."""
+    """Rows of each target language, concatenated in target-language order, with their position.
+
+    Positions come from the exact rank within buckets of 4096 ids and a prefix sum over the
+    bucket counts, so no language is ordered in one task.
+    """
     sel = ingest.select_rows(_detected_feed(spark, sf_dir))
-    parts = [sel.where(F.col("language") == F.lit(lang)).withColumn("lang_order", F.lit(i))
-             for i, lang in enumerate(C.TARGET_LANGUAGES)]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    # at most quota * |languages| rows by construction: a global order is cheap here
-    w_in = Window.partitionBy("lang_order").orderBy("doc_id")
-    u = u.withColumn("rn", F.row_number().over(w_in))
-    sizes = u.groupBy("lang_order").agg(F.count(F.lit(1)).alias("n"))
-    offs = sizes.withColumn("off", F.coalesce(F.sum("n").over(
-        Window.orderBy("lang_order").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    u = u.join(F.broadcast(offs.select("lang_order", "off")), "lang_order")
-    return u.select("doc_id", "language", big(F.col("off") + F.col("rn")).alias("position"))
-
-
-_ARTICLE_SQL = O.with_(*_SELECTED_SQL, _PAGE_BY_URL) + f"""
+    place = F.array_position(F.array(*[F.lit(x) for x in C.TARGET_LANGUAGES]), F.col("language"))
+    u = sel.select("doc_id", "language", place.alias("lang_order"), F.floor(F.col("doc_id") / 4096).alias("bucket"))
+    sizes = u.groupBy("lang_order", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("lang_order", "bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offs = sizes.select("lang_order", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off"))
+    rn = F.row_number().over(Window.partitionBy("lang_order", "bucket").orderBy("doc_id"))
+    return (u.withColumn("rn", rn).join(offs, ["lang_order", "bucket"])
+            .select("doc_id", "language", big(F.col("off") + F.col("rn")).alias("position")))
+
+
+_ARTICLE_SQL = O.with_(*_TARGET_SQL, _PAGE_BY_URL) + f"""
 SELECT s.doc_id, NULL::VARCHAR AS source_id, {O.source_host('s.source_url')} AS source_name, '' AS author,
        s.headline_text AS title, s.headline_text AS description, s.source_url AS url,
        CASE WHEN p.html IS NULL THEN '' ELSE {O.main_image('p.html')} END AS urlToImage,
@@ -297,7 +297,7 @@ def q_stage_counts(spark, sf_dir):
     """Rows at each ingest stage, as one table (the reference prints them)."""
     det = _detected_feed(spark, sf_dir)
     tgt = det.where(F.col("language").isin(C.TARGET_LANGUAGES))
-    sel = ingest.select_rows(det)
+    sel = ingest.select_rows(det, quota=C.QUOTA_PER_LANGUAGE)
 
     def n(df, stage):
         return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(stage).alias("stage"), "n_rows")

@@ -58,8 +58,8 @@ def read_feed(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
     df = reduce(DataFrame.unionByName, [_read_feed_file(spark, p, i) for i, p in enumerate(paths)])
     order = F.struct(F.col("_file").alias("file"), F.col("_pos").alias("pos"))
     bad = F.col("_bad").isNotNull()
-    # a short row leaves the last field missing; a long row fills all four
-    long_row = bad & F.col("headline_text").isNotNull()
+    # a long row is told by its fields, also where the fourth is empty; quoted parts hold no separators
+    long_row = bad & (F.size(F.split(F.regexp_replace("_bad", '"[^"]*"', ""), ",")) > len(FEED_COLUMNS))
     # Spark rejects scans that read only the corrupt-record column (e.g. under count());
     # this always-true test keeps a data column in every filter
     touch = F.coalesce(F.length(F.col("publish_time")), F.lit(0)) >= F.lit(0)

@@ -11,16 +11,15 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from inkwell.operators.preprocess import preprocess
-from inkwell.session import scratch_path
 from inkwell.sources.feed import RAW_ARTICLE_SCHEMA
 
 
-def start(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str | None = None,
+def start(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str,
           available_now: bool = True, max_files_per_trigger: int = 1000) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it processes what is there and stops."""
+    """Start the stream; a restart with the same ``checkpoint`` goes on where it stopped. With ``available_now`` it processes what is there and stops."""
     raw = (spark.readStream.schema(RAW_ARTICLE_SCHEMA)
            .option("maxFilesPerTrigger", max_files_per_trigger).json(source_dir))
     writer = (preprocess(raw).writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt")))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start(out_dir)

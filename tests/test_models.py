@@ -76,3 +76,11 @@ def test_valid_predictions_filter(spark):
     df = spark.createDataFrame([(1, "pos", "t"), (2, "ERROR", "t"), (3, "pos", "ERROR"), (4, "EMPTY", "EMPTY"),
                                 (5, None, "t")], "id int, sentiment string, topic string")
     assert [r["id"] for r in M.valid_predictions(df).collect()] == [1]
+
+
+def test_naive_bayes_takes_any_label(spark):
+    from inkwell.operators import naive_bayes
+
+    df = spark.createDataFrame([("sci.space", ["a", "b"]), ("it`s", ["c"]), ("sci.space", ["a"])], "label string, f array<string>")
+    model = naive_bayes.fit(df, "label", "f")
+    assert {r.label for r in model.cond.collect()} == {"sci.space", "it`s"} and model.cond.count() == 6

@@ -12,9 +12,10 @@ def test_stream_equals_batch(spark, fixtures):
     raw = S.read_articles(spark, os.path.join(fixtures, "raw_articles.json"), json_array=True)
     src = scratch_path(spark, "stream-src")
     S.write_articles(raw, src)
-    out = scratch_path(spark, "stream-out")
-    q = preprocess_stream.start(spark, src, out)
+    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    q = preprocess_stream.start(spark, src, out, ckpt)
     q.awaitTermination(120)
+    preprocess_stream.start(spark, src, out, ckpt).awaitTermination(120)  # a restart adds nothing
     got = sorted(tuple(r) for r in spark.read.parquet(out).select("title", "cleaned_text").collect())
     want = sorted(tuple(r) for r in preprocess(raw).select("title", "cleaned_text").collect())
     assert got == want
