@@ -71,30 +71,6 @@ ARABIC_STOPWORDS = """
 كل بعض غير بين حتى إذا عند منذ أي
 """.split()
 
-# ---------------------------------------------------------------------------
-# HTML character references decoded by the text extractors (fixed values).
-# '&amp;' is decoded last so '&amp;lt;' becomes '&lt;', not '<'.
-# ---------------------------------------------------------------------------
-HTML_ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-    ("&middot;", "·"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&hellip;", "…"),
-    ("&lsquo;", "‘"),
-    ("&rsquo;", "’"),
-    ("&ldquo;", "“"),
-    ("&rdquo;", "”"),
-    ("&amp;", "&"),
-]
-
 # ---------------------------------------------------------------------------
 # Defaults of the reference's options (fixed values)
 # ---------------------------------------------------------------------------

@@ -9,6 +9,8 @@ first closing tag ends the article).
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,8 +24,8 @@ INVISIBLE_RE = [
 ]
 SEPARATOR = "<>"                       # matches TAG_SPLIT_RE, so removed blocks split text
 TAG_SPLIT_RE = r"<[A-Za-z/!?][^>]*>|<>"
-HAS_ARTICLE_RE = r"(?i)<article\b"
-ARTICLE_RE = r"(?is)<article\b[^>]*>(.*?)(?:</article\s*>|\z)"
+HAS_ARTICLE_RE = r"(?i)<article(?:[\s/][^>]*)?>"
+ARTICLE_RE = r"(?is)<article(?:[\s/][^>]*)?>(.*?)(?:</article\s*>|\z)"
 PARAGRAPH_OPEN_RE = r"(?is)<p\b[^>]*>"
 PARAGRAPH_END_RE = r"</p\s*>|</article\s*>|</body\s*>|</div\s*>"
 PARAGRAPH_RE = rf"(?is)<p\b[^>]*>(.*?)(?=<p\b|{PARAGRAPH_END_RE}|\z)"
@@ -31,18 +33,35 @@ META_IMAGE_RE = r"""(?is)<meta\s[^>]*?property\s*=\s*(?:"og:image"|'og:image')[^
 CONTENT_DQ_RE = r"""(?is)\scontent\s*=\s*"([^"]*)\""""
 CONTENT_SQ_RE = r"""(?is)\scontent\s*=\s*'([^']*)'"""
 HAS_CONTENT_RE = r"""(?is)\scontent\s*="""
+# References first, then the text between them; a lone '&' is itself.
+REFERENCE_RE = r"&#[xX][0-9A-Fa-f]+;?|&#[0-9]+;?|&[A-Za-z][A-Za-z0-9]*;|[^&]+|&"
 EDGE_WS_RE = rf"^[{C.WS}]+|[{C.WS}]+\z"
 
+#: The named references: the standard library's table, as map entries; ``&apos;`` is HTML 5's.
+ENTITIES = {f"&{name};": chr(code) for name, code in name2codepoint.items()} | {"&apos;": "'"}
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _reference(p: Column) -> Column:
+    """The character of one reference; text that is none stays as it is."""
+    hexa = p.rlike("^&#[xX]")
+    digits = F.regexp_extract(p, "^&#[xX]?([0-9A-Fa-f]+)", 1)
+    n = F.when(F.length(digits) > 7, F.lit(0)).otherwise(
+        F.when(hexa, F.conv(digits, 16, 10)).otherwise(digits).cast("bigint"))
+    known = n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    return (F.when(p.startswith("&#") & (F.length(p) > 2), F.when(known, char).otherwise(F.lit("\uFFFD")))
+            .when(p.startswith("&"), F.coalesce(F.element_at(F.create_map(*[F.lit(x) for entry in ENTITIES.items() for x in entry]), p), p)).otherwise(p))
+
+
 def unescape(col) -> Column:
+    """Numeric (decimal, hex) and named character references decoded in one pass; unknown names stay."""
     x = _c(col)
-    for ref, ch in C.HTML_ENTITIES:
-        x = F.replace(x, F.lit(ref), F.lit(ch))
-    return x
+    parts = F.transform(F.regexp_extract_all(x, F.lit(REFERENCE_RE), 0), _reference)
+    return F.when(x.contains("&"), F.array_join(parts, "")).otherwise(x)
 
 
 def visible(html) -> Column:

@@ -55,7 +55,7 @@ def to_article(rows: DataFrame, url_col: str = "source_url") -> DataFrame:
     """Project a looked-up feed row to the raw-article shape."""
     page = F.col("html")
     got = page.isNotNull()
-    keep = [c for c in ("doc_id",) if c in rows.columns]
+    keep = [c for c in ("doc_id", "feed_order") if c in rows.columns]
     return rows.select(
         *keep,
         F.struct(F.lit(None).cast("string").alias("id"),
@@ -73,21 +73,26 @@ def to_article(rows: DataFrame, url_col: str = "source_url") -> DataFrame:
 
 
 def feed_to_articles(feed: DataFrame, pages: DataFrame, model, languages=tuple(C.TARGET_LANGUAGES),
-                     quota: int | None = None) -> DataFrame:
-    """The whole ingest stage: detect -> target languages -> quota -> page lookup -> article."""
-    detected = detect_headline_language(feed, model)
-    selected = select_rows(detected, languages, quota)
+                     quota: int | None = None, id_col: str | None = None) -> DataFrame:
+    """The whole ingest stage: detect -> target languages -> quota -> page lookup -> article.
+
+    ``id_col`` identifies and orders the rows: ``doc_id`` when the feed has one, else the
+    ``feed_order`` of ``read_feed``.
+    """
+    id_col = id_col or ("doc_id" if "doc_id" in feed.columns else "feed_order")
+    detected = detect_headline_language(feed, model, id_col)
+    selected = select_rows(detected, languages, quota, id_col)
     return to_article(lookup_pages(selected, pages, rows_bounded=quota is not None))
 
 
 def api_to_article(rows: DataFrame, model) -> DataFrame:
     """API rows -> articles with per-field defaults; language of description (else title),
     falling back to the request's default ('ar' for country 'ae', else 'en')."""
-    rid = F.concat_ws(":", *[F.col(c).cast("string") for c in ("country", "category", "page", "pos")
-                             if c in rows.columns])
-    base = rows.withColumn("_rid", rid).withColumn("_lt", F.coalesce(
+    # the language depends on the text alone: distinct texts are scored, whatever response they came in
+    base = rows.withColumn("_lt", F.coalesce(
         F.nullif(F.col("description"), F.lit("")), F.nullif(F.col("title"), F.lit("")), F.lit("")))
-    det = langid.detect(base, "_rid", "_lt", model, out_col="_lang")
+    texts = base.select("_lt", F.col("_lt").alias("_text")).distinct()
+    det = base.join(langid.detect(texts, "_lt", "_text", model, out_col="_lang").select("_lt", "_lang"), "_lt")
     default_lang = F.when(F.col("country") != F.lit("ae"), F.lit("en")).otherwise(F.lit("ar"))
     empty_source = F.struct(F.lit(None).cast("string").alias("id"), F.lit(None).cast("string").alias("name"))
     out = det.select(

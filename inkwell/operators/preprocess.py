@@ -28,7 +28,7 @@ def preprocess(articles: DataFrame, arabic_normalize: bool = False,
         T.join_tokens(tokens).alias("cleaned_text"),
         F.col("publishedAt"),
         F.col("source"),
-        F.col("url"),
+        *([F.col("url")] if "url" in articles.columns else []),
         F.col("description"),
         F.col("content"),
     )

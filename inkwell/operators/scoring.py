@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell import constants as C
+from inkwell.functions import text as T
 from inkwell.operators import models as M
 from inkwell.operators import tfidf
 from inkwell.operators.preprocess import preprocess
@@ -59,18 +60,18 @@ def seed_weights(candidates: DataFrame, vec: tfidf.Vectorizer) -> DataFrame:
 
 def topic_scores(doc_weights: DataFrame, docs: DataFrame, candidates: DataFrame, vec: tfidf.Vectorizer,
                  id_col: str = "doc_id", temperature: float = TOPIC_TEMPERATURE) -> DataFrame:
-    """(id, topic, topic_score, n_labels): cosine to every label's seed, softmax over all labels.
+    """(id, topic, topic_score, n_labels, best_cos, n_present): cosine to every label's seed, softmax over all labels.
 
     Only labels sharing a term with the document produce join rows; the others
     have cosine 0 and enter the softmax as exp(0) each, so no document x label
-    product is built. Ties go to the smaller label.
+    product is built. Ties go to the smaller label. Any number of labels is taken: the
+    seeds are joined on the term, and Spark broadcasts them where their size allows.
     """
-    n_labels = candidates.count()
-    if n_labels == 0 or n_labels > MAX_LABELS:
-        raise ValueError(f"candidate labels must number 1..{MAX_LABELS}, got {n_labels}")
-    first_label = candidates.agg(F.min("label")).first()[0]
-    sw = seed_weights(candidates, vec)          # <= n_labels * max_features rows
-    sims = (doc_weights.join(F.broadcast(sw), "term")
+    n_labels, first_label = candidates.agg(F.count(F.lit(1)), F.min("label")).first()
+    if n_labels == 0:
+        raise ValueError("no candidate labels")
+    sw = seed_weights(candidates, vec)
+    sims = (doc_weights.join(sw, "term")
             .groupBy(id_col, "label").agg(F.sum(F.col("weight") * F.col("sw")).alias("cos")))
     t = F.lit(temperature)
     per_doc = sims.groupBy(id_col).agg(
@@ -85,7 +86,39 @@ def topic_scores(doc_weights: DataFrame, docs: DataFrame, candidates: DataFrame,
     topic = F.when(top_is_present, F.col("best")).otherwise(F.lit(first_label))
     score = F.when(top_is_present, F.exp(F.col("best_cos") / t)).otherwise(F.lit(1.0)) / denom
     return out.select(id_col, topic.alias("topic"), score.alias("topic_score"),
-                      F.lit(n_labels).cast("bigint").alias("n_labels"))
+                      F.lit(n_labels).cast("bigint").alias("n_labels"),
+                      F.coalesce("best_cos", F.lit(0.0)).alias("best_cos"),
+                      F.coalesce("n_present", F.lit(0)).cast("bigint").alias("n_present"))
+
+
+# --- M9 analysis ------------------------------------------------------------------------------
+
+def headlines(articles: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, language, cleaned_text) of every article whose headline (description, else title) is not blank."""
+    head = T.first_non_empty("description", "title")
+    lang = F.coalesce(F.col("language"), F.lit("en"))
+    return articles.where(T.non_blank(head)).select(id_col, lang.alias("language"),
+                                                    T.cleaned_text(head, lang).alias("cleaned_text"))
+
+
+def analyze(heads: DataFrame, sentiment_model, vec: tfidf.Vectorizer, candidates: DataFrame) -> DataFrame:
+    """(doc_id, sentiment_analysis, topic_classification) of every headline.
+
+    Each struct holds label/score (topic/confidence), or ``error`` and nulls where the headline has
+    no words left after cleaning or no model covers it.
+    """
+    worded = heads.where(T.non_blank("cleaned_text"))
+    topics = topic_scores(tfidf.transform(tfidf.term_frequency(worded), vec), worded, candidates, vec)
+    moods = score_sentiment(heads, sentiment_model)
+    failed = F.col("sentiment").isNull() | F.col("sentiment").isin(C.SENTINEL_EMPTY, C.SENTINEL_ERROR)
+    why = F.when(F.col("sentiment") == F.lit(C.SENTINEL_EMPTY), F.lit("no words")).otherwise(F.lit("no model"))
+    return (heads.select("doc_id").join(moods, "doc_id", "left").join(topics, "doc_id", "left").select(
+        "doc_id",
+        F.struct(F.when(~failed, F.col("sentiment")).alias("label"),
+                 F.when(~failed, F.col("sentiment_score")).alias("score"),
+                 F.when(failed, why).alias("error")).alias("sentiment_analysis"),
+        F.struct(F.col("topic"), F.col("topic_score").alias("confidence"),
+                 F.when(F.col("topic").isNull(), F.lit("no words")).alias("error")).alias("topic_classification")))
 
 
 # --- M7 centroids ---------------------------------------------------------------------------
@@ -97,13 +130,13 @@ def centroid_scores(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
                           F.posexplode(vec_col).alias("pos", "x")).withColumn("x", F.col("x").cast("double"))
     cent = long.groupBy(F.col("label").alias("c_label"), "pos").agg(F.avg("x").alias("c"))
     n_cent = cent.select("c_label").distinct().count()
-    if n_cent > MAX_LABELS:
-        raise ValueError(f"too many centroid labels: {n_cent}")
+    # more labels are joined by a shuffle
+    small = F.broadcast if n_cent <= MAX_LABELS else (lambda d: d)
     cnorm = cent.groupBy("c_label").agg(F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("cn"))
     vnorm = long.groupBy(id_col).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("vn"))
-    dots = (long.join(F.broadcast(cent), "pos")        # labels x dims rows
+    dots = (long.join(small(cent), "pos")        # labels x dims rows
             .groupBy(id_col, "c_label").agg(F.sum(F.col("x") * F.col("c")).alias("dot")))
-    cos = (dots.join(F.broadcast(cnorm), "c_label").join(vnorm, id_col)
+    cos = (dots.join(small(cnorm), "c_label").join(vnorm, id_col)
            .select(id_col, "c_label", F.when((F.col("cn") > 0) & (F.col("vn") > 0),
                                              F.col("dot") / (F.col("cn") * F.col("vn"))).otherwise(0.0).alias("cos")))
     best = cos.groupBy(id_col).agg(

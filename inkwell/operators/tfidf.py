@@ -37,22 +37,31 @@ def document_frequency(tf: DataFrame) -> DataFrame:
 
 @dataclass
 class Vectorizer:
-    vocabulary: DataFrame   # term, term_id, cf, df, idf  (<= max_features rows)
+    vocabulary: DataFrame   # term, term_id, cf, df, idf  (<= max_features rows; every term when uncapped)
     n_docs: int
+    capped: bool = True
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "cleaned_text",
-        max_features: int = C.MAX_FEATURES, tf: DataFrame | None = None) -> Vectorizer:
-    """Top ``max_features`` terms by corpus count (count desc, term asc); ids in term order."""
+        max_features: int | None = C.MAX_FEATURES, tf: DataFrame | None = None) -> Vectorizer:
+    """Top ``max_features`` terms by corpus count (count desc, term asc); ids in term order.
+
+    With None every term is kept, without ids; its vectors come from a join on the term.
+    """
     tf = tf if tf is not None else term_frequency(docs, id_col, text_col)
     n_docs = docs.count()
+    idf = F.log((F.lit(1.0) + F.lit(n_docs)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
+    if max_features is None:
+        every = document_frequency(tf).select("term", F.lit(None).cast("int").alias("term_id"), "cf", "df",
+                                              idf.alias("idf"))
+        return Vectorizer(vocabulary=every, n_docs=n_docs, capped=False)
     top = document_frequency(tf).orderBy(F.desc("cf"), F.asc("term")).limit(max_features)
     # <= max_features rows: a single ordered window is bounded by construction
     vocab = top.select(
         "term",
         (F.row_number().over(Window.orderBy("term")) - 1).cast("int").alias("term_id"),
         "cf", "df",
-        (F.log((F.lit(1.0) + F.lit(n_docs)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"),
+        idf.alias("idf"),
     )
     return Vectorizer(vocabulary=vocab, n_docs=n_docs)
 
@@ -62,14 +71,15 @@ def transform(tf: DataFrame, vec: Vectorizer) -> DataFrame:
 
     A document without vocabulary terms has no rows (the zero vector).
     """
-    w = tf.join(F.broadcast(vec.vocabulary.select("term", "term_id", "idf")), "term")
+    vocabulary = vec.vocabulary.select("term", "term_id", "idf")
+    w = tf.join(F.broadcast(vocabulary) if vec.capped else vocabulary, "term")
     w = w.select("doc_id", "term_id", "term", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
     return w.select("doc_id", "term_id", "term", (F.col("w") / norm).alias("weight"))
 
 
 def fit_transform(docs: DataFrame, id_col: str = "doc_id", text_col: str = "cleaned_text",
-                  max_features: int = C.MAX_FEATURES) -> tuple[Vectorizer, DataFrame]:
+                  max_features: int | None = C.MAX_FEATURES) -> tuple[Vectorizer, DataFrame]:
     tf = term_frequency(docs, id_col, text_col)
     vec = fit(docs, id_col, text_col, max_features, tf=tf)
     return vec, transform(tf, vec)

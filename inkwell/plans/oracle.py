@@ -220,9 +220,14 @@ def _fields():
 
 
 def unescape(x: str) -> str:
-    for ref, ch in C.HTML_ENTITIES:
-        x = f"replace({x}, {q(ref)}, {q(ch)})"
-    return x
+    names = _html().ENTITIES
+    named = f"map({sql_list(names)}, {sql_list(names.values())})"
+    code = ("TRY_CAST(CASE WHEN r[3] IN ('x', 'X') THEN '0x' || rtrim(r[4:], ';') ELSE rtrim(r[3:], ';') END AS BIGINT)")
+    ok = f"({code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111)"
+    one = (f"CASE WHEN r LIKE '&#_%' THEN CASE WHEN {ok} THEN chr(CAST({code} AS INTEGER)) ELSE chr(65533) END "
+           f"WHEN r LIKE '&_%' THEN coalesce({named}[r], r) ELSE r END")
+    parts = f"regexp_extract_all({x}, '&#[xX][0-9A-Fa-f]+;?|&#[0-9]+;?|&[A-Za-z][A-Za-z0-9]*;|[^&]+|&')"
+    return f"CASE WHEN {x} LIKE '%&%' THEN array_to_string(list_transform({parts}, lambda r: {one}), '') ELSE {x} END"
 
 
 def visible(h: str) -> str:
@@ -299,13 +304,13 @@ cleaned AS (
   FROM articles)"""
 
 
-def tfidf_ctes(src: str = "cleaned", max_features: int = C.MAX_FEATURES) -> str:
+def tfidf_ctes(src: str = "cleaned", max_features: int | None = C.MAX_FEATURES) -> str:
     """CTEs tf(doc_id, term, tf), stats(term, df, cf), vocab(term, term_id, cf, df, idf), weights(...)."""
     return f"""toks AS (SELECT doc_id, {terms('cleaned_text')} AS t FROM {src}),
 grams AS (SELECT doc_id, unnest({ngrams('t')}) AS term FROM toks),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM grams GROUP BY doc_id, term),
 stats AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM tf GROUP BY term),
-top AS (SELECT term, cf, df FROM stats ORDER BY cf DESC, term LIMIT {max_features}),
+top AS (SELECT term, cf, df FROM stats {'' if max_features is None else f'ORDER BY cf DESC, term LIMIT {max_features}'}),
 vocab AS (
   SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS term_id, cf, df,
          ln((1.0 + n.n) / (1.0 + df)) + 1.0 AS idf
@@ -437,9 +442,8 @@ sentiment AS (
   FROM cleaned c LEFT JOIN smp p ON p.id = c.doc_id)"""
 
 
-def topic_ctes(docs: str, temperature: float = 0.1) -> str:
-    """Needs CLEANED + tfidf_ctes (vocab, weights over cleaned). ``docs(doc_id)`` lists the scored rows.
-    CTE topics(doc_id, topic, topic_score, n_labels)."""
+def seed_ctes() -> str:
+    """Needs tfidf_ctes (vocab). CTEs nl(n, first_label), seed_w(label, term, sw)."""
     seeds_clean = cleaned_text(first_non_empty("seed_text", "seed_text"), "'en'")
     return f"""cand AS (SELECT 'topic_' || CAST(item_id AS VARCHAR) AS label, text AS seed_text FROM benchmark),
 nl AS (SELECT count(*) AS n, min(label) AS first_label FROM cand),
@@ -448,18 +452,24 @@ seed_t AS (SELECT label, {terms('cleaned_text')} AS t FROM seed_c),
 seed_g AS (SELECT label, unnest({ngrams('t')}) AS term FROM seed_t),
 seed_tf AS (SELECT label, term, count(*) AS tf FROM seed_g GROUP BY label, term),
 seed_w0 AS (SELECT s.label, s.term, s.tf * v.idf AS w FROM seed_tf s JOIN vocab v USING (term)),
-seed_w AS (SELECT label, term, w / sqrt(sum(w * w) OVER (PARTITION BY label)) AS sw FROM seed_w0),
-sims AS (SELECT d.doc_id, s.label, sum(d.weight * s.sw) AS cos
-         FROM weights d JOIN seed_w s USING (term) GROUP BY d.doc_id, s.label),
-sims_r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY cos DESC, label) AS rk FROM sims),
-per_doc AS (SELECT doc_id, max(CASE WHEN rk = 1 THEN label END) AS best, max(cos) AS best_cos,
-                   sum(exp(cos / {temperature})) AS mass, count(*) AS n_present FROM sims_r GROUP BY doc_id),
-topics AS (
+seed_w AS (SELECT label, term, w / sqrt(sum(w * w) OVER (PARTITION BY label)) AS sw FROM seed_w0)"""
+
+
+def topic_ctes(docs: str, temperature: float = 0.1, weights: str = "weights", p: str = "") -> str:
+    """Needs seed_ctes. ``docs(doc_id)`` lists the scored rows, ``weights(doc_id, term, weight)`` their vectors.
+    CTE {p}topics(doc_id, topic, topic_score, n_labels, best_cos, n_present)."""
+    return f"""{p}sims AS (SELECT d.doc_id, s.label, sum(d.weight * s.sw) AS cos
+         FROM {weights} d JOIN seed_w s USING (term) GROUP BY d.doc_id, s.label),
+{p}sims_r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY cos DESC, label) AS rk FROM {p}sims),
+{p}per_doc AS (SELECT doc_id, max(CASE WHEN rk = 1 THEN label END) AS best, max(cos) AS best_cos,
+                   sum(exp(cos / {temperature})) AS mass, count(*) AS n_present FROM {p}sims_r GROUP BY doc_id),
+{p}topics AS (
   SELECT d.doc_id,
          CASE WHEN p.best IS NOT NULL AND (p.best_cos > 0 OR p.best <= nl.first_label) THEN p.best
               ELSE nl.first_label END AS topic,
          (CASE WHEN p.best IS NOT NULL AND (p.best_cos > 0 OR p.best <= nl.first_label)
                THEN exp(p.best_cos / {temperature}) ELSE 1.0 END)
            / (coalesce(p.mass, 0.0) + (nl.n - coalesce(p.n_present, 0))) AS topic_score,
-         CAST(nl.n AS BIGINT) AS n_labels
-  FROM {docs} d CROSS JOIN nl LEFT JOIN per_doc p USING (doc_id))"""
+         CAST(nl.n AS BIGINT) AS n_labels, coalesce(p.best_cos, 0) AS best_cos,
+         CAST(coalesce(p.n_present, 0) AS BIGINT) AS n_present
+  FROM {docs} d CROSS JOIN nl LEFT JOIN {p}per_doc p USING (doc_id))"""

@@ -68,8 +68,10 @@ def q_feed_page_join(spark, sf_dir):
     """Every feed row looked up in the page table (failed fetch = '')."""
     fr = feed_rows(spark, sf_dir)
     pages = table(spark, sf_dir, "pages")
-    one = pages.groupBy("url").agg(F.min_by("html", "page_id").alias("html"))
-    j = fr.join(one.withColumnRenamed("url", "source_url"), "source_url", "left")
+    # the page of each url is chosen on the narrow columns; html is then fetched once, by page id
+    one = pages.where(F.col("html").isNotNull()).groupBy("url").agg(F.min("page_id").alias("page_id"))
+    found = pages.select("page_id", "html").join(one, "page_id").select(F.col("url").alias("source_url"), "html")
+    j = fr.join(found, "source_url", "left")
     return j.select("doc_id", "source_url", F.col("html").isNotNull().alias("has_page"),
                     F.when(F.col("html").isNotNull(), html.main_text("html")).otherwise(F.lit(""))
                     .alias("content"))
@@ -152,7 +154,7 @@ def q_feed_to_article(spark, sf_dir):
 @register("filter_content_len", sql=O.with_(O.ARTICLES) + """
 SELECT doc_id, language FROM articles WHERE content IS NOT NULL AND length(content) > 5""")
 def q_filter_content_len(spark, sf_dir):
-    a = articles(spark, sf_dir)
+    a = articles(spark, sf_dir, url=False)
     return a.where(F.col("content").isNotNull() & (F.length("content") > 5)).select("doc_id", "language")
 
 
@@ -162,14 +164,14 @@ SELECT doc_id, language FROM (
   FROM articles WHERE length(content) > 5) WHERE rn <= 5""")
 def q_first_k_per_language(spark, sf_dir):
     """First 5 articles with content of every language (the reference's demo takes ar and en)."""
-    a = articles(spark, sf_dir).where(F.length("content") > 5)
+    a = articles(spark, sf_dir, url=False).where(F.length("content") > 5)
     return ingest.first_per_group(a, 5, ["language"], [F.col("doc_id")]).select("doc_id", "language")
 
 
 @register("head_articles", sql=O.with_(O.ARTICLES) + """
 SELECT doc_id, language, title FROM articles ORDER BY doc_id LIMIT 10""")
 def q_head_articles(spark, sf_dir):
-    return articles(spark, sf_dir).orderBy("doc_id").limit(10).select("doc_id", "language", "title")
+    return articles(spark, sf_dir, url=False).orderBy("doc_id").limit(10).select("doc_id", "language", "title")
 
 
 @register("request_grid", sql=f"""
@@ -177,9 +179,9 @@ SELECT lower(n.n_name) AS country, lower(r.r_name) AS category, CAST({C.PAGE_SIZ
        CASE WHEN lower(n.n_name) <> 'ae' THEN 'en' ELSE 'ar' END AS language
 FROM nation n CROSS JOIN region r""")
 def q_request_grid(spark, sf_dir):
-    """countries = nation names, categories = region names (a short parameter list)."""
+    """countries = nation names, categories = region names."""
     countries = table(spark, sf_dir, "nation").select(F.lower("n_name").alias("country"))
-    cats = [r[0] for r in table(spark, sf_dir, "region").select(F.lower("r_name")).limit(10_001).collect()]
+    cats = table(spark, sf_dir, "region").select(F.lower("r_name").alias("category"))
     return S.request_grid(spark, countries, cats)
 
 
@@ -222,7 +224,7 @@ FROM articles"""
 @register("sink_roundtrip_json", sql=_CLEAN_SQL)
 def q_sink_roundtrip_json(spark, sf_dir):
     path = scratch_path(spark, "cleaned-json")
-    S.write_articles(preprocess(spread(articles(spark, sf_dir))), path)
+    S.write_articles(preprocess(spread(articles(spark, sf_dir, url=False))), path)
     back = spark.read.json(path)
     return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "title", "language", "cleaned_text")
 
@@ -232,7 +234,7 @@ SELECT language, count(*) AS n_articles, CAST(sum(length(cleaned_text)) AS BIGIN
 FROM ({_CLEAN_SQL}) GROUP BY language""")
 def q_sink_by_language(spark, sf_dir):
     path = scratch_path(spark, "cleaned-by-lang")
-    S.write_articles(preprocess(spread(articles(spark, sf_dir))), path, by="language")
+    S.write_articles(preprocess(spread(articles(spark, sf_dir, url=False))), path, by="language")
     back = spark.read.json(path)
     return back.groupBy("language").agg(F.count(F.lit(1)).alias("n_articles"),
                                         big(F.sum(F.length("cleaned_text"))).alias("n_chars"))

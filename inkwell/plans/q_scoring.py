@@ -9,7 +9,7 @@ from inkwell.operators import scoring, tfidf
 from inkwell.operators import models as M
 from inkwell.operators.preprocess import preprocess
 from inkwell.plans import oracle as O
-from inkwell.plans.catalog import big, r6, register
+from inkwell.plans.catalog import r6, register
 from inkwell.plans.q_ingest import feed_articles
 from inkwell.plans.q_tfidf import cleaned_stage
 from inkwell.plans.stages import stage
@@ -18,7 +18,20 @@ from inkwell.sources.tables import articles, candidate_labels, table
 
 TASK = "quality"
 _SCORED_DOCS = f"(SELECT doc_id FROM cleaned WHERE cleaned_text IS NOT NULL AND {O.non_blank('cleaned_text')})"
-_BASE = O.with_(O.CLEANED, O.tfidf_ctes(), O.sentiment_ctes(TASK), O.topic_ctes(_SCORED_DOCS))
+_BASE = O.with_(O.CLEANED, O.tfidf_ctes(max_features=None), O.sentiment_ctes(TASK), O.seed_ctes(),
+                O.topic_ctes(_SCORED_DOCS))
+_HEAD = O.first_non_empty("description", "title")
+_HEAD_BASE = O.with_(
+    O.CLEANED, O.tfidf_ctes(max_features=None), O.sentiment_ctes(TASK), O.seed_ctes(),
+    f"""heads AS (SELECT doc_id, language AS grp, title, {O.cleaned_text(_HEAD, 'language')} AS h
+  FROM cleaned WHERE {O.non_blank(_HEAD)}),
+worded AS (SELECT doc_id AS id, doc_id, grp, h FROM heads WHERE {O.non_blank('h')})""",
+    O.nb_predict_grouped("hp", "smm", "worded", "h"),
+    f"""h_t AS (SELECT doc_id, {O.terms('h')} AS t FROM worded),
+h_g AS (SELECT doc_id, unnest({O.ngrams('t')}) AS term FROM h_t),
+h_w AS (SELECT g.doc_id, g.term, count(*) * any_value(v.idf) AS w FROM h_g g JOIN vocab v USING (term) GROUP BY ALL),
+h_weights AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM h_w)""",
+    O.topic_ctes("(SELECT doc_id FROM worded)", weights="h_weights", p="h_"))
 
 
 def _cleaned(spark, sf_dir):
@@ -32,7 +45,7 @@ def sentiment_model(spark, sf_dir, cleaned):
 
 
 def _topics(spark, sf_dir, cleaned):
-    vec, weights = tfidf.fit_transform(cleaned)
+    vec, weights = tfidf.fit_transform(cleaned, max_features=None)
     docs = cleaned.where(F.col("cleaned_text").isNotNull() & T.non_blank("cleaned_text"))
     return scoring.topic_scores(weights, docs, candidate_labels(spark, sf_dir), vec), vec, weights
 
@@ -46,7 +59,7 @@ def sentiment_stage(spark, sf_dir):
 
 
 def topic_stage(spark, sf_dir):
-    """(doc_id, topic, topic_score, n_labels) of every non-blank cleaned article, as a stage table."""
+    """(doc_id, topic, topic_score, n_labels, best_cos, n_present) of every non-blank cleaned article, as a stage table."""
     return stage(spark, sf_dir, "topics", lambda: _topics(spark, sf_dir, _cleaned(spark, sf_dir))[0])
 
 
@@ -65,20 +78,13 @@ def q_topic_scores(spark, sf_dir):
 
 
 @register("argmax_label", sql=_BASE + """
-SELECT doc_id, label, round(cos, 6) AS score, CAST(n AS BIGINT) AS n_labels_matched
-FROM (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM sims_r) WHERE rk = 1""")
+SELECT doc_id, topic AS label, round(best_cos, 6) AS score, n_present AS n_labels_matched FROM topics""")
 def q_argmax_label(spark, sf_dir):
-    """Highest-scoring label per document (label ascending on ties) with the label->score map size."""
-    c = _cleaned(spark, sf_dir)
-    vec, weights = tfidf.fit_transform(c)
-    sw = scoring.seed_weights(candidate_labels(spark, sf_dir), vec)
-    sims = (weights.join(F.broadcast(sw), "term").groupBy("doc_id", "label")
-            .agg(F.sum(F.col("weight") * F.col("sw")).alias("cos")))
-    per = sims.groupBy("doc_id").agg(
-        F.min_by("label", F.struct(-F.col("cos"), F.col("label"))).alias("label"),
-        F.map_from_entries(F.collect_list(F.struct("label", "cos"))).alias("scores"))
-    return per.select("doc_id", "label", r6(F.element_at("scores", F.col("label"))).alias("score"),
-                      big(F.size("scores")).alias("n_labels_matched"))
+    """Highest-scoring label of every document (label ascending on ties; the first label at 0 where no
+    term is shared) with its cosine and the number of labels that share a term."""
+    t = topic_stage(spark, sf_dir)
+    return t.select("doc_id", F.col("topic").alias("label"), r6("best_cos").alias("score"),
+                    F.col("n_present").alias("n_labels_matched"))
 
 
 @register("centroid_scores", sql="""
@@ -111,39 +117,41 @@ def _classified(spark, sf_dir):
     return _cleaned(spark, sf_dir), sentiment_stage(spark, sf_dir), topic_stage(spark, sf_dir)
 
 
-@register("analyze_articles", sql=_BASE + """
-SELECT c.doc_id, s.sentiment AS sentiment_label, round(s.sentiment_score, 6) AS sentiment_score,
+def analysis_stage(spark, sf_dir):
+    """(doc_id, title, language, sentiment_analysis, topic_classification) of every article with a headline."""
+    def build():
+        c = _cleaned(spark, sf_dir)
+        heads = scoring.headlines(c)
+        vec = tfidf.fit(c, max_features=None)
+        a = scoring.analyze(heads, sentiment_model(spark, sf_dir, c), vec, candidate_labels(spark, sf_dir))
+        return a.join(c.select("doc_id", "title", "language"), "doc_id")
+    return stage(spark, sf_dir, "analysis", build)
+
+
+@register("analyze_articles", sql=_HEAD_BASE + """
+SELECT x.doc_id, s.prediction AS sentiment_label, round(s.prob, 6) AS sentiment_score,
        t.topic, round(t.topic_score, 6) AS topic_confidence
-FROM cleaned c JOIN sentiment s USING (doc_id) JOIN topics t USING (doc_id)
-WHERE c.description IS NOT NULL AND """ + O.non_blank("coalesce(nullif(c.description, ''), c.title)"))
+FROM heads x LEFT JOIN hp s ON s.id = x.doc_id LEFT JOIN h_topics t USING (doc_id)""")
 def q_analyze_articles(spark, sf_dir):
-    """Sentiment and topic attached to every article with a non-blank description (else title)."""
-    c, s, t = _classified(spark, sf_dir)
-    head = T.first_non_empty("description", "title")
-    a = c.where(F.col("description").isNotNull() & T.non_blank(head)).select("doc_id")
-    out = (a.join(s, "doc_id").join(t, "doc_id")
-           .withColumn("sentiment_analysis", F.struct(F.col("sentiment").alias("label"),
-                                                      F.col("sentiment_score").alias("score"),
-                                                      F.lit(None).cast("string").alias("error")))
-           .withColumn("topic_classification", F.struct(F.col("topic").alias("topic"),
-                                                        F.col("topic_score").alias("confidence"),
-                                                        F.lit(None).cast("string").alias("error"))))
-    return out.select("doc_id", F.col("sentiment_analysis.label").alias("sentiment_label"),
-                      r6("sentiment_analysis.score").alias("sentiment_score"),
-                      F.col("topic_classification.topic").alias("topic"),
-                      r6("topic_classification.confidence").alias("topic_confidence"))
-
-
-@register("analysis_summary", sql=_BASE + """
-SELECT c.doc_id, coalesce(c.language, 'N/A') AS language, coalesce(c.title, 'N/A') AS title,
-       coalesce(s.sentiment, 'N/A') AS sentiment, coalesce(t.topic, 'N/A') AS topic
-FROM cleaned c LEFT JOIN sentiment s USING (doc_id) LEFT JOIN topics t USING (doc_id)""")
+    """Sentiment and topic of the headline of every article that has one (description, else title)."""
+    a = analysis_stage(spark, sf_dir)
+    return a.select("doc_id", F.col("sentiment_analysis.label").alias("sentiment_label"),
+                    r6("sentiment_analysis.score").alias("sentiment_score"),
+                    F.col("topic_classification.topic").alias("topic"),
+                    r6("topic_classification.confidence").alias("topic_confidence"))
+
+
+@register("analysis_summary", sql=_HEAD_BASE + """
+SELECT x.doc_id, x.grp AS language, coalesce(x.title, 'N/A') AS title,
+       coalesce(s.prediction, 'N/A') AS sentiment, coalesce(t.topic, 'N/A') AS topic
+FROM heads x LEFT JOIN hp s ON s.id = x.doc_id LEFT JOIN h_topics t USING (doc_id)""")
 def q_analysis_summary(spark, sf_dir):
-    c, s, t = _classified(spark, sf_dir)
-    j = c.join(s, "doc_id", "left").join(t, "doc_id", "left")
+    """Language, title, sentiment and topic of every analysed article ('N/A' where there is none)."""
     na = F.lit("N/A")
-    return j.select("doc_id", F.coalesce("language", na).alias("language"), F.coalesce("title", na).alias("title"),
-                    F.coalesce("sentiment", na).alias("sentiment"), F.coalesce("topic", na).alias("topic"))
+    return analysis_stage(spark, sf_dir).select(
+        "doc_id", F.coalesce("language", na).alias("language"), F.coalesce("title", na).alias("title"),
+        F.coalesce("sentiment_analysis.label", na).alias("sentiment"),
+        F.coalesce("topic_classification.topic", na).alias("topic"))
 
 
 @register("corpus_summary", sql=_BASE + """
@@ -167,7 +175,7 @@ def q_pipeline(spark, sf_dir):
     labelled_src = _cleaned(spark, sf_dir)
     model = sentiment_model(spark, sf_dir, labelled_src)
     s = scoring.score_sentiment(ingested, model)
-    vec, weights = tfidf.fit_transform(ingested)
+    vec, weights = tfidf.fit_transform(ingested, max_features=None)
     docs = ingested.where(T.non_blank("cleaned_text"))
     t = scoring.topic_scores(weights, docs, candidate_labels(spark, sf_dir), vec)
     j = ingested.select("doc_id", "language").join(s, "doc_id").join(t, "doc_id", "left")

@@ -16,8 +16,8 @@ def _docs(spark, sf_dir):
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
-def cleaned_articles(spark, sf_dir):
-    return preprocess(spread(articles(spark, sf_dir)))
+def cleaned_articles(spark, sf_dir, url: bool = False):
+    return preprocess(spread(articles(spark, sf_dir, url)))
 
 
 # --- single steps of clean_text, over every document ------------------------------
@@ -75,7 +75,7 @@ FROM articles"""
 
 @register("clean_articles", sql=_CLEANED_SQL)
 def q_clean_articles(spark, sf_dir):
-    c = cleaned_articles(spark, sf_dir)
+    c = cleaned_articles(spark, sf_dir, url=True)
     return c.select("doc_id", "title", "language", "cleaned_text", "publishedAt",
                     F.col("source.id").alias("source_id"), F.col("source.name").alias("source_name"),
                     "url", "description", big(F.length("content")).alias("content_chars"))
@@ -91,7 +91,7 @@ def q_count_by_language(spark, sf_dir):
 SELECT doc_id, {O.first_non_empty('content', 'description')} AS body,
        {O.first_non_empty('description', 'title')} AS headline FROM articles""")
 def q_text_fallback(spark, sf_dir):
-    a = articles(spark, sf_dir)
+    a = articles(spark, sf_dir, url=False)
     return a.select("doc_id", T.first_non_empty("content", "description").alias("body"),
                     T.first_non_empty("description", "title").alias("headline"))
 

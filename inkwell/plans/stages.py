@@ -2,7 +2,7 @@
 
 The reference hands each stage's result to the next as a file; here the boundary is a
 Parquet table in the shared scratch folder (``spark.checkpoint.dir``). A stage is keyed by
-(application, input folder, stage name), so queries in one session that need cleaned
+(application, input folder, its files' names, lengths and times, stage name), so queries in one session that need cleaned
 articles or the language model read them instead of recomputing them from raw text.
 """
 
@@ -11,14 +11,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from inkwell.session import scratch_path
 
-_STAGES: dict[tuple[str, str, str], str] = {}
+_STAGES: dict[tuple, str] = {}
+_INPUTS = ("documents", "labels", "pages", "events", "benchmark")
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> int:
+    """One number for the input files as listed (no file is opened)."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+             .load([f"{sf_dir}/{t}.parquet" for t in _INPUTS]))
+    return files.agg(F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()[0]
 
 
 def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    root = sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, root, _fingerprint(spark, root), name)
     path = _STAGES.get(key)
     if path is None:
         path = scratch_path(spark, f"stage-{name}")

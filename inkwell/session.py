@@ -31,6 +31,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("INKWELL_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config(SPREAD_CONF, str(shuffle_partitions or int(cpus)))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -61,20 +62,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
-    """Spread a scan that yields fewer tasks than the cluster has cores.
+#: Tasks that a scan of single-file tables is dealt to; unset on a cluster, where scans have many splits.
+SPREAD_CONF = "spark.inkwell.spreadPartitions"
 
-    Single-file inputs are one task; CPU-heavy text expressions then run on one
-    core. Large inputs already come in many splits and are returned unchanged, so
-    no extra shuffle is added at scale. Rows are hash-partitioned on ``key`` (default:
-    the first column, the row id in every table here), which is deterministic on
-    recomputation without the sort a round-robin repartition needs.
+
+def spread(df: DataFrame, partitions: int | None = None, key: str | None = None) -> DataFrame:
+    """Deal the rows of a scan to ``partitions`` tasks by ``key`` (default: the first column, the row id).
+
+    Single-file inputs are one task; CPU-heavy text expressions then run on one core. Without the
+    parameter the session's ``spark.inkwell.spreadPartitions`` holds, and without that the scan stays
+    as it is: no shuffle is added, and the plan is not looked at. Hash partitioning is
+    deterministic on recomputation without the sort that a round-robin repartition needs.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, F.col(key or df.columns[0]))
+    n = partitions or int(df.sparkSession.conf.get(SPREAD_CONF, "0"))
+    return df.repartition(n, F.col(key or df.columns[0])) if n else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

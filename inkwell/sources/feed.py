@@ -89,11 +89,15 @@ def read_articles(spark: SparkSession, path: str, json_array: bool = False, sche
 
 
 def write_articles(df: DataFrame, path: str, by=None) -> None:
-    """JSON lines, overwrite, null fields kept as keys; optionally one folder per value of ``by``."""
-    w = df.write.mode("overwrite").option("ignoreNullFields", False)
-    if by:
-        w = w.partitionBy(*([by] if isinstance(by, str) else by))
-    w.json(path)
+    """JSON lines, overwrite, null fields kept as keys; optionally one folder per value of ``by``.
+
+    The folders are named ``part_<column>=...`` and the rows keep the column itself, so '' and null,
+    which share a folder, come back as they were.
+    """
+    cols = [] if by is None else [by] if isinstance(by, str) else list(by)
+    w = df.withColumns({f"part_{c}": F.col(c) for c in cols}) if cols else df
+    w = w.write.mode("overwrite").option("ignoreNullFields", False)
+    (w.partitionBy(*[f"part_{c}" for c in cols]) if cols else w).json(path)
 
 
 # --- API landing zone --------------------------------------------------------------------
@@ -111,7 +115,7 @@ def write_api_envelopes(articles: DataFrame, root: str, page_col: str = "page")
 
 
 def read_api(spark: SparkSession, root: str, extra_fields=(), json_lines: bool = False) -> DataFrame:
-    """One row per article of every response file, tagged with country and category.
+    """One row per article of every response file, tagged with country, category and ``response`` (the file).
 
     A response without ``articles`` contributes no rows; an unparsable file is a
     corrupt record and is skipped; the rest are read. Files hold one pretty-printed
@@ -125,24 +129,25 @@ def read_api(spark: SparkSession, root: str, extra_fields=(), json_lines: bool =
            .option("basePath", root).json(root))
     env = env.where(F.col("_corrupt").isNull())
     extra = [c for c in env.columns if c not in ("status", "articles", "_corrupt", "country", "category")]
-    arts = env.select("country", "category", *extra,
+    arts = env.select("country", "category", F.col("_metadata.file_path").alias("response"), *extra,
                       F.posexplode(F.coalesce(F.col("articles"), F.array().cast(T.ArrayType(API_ARTICLE))))
                       .alias("pos", "a"))
-    return arts.select("country", "category", *extra, "pos", "a.*")
+    return arts.select("country", "category", "response", *extra, "pos", "a.*")
 
 
 def request_grid(spark: SparkSession, countries, categories, page_size: int = C.PAGE_SIZE) -> DataFrame:
     """(country, category, page_size, language) for every pair; language 'ar' for 'ae', else 'en'.
 
-    ``countries`` may be a DataFrame with a ``country`` column or a list; the
-    categories are a short parameter list expanded per country row.
+    ``countries`` and ``categories`` may be DataFrames with a ``country`` and a ``category`` column,
+    or lists; the categories are one array, expanded per country row.
     """
-    cats = list(categories)
-    if len(cats) > 10_000:
-        raise ValueError("categories is a parameter list; pass at most 10 000 values")
     if not isinstance(countries, DataFrame):
         countries = spark.createDataFrame([(c,) for c in countries], "country string")
-    grid = countries.select("country", F.explode(F.array(*[F.lit(c) for c in cats])).alias("category"))
+    if isinstance(categories, DataFrame):
+        cats = categories.agg(F.collect_list("category")).scalar()
+    else:
+        cats = F.array(*[F.lit(c) for c in categories])
+    grid = countries.select("country", F.explode(cats).alias("category"))
     return grid.select("country", "category", F.lit(page_size).cast("bigint").alias("page_size"),
                        F.when(F.col("country") != F.lit("ae"), F.lit("en")).otherwise(F.lit("ar"))
                        .alias("language"))

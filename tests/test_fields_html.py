@@ -64,3 +64,16 @@ def test_html_text(spark, page, has, art, para):
 def test_main_image(spark, page, img):
     df = spark.createDataFrame([(page,)], "h string")
     assert df.select(html.main_image("h")).first()[0] == img
+
+
+@pytest.mark.parametrize("raw,text", [
+    ("&#8217;s &#x27;q&#X27; &eacute;", "\u2019s 'q' \u00e9"), ("&amp;lt; &amp;#39;", "&lt; &#39;"),
+    ("a & b &unknown; &#", "a & b &unknown; &#"), ("&#0; &#xD800; &#1114112; &#99999999999;", "\ufffd " * 3 + "\ufffd"),
+    ("&#128512;&#65", "\U0001F600A"), ("", ""), (None, None)])
+def test_character_references(spark, raw, text):
+    assert spark.createDataFrame([(raw,)], "h string").select(html.unescape("h")).first()[0] == text
+
+
+def test_article_tag_is_matched_by_its_whole_name(spark):
+    df = spark.createDataFrame([("<article-card>x</article-card><p>y</p>",)], "h string")
+    assert tuple(df.select(html.has_article("h"), html.main_text("h")).first()) == (False, "y")

@@ -43,3 +43,22 @@ def test_tfidf_broadcasts_the_capped_vocabulary(spark):
 def test_stopword_lookup_is_hashed(spark):
     p = plan(E.queries()["remove_stopwords"](spark, SF))
     assert "INSET" in p
+
+
+def test_filters_on_article_columns_need_no_join(spark):
+    for name in ("filter_content_len", "head_articles", "count_by_language"):
+        assert "Join" not in plan(E.queries()[name](spark, SF))
+
+
+def test_stage_sees_changed_input(spark, tmp_path):
+    import os
+    import shutil
+
+    from inkwell.plans.stages import stage
+    for t in ("documents", "labels", "pages", "events", "benchmark"):
+        shutil.copy(f"{SF}/{t}.parquet", tmp_path)
+    d, rows = str(tmp_path), lambda: table(spark, str(tmp_path), "documents").select("doc_id")
+    assert stage(spark, d, "t", rows).count() == rows().count()
+    small = rows().limit(20).collect()
+    spark.createDataFrame(small, "doc_id long").toPandas().to_parquet(os.path.join(d, "documents.parquet"))
+    assert stage(spark, d, "t", rows).count() == 20

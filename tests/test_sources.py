@@ -64,3 +64,32 @@ def test_request_grid(spark):
     assert len(g) == 6
     assert {r["language"] for r in g if r["country"] == "ae"} == {"ar"}
     assert {r["language"] for r in g if r["country"] == "us"} == {"en"}
+
+
+def test_feed_rows_of_the_reader_enter_ingest(spark, fixtures):
+    from inkwell.operators import ingest, langid
+    docs = spark.createDataFrame([("hello world said", "en"), ("bonjour le monde", "fr")], "text string, lang string")
+    rows, _ = S.read_feed(spark, [os.path.join(fixtures, "feed_a.csv"), os.path.join(fixtures, "feed_b.csv")])
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    got = ingest.feed_to_articles(rows, pages, langid.train(docs), languages=("en", "fr", "ar", ""))
+    assert got.select("title").count() == 5 and "feed_order" in got.columns
+
+
+def test_api_language_is_of_its_own_text(spark):
+    from inkwell.operators import ingest, langid
+    docs = spark.createDataFrame([("the weather is fine today", "en"), ("das wetter ist heute schoen", "de")],
+                                 "text string, lang string")
+    a = "country string, category string, pos int, source struct<id:string,name:string>, author string, " \
+        "title string, description string, url string, urlToImage string, publishedAt string, content string"
+    one = lambda t: ("us", "news", 0, None, None, t, None, None, None, "", None)
+    texts = ["the weather is fine", "das wetter ist schoen", "the weather is fine"]
+    got = ingest.api_to_article(spark.createDataFrame([one(t) for t in texts], a), langid.train(docs))
+    assert sorted((r["title"], r["language"]) for r in got.collect()) == [
+        ("das wetter ist schoen", "de"), ("the weather is fine", "en"), ("the weather is fine", "en")]
+
+
+def test_empty_language_survives_the_folder_sink(spark):
+    path = scratch_path(spark, "t-empty")
+    S.write_articles(spark.createDataFrame([("a", ""), ("b", None), ("c", "en")], "title string, language string"),
+                     path, by="language")
+    assert {r["title"]: r["language"] for r in spark.read.json(path).collect()} == {"a": "", "b": None, "c": "en"}
