@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from inkwell.session import scratch_path
 from inkwell.sources.tables import table
 
-__all__ = ["table", "stash", "text_slices", "keep_ids", "fresh"]
+__all__ = ["table", "stash", "text_slices", "keep_ids", "keep_rows", "row_key", "fresh"]
 
 
 def stash(df: DataFrame, name: str) -> DataFrame:
@@ -68,3 +68,19 @@ def keep_ids(df: DataFrame, key: str, ids: DataFrame, anti: bool = False) -> Dat
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     return df.join(ids, df[key].eqNullSafe(ids[side]), "left_anti" if anti else "left_semi")
+
+
+def row_key(id_col: str, text_col: str):
+    """What tells the rows of a table apart, null and repeated ids included: (none, id, digest), ids before null."""
+    return F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.unhex(F.md5(text_col)).alias("digest"))
+
+
+def keep_rows(df: DataFrame, id_col: str, text_col: str, keys: DataFrame, anti: bool = False) -> DataFrame:
+    """Like ``keep_ids`` with ``keys``, one stashed column of distinct ``row_key`` values: no other row of an id is touched."""
+    name = keys.columns[0]
+    side, digest = fresh(df, "__id"), fresh(df, "__digest")
+    keys = keys.select(F.col(f"{name}.id").alias(side), F.col(f"{name}.digest").alias(digest))
+    if keys.count() <= BROADCAST_IDS // 4:
+        keys = F.broadcast(keys)
+    own = F.unhex(F.md5(df[text_col]))
+    return df.join(keys, df[id_col].eqNullSafe(keys[side]) & own.eqNullSafe(keys[digest]), "left_anti" if anti else "left_semi")

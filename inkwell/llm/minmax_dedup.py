@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import fresh, keep_ids, stash, text_slices
+from inkwell.llm.common import fresh, keep_ids, keep_rows, row_key, stash, text_slices
 from inkwell.llm.graph import connected_components
 from inkwell.llm.text_hash import U64, distinct_sets, list_column, mix, stream
 
@@ -287,14 +287,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                          percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, all columns: one document of each group.
+    """The rows of ``docs``, all columns, without near-duplicates: one row of each group of linked texts.
 
-    Rows that repeat a kept id and its text are reduced to one. Empty texts are all kept.
+    Rows are judged one by one and linked as in ``near_duplicates``, but by their texts only: null and repeated ids link
+    nothing and cost no other row. Of a group the smallest id stays (null ids last; of several texts of that id the one of
+    the smallest md5). Rows that repeat an id and its text are reduced to one. Empty texts are all kept.
     """
-    marks = near_duplicates(docs, id_col, text_col, words, percent)
-    lost = stash(marks.where("NOT kept").select("id").distinct(), "lost")
-    kept = keep_ids(docs, id_col, lost, anti=True)
-    if not marks.where("n_shingles > 0").groupBy("id").count().where("count > 1").isEmpty():
+    keyed = docs.select(row_key(id_col, text_col).alias("row"), F.col(text_col).alias("t"))
+    sig = stash(signatures(keyed, "row", "t", words), "signatures")
+    full = sig.where("n_shingles > 0")
+    same = ["d1", "d2", "n_shingles"]
+    # classes are numbered in the order of their first rows, so the root of a group is the class that stays
+    heads = stash(full.groupBy(same).agg(F.min("id").alias("first")), "heads")
+    numbers = stash(heads.orderBy("first").withColumn("rep", F.monotonically_increasing_id()), "numbers")
+    classes = stash(full.groupBy(same).agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch")).join(numbers, same)
+                    .select("rep", F.col("n_shingles").alias("n"), "bands", "sketch"), "classes")
+    bands = classes.select("rep", "n", F.explode("bands").alias("key"))
+    shared = bands.groupBy("key").agg(F.min("rep").alias("r0"), F.max("rep").alias("r1")).where("r0 < r1").select("key")
+    members = stash(bands.join(shared, "key").distinct(), "members")
+    needed = stash(members.select("rep").distinct().join(numbers.select("rep", "first"), "rep"), "needed")
+    texts = keep_rows(docs, id_col, text_col, needed.select("first")).select(
+        row_key(id_col, text_col).alias("row"), F.col(text_col).alias("t"))
+    again = stash(full.groupBy("id").count().where("count > 1").select("id"), "repeated")
+    repeated = not again.isEmpty()
+    found = shingle_sets(texts, "row", "t", words)
+    if repeated:
+        found = found.groupBy("id").agg(F.first("items").alias("items"))
+    sets = stash(found.join(needed, F.col("id") == F.col("first")).select(F.col("rep").alias("id"), "items"), "sets")
+    roots = links(members, sets, classes.select("rep", "sketch"), percent)
+    stays = (numbers.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+             .select(*same, F.when(F.coalesce("root", "rep") == F.col("rep"), F.col("first")).alias("stays")))
+    marks = full.select("id", *same).join(stays, same)
+    lost = stash(marks.where("NOT (id <=> stays)").select("id").distinct(), "lost")
+    kept = keep_rows(docs, id_col, text_col, lost, anti=True)
+    if repeated:
         mark = fresh(docs, "__text")
-        kept = kept.withColumn(mark, F.xxhash64(text_col)).dropDuplicates([id_col, mark]).drop(mark)
+        once = keep_rows(kept, id_col, text_col, again).withColumn(mark, F.md5(text_col)).dropDuplicates([id_col, mark]).drop(mark)
+        kept = keep_rows(kept, id_col, text_col, again, anti=True).unionByName(once)
     return kept

@@ -83,6 +83,21 @@ def test_near_duplicates_of_odd_rows(spark, docs):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()).count((False, 7)) == 2
 
 
+def test_near_duplicates_are_dropped_row_by_row(spark):
+    a, b, c, near = prose(21, 60), prose(22, 60), prose(23, 60), prose(21, 60) + " more"
+    rows = [doc(None, a), doc(7, a), doc(None, b), doc(None, prose(24, 60)), doc(None, None), doc(None, None), doc(None, ""), doc(9, near),
+            doc(9, c), doc(9, None), doc(3, ""), doc(3, ""), doc(12, c), doc(7, prose(25, 60)), doc(None, b), doc(15, prose(26, 60)),
+            doc(15, prose(26, 60)), doc(None, b + " more")]
+    kept = minmax_dedup.drop_near_duplicates(spark.createDataFrame(rows, DOC))
+    want = [(7, a), (None, None), (None, None), (None, ""), (None, prose(24, 60)), (9, c), (9, None), (3, ""), (3, ""), (7, prose(25, 60)),
+            (15, prose(26, 60))]
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    of_b = [x for x in got if x[0] is None and (x[1] or "").startswith(b)]
+    assert len(of_b) == 1 and sorted(map(repr, got)) == sorted(map(repr, want + of_b))
+    unique = spark.createDataFrame([doc(i, prose(30 + i, 40)) for i in range(20)], DOC)
+    assert minmax_dedup.drop_near_duplicates(unique).count() == 20 and minmax_dedup.drop_near_duplicates(unique.limit(0)).count() == 0
+
+
 def test_a_family_without_links_stays_apart_and_blocks_agree(spark, monkeypatch):
     shared = prose(11, 150).split()
     rows = []
