@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import fresh, keep_ids, stash, text_slices
+from inkwell.llm.common import keep_rows, row_key, stash, text_slices
 from inkwell.llm.minmax_dedup import shingle_sets
 from inkwell.llm.text_hash import U64, distinct_sets
 
@@ -150,8 +150,9 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       item_id: str = "item_id", item_text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that contain no test item, all columns. Rows are judged by their id; a row
-    with a null id goes when any row with a null id contains an item."""
-    found = stash(contained_items(docs, items, id_col, text_col, item_id, item_text, words, percent)
-                  .select(F.col("id").alias(fresh(docs, "__found"))).distinct(), "contaminated")
-    return keep_ids(docs, id_col, found, anti=True)
+    """The rows of ``docs`` that contain no test item, all columns. Every row is judged by its own text: rows that
+    share a null or repeated id with a row that contains an item stay."""
+    keyed = docs.select(row_key(id_col, text_col).alias("row"), F.col(text_col).alias("t"))
+    found = stash(contained_items(keyed, items, "row", "t", item_id, item_text, words, percent).select("id").distinct(),
+                  "contaminated")
+    return keep_rows(docs, id_col, text_col, found, anti=True)

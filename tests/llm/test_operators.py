@@ -136,6 +136,18 @@ def test_contained_items_match_brute_force(spark, docs):
     assert decontaminate.contained_items(docs, df.limit(0)).count() == 0
 
 
+def test_contaminated_rows_go_alone(spark):
+    item, clean = prose(51, 30), prose(52, 40)
+    leak = "before " + item + " after"
+    rows = [doc(None, leak), doc(None, clean), doc(None, None), doc(4, leak), doc(4, clean), doc(4, ""), doc(4, leak), doc(5, clean), doc(6, leak)]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    for df in (spark.createDataFrame(rows, DOC), spark.createDataFrame(rows, DOC).limit(0)):
+        got = sorted(map(repr, decontaminate.drop_contaminated(df, items).collect()))
+        assert got == sorted(repr(r) for r in df.collect() if r.text != leak)
+    df = spark.createDataFrame(rows, DOC)
+    assert decontaminate.drop_contaminated(df, items.limit(0)).count() == len(rows)
+
+
 def test_maximal_segments_match_the_definition():
     def slow(x):  # remove the best segment, go on at both sides
         best = max(((sum(x[a:b]), a - b, a, b) for a in range(len(x)) for b in range(a + 1, len(x) + 1)), default=None)
