@@ -22,8 +22,8 @@ from inkwell.llm.text_hash import U64, words
 
 #: Hash buckets of the scorer; words that a text's evidence counts as.
 BUCKETS, EVIDENCE = 1 << 16, 24.0
-#: Largest share of good documents that one heuristic calls bad.
-FALSE_ALARMS = 0.002
+#: Beta prior of the share of good documents that a heuristic calls bad: its mean, and the good documents that it counts as.
+FALSE_ALARMS, PRIOR_DOCS = 0.002, 8000.0
 #: The heuristics: name, largest value that votes good, least value that votes bad. Shares are of LEAST words or bytes at
 #: least, so that a few words of a short text are no evidence.
 LEAST_WORDS, LEAST_BYTES = 8, 60
@@ -113,8 +113,11 @@ def fit_labellers(votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> t
         weight = np.stack([(1 - p) * counts, p * counts])
         for v in range(3):
             chances[:, :, v] = ((votes == v).T @ weight.T + 0.5) / (weight.sum(axis=1) + 1.5)
-        # prior knowledge: a heuristic rarely calls a good document bad, and bad documents more often
-        chances[:, 1, 0] = np.minimum(chances[:, 1, 0], FALSE_ALARMS)
+        # prior knowledge, which enough documents overrule: a heuristic rarely calls a good document bad
+        alarms = ((votes == 0).T @ weight[1] + PRIOR_DOCS * FALSE_ALARMS) / (weight[1].sum() + PRIOR_DOCS)
+        chances[:, 1, 1:] *= ((1 - alarms) / chances[:, 1, 1:].sum(axis=1))[:, None]
+        chances[:, 1, 0] = alarms
+        # bad votes are no evidence of a good document
         chances[:, 0, 0] = np.maximum(chances[:, 0, 0], chances[:, 1, 0])
         chances /= chances.sum(axis=2, keepdims=True)
         good = float(np.clip(weight[1].sum() / max(weight.sum(), 1e-9), 1e-3, 1 - 1e-3))

@@ -359,3 +359,17 @@ def test_weak_labels_agree_with_planted_quality(spark):
     wrong = [r.doc_id for r in got if r.doc_id < 900 and r.keep != (r.doc_id % 6 != 0)]
     assert len(wrong) <= 6 and {r.doc_id: r.keep for r in got}[902] and not {r.doc_id: r.keep for r in got}[901]
     assert weak_quality.score(df, weak_quality.fit(df.limit(0))).count() == len(rows)
+
+
+def test_false_alarms_of_a_labeller_are_estimated():
+    rng = np.random.default_rng(0)
+    for n, least, most in ((100_000, 0.04, 0.055), (20_000, 0.03, 0.055)):
+        good = rng.random(n) < 0.85
+        votes = np.where(rng.random((n, 8)) < 0.03, 1, 2)
+        alarms = np.array([0.0005, 0.0005, 0.05, 0.0005, 0.0005, 0.0005, 0.0005, 0.0005])
+        votes[rng.random((n, 8)) < np.where(good[:, None], alarms, 0.35)] = 0
+        patterns, counts = np.unique(votes, axis=0, return_counts=True)
+        chances, share = weak_quality.fit_labellers(patterns, counts.astype(float))
+        called_bad = weak_quality.posterior(votes, chances, share) < 0.5
+        assert least <= chances[2, 1, 0] <= most and np.delete(chances[:, 1, 0], 2).max() < 0.01
+        assert called_bad[good].mean() < 0.01 and called_bad[~good].mean() > 0.85
