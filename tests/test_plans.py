@@ -56,7 +56,7 @@ def test_stage_sees_changed_input(spark, tmp_path):
 
     from inkwell.plans.stages import stage
     for t in ("documents", "labels", "pages", "events", "benchmark"):
-        shutil.copy(f"{SF}/{t}.parquet", tmp_path)
+        shutil.copyfile(f"{SF}/{t}.parquet", tmp_path / f"{t}.parquet")
     d, rows = str(tmp_path), lambda: table(spark, str(tmp_path), "documents").select("doc_id")
     assert stage(spark, d, "t", rows).count() == rows().count()
     small = rows().limit(20).collect()
