@@ -11,8 +11,8 @@ import importlib.util
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import (decontaminate, lattice_dedup, minmax_dedup, quote_link, soft_mixing, token_parquet,
-                         toxic_segments, url_cascade, warc_chain, weak_quality)
+from inkwell.llm import (decontaminate, fill_middle, lattice_dedup, minmax_dedup, pair_counts, prefix_counts, quote_link,
+                         soft_mixing, token_parquet, toxic_segments, url_cascade, warc_chain, weak_quality)
 from inkwell.llm.common import table
 from inkwell.session import scratch_path
 
@@ -112,6 +112,31 @@ def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.select("doc_id", "domain", "n_words", "rate", soft_mixing.copies_of(F.col("rate"), key).alias("copies"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in fill-in-middle form, by digests of the output and of the text restored from it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = fill_middle.fill_middle(docs)
+    restored = fill_middle.restore(F.col("form"), F.col("fim_text"))
+    return out.select("doc_id", F.col("n_units").alias("n"), "form", "prefix_chars", "middle_chars",
+                      F.sha2("fim_text", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"))
+
+
+def op12_pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of two tokenizers over every document, with corpus-wide counts of the linked id pairs."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pair_counts.align(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return out.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                      digest.alias("groups_sha256"))
+
+
+def op13_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and exact tokens of every document, from the index of all its prefixes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = prefix_counts.prefix_index(docs, tokenizer_path("piece_bpe_32k.model"))
+    return prefix_counts.totals(index).select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
 QUERIES = {
     "op1_url_cascade": op1_url_cascade,
     "op2_warc_chain": op2_warc_chain,
@@ -122,9 +147,11 @@ QUERIES = {
     "op8_lattice_dedup": op8_lattice_dedup,
     "op9_toxic_segments": op9_toxic_segments,
     "op10_soft_mixing": op10_soft_mixing,
+    "op11_fill_middle": op11_fill_middle,
 }
 if importlib.util.find_spec("public_tokenizers") is not None:
-    QUERIES["op7_token_parquet"] = op7_token_parquet
+    QUERIES |= {"op7_token_parquet": op7_token_parquet, "op12_pair_counts": op12_pair_counts,
+                "op13_prefix_counts": op13_prefix_counts}
 
 _WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '[^\x20\x09-\x0D]+')"""
@@ -141,6 +168,21 @@ FROM (SELECT {key}, w, unnest(range(1, greatest(len(w) - {n - 2}, 2))) AS i
 _RULES = " UNION ALL ".join(f"SELECT '{r}' AS rule, '{v}' AS verdict" for r, v in URL_RULES)
 
 ORACLE = {
+    "op11_fill_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || CAST(doc_id AS VARCHAR)) AS x FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+  [CAST('0x' || x[8 * i + 1:8 * i + 8] AS BIGINT) FOR i IN range(4)] AS h FROM d),
+c AS (SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS lo,
+  greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS hi,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 50 THEN 'plain'
+    WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM w),
+p AS (SELECT doc_id, t, n, form, array_to_string(u[1:lo], '') AS pre, array_to_string(u[lo + 1:hi], '') AS mid,
+  array_to_string(u[hi + 1:n], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM p
+""",
     "op1_url_cascade": rf"""
 WITH p AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS u FROM pages),
 h AS (SELECT page_id, translate(regexp_extract(u, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
