@@ -3,8 +3,8 @@
 The tokens of a byte-pair encoding are fixed by neighbours alone: a sequence of tokens is the
 encoding of its text if and only if every two adjacent tokens are the encoding of theirs. So each
 prefix has exactly one last token that fits the last token of the prefix before it, and one pass
-gives the count of every prefix. No token spans the start of a word (a run of spaces) or of a
-line, so the pass runs once for each distinct word and the counts of a text are running sums.
+gives the count of every prefix. No token spans the start of a word (a run of spaces), the start of a
+line or, in vocabularies that part them, the place between a letter and another character, so the pass runs once for each distinct word and the counts of a text are running sums.
 
 The index is a table with one row for every BLOCK code points of a document: the tokens before
 the block and, for every prefix that ends in it, what the count differs from that. Questions about
@@ -15,6 +15,7 @@ monotonic: a longer prefix may have fewer tokens.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,6 @@ BLOCK = 4096
 REMEMBER, LONG = 1_000_000, 128
 #: Fixed value: the character that stands for a space in the pieces.
 SPACE = "▁"
-_WORD = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n[^{SPACE}\n]*|[^{SPACE}\n]+")
 
 
 class PrefixCounter:
@@ -51,8 +51,15 @@ class PrefixCounter:
         if any(p.type in (proto.SentencePiece.USER_DEFINED, proto.SentencePiece.UNUSED) for p in proto.pieces) \
                 or any("\n" in p or SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("prefix counts need pieces that hold no line end and no space after another character")
-        self.longest = max(map(len, self.pieces))
+        # every end of a piece: None ends the search for pieces that stop at a place
+        self.ends = {p[i:]: False for p in self.pieces for i in range(len(p))} | dict.fromkeys(self.pieces, True)
         self.bigrams = {p[i:i + 2] for p in self.pieces for i in range(len(p) - 1)}
+        letters = {c for p in self.pieces for c in p if c.isalpha()}
+        if any((x[0] in letters) != (x[1] in letters) for x in self.bigrams if x[0] != SPACE):
+            letters = set()  # letters and other characters share pieces: only spaces and line ends part words
+        some = re.escape("".join(sorted(letters)))
+        cut = [f"{SPACE}*[{some}]+"] if letters else []
+        self.words_of = re.compile("|".join([*cut, f"{SPACE}*[^{some}{SPACE}\n]+", f"{SPACE}+", "\n"])).findall
         fallback = proto.trainer_spec.byte_fallback
         self.cost = lambda c: len(c.encode()) if fallback else 1
         self.library = SentencePieceProcessor(model_proto=model)
@@ -86,20 +93,21 @@ class PrefixCounter:
 
     def _word(self, word: str) -> bytes:
         """Tokens of word[:1], word[:2], ... word, as 4-byte numbers."""
-        last, count, pieces, fits = [""], [0], self.pieces, self.fits
+        last, count, ends, fits = [""], [0], self.ends.get, self.fits.get
         for i in range(1, len(word) + 1):
-            for j in range(max(0, i - self.longest), i):
+            for j in range(i - 1, -1, -1):
                 token = word[j:i]
-                if token in pieces or j == i - 1:
+                piece = ends(token)
+                if piece is None and j < i - 1:
+                    raise AssertionError(f"no token ends at {i} of {word!r}")
+                if piece or j == i - 1:
                     a = last[j]
-                    ok = fits.get((a, token))
+                    ok = fits((a, token))
                     if self._fit(a, token) if ok is None else ok:
                         last.append(token)
-                        count.append(count[j] + (1 if token in pieces else self.cost(token)))
+                        count.append(count[j] + (1 if piece else self.cost(token)))
                         break
-            else:
-                raise AssertionError(f"no token ends at {i} of {word!r}")
-        return np.array(count[1:], dtype="<u4").tobytes()
+        return array("I", count[1:]).tobytes()
 
     def _words(self, found: list[str]) -> list[bytes]:
         known, out = self.known, []
@@ -118,7 +126,7 @@ class PrefixCounter:
         """Tokens of text[:0], text[:1], ... text, as the library counts them; the empty prefix has none."""
         if not text:
             return np.zeros(1, dtype=np.int64)
-        parts = self._words(_WORD.findall(SPACE + text.replace(" ", SPACE)))
+        parts = self._words(self.words_of(SPACE + text.replace(" ", SPACE)))
         n = np.frombuffer(b"".join(parts), dtype="<u4").astype(np.int64)
         lengths = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
         whole = n[np.cumsum(lengths) - 1]
