@@ -81,6 +81,5 @@ MAX_FEATURES = 5000
 SPLIT_SEED = 42
 SPLIT_CUTS = (0.7, 0.85)
 EPOCHS = 2
-BATCH_SIZE = 8
 SENTINEL_EMPTY = "EMPTY"
 SENTINEL_ERROR = "ERROR"

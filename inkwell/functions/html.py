@@ -3,8 +3,8 @@
 The extractors follow a flat reading of the page: comments, ``<script>`` and
 ``<style>`` bodies are not text; every tag separates text pieces; each piece is
 entity-decoded and stripped, blank pieces are dropped and the rest joined by one
-space. Nested ``<article>`` elements are out of reach of these expressions (the
-first closing tag ends the article).
+space. An ``<article>`` ends at the closing tag that matches its opening tag: the depth of
+nested articles is counted over the page's article tags.
 """
 
 from __future__ import annotations
@@ -25,7 +25,10 @@ INVISIBLE_RE = [
 SEPARATOR = "<>"                       # matches TAG_SPLIT_RE, so removed blocks split text
 TAG_SPLIT_RE = r"<[A-Za-z/!?][^>]*>|<>"
 HAS_ARTICLE_RE = r"(?i)<article(?:[\s/][^>]*)?>"
-ARTICLE_RE = r"(?is)<article(?:[\s/][^>]*)?>(.*?)(?:</article\s*>|\z)"
+HAS_ARTICLE_AT_START_RE = r"(?i)^<article(?:[\s/][^>]*)?>"
+EMPTY_AT_START_RE = r"(?i)^<article(?:[\s/][^>]*)?/>|^<article/>"
+END_AT_START_RE = r"(?i)^</article\s*>"
+ARTICLE_TAG_RE = r"(?i)(?=<article(?:[\s/][^>]*)?>|</article\s*>)"   # the place before an article tag
 PARAGRAPH_OPEN_RE = r"(?is)<p\b[^>]*>"
 PARAGRAPH_END_RE = r"</p\s*>|</article\s*>|</body\s*>|</div\s*>"
 PARAGRAPH_RE = rf"(?is)<p\b[^>]*>(.*?)(?=<p\b|{PARAGRAPH_END_RE}|\z)"
@@ -83,9 +86,33 @@ def has_article(html) -> Column:
     return visible(html).rlike(HAS_ARTICLE_RE)
 
 
+def article_body(page) -> Column:
+    """What stands between the first ``<article>`` tag of visible HTML and the closing tag that matches it.
+
+    The page is cut before each article tag; one pass over the pieces keeps the depth (+1 for an
+    opening, -1 for a closing tag; ``<article/>`` opens nothing) and collects pieces until it is 0 again. A page that
+    ends first ends the article.
+    """
+    parts = F.split(_c(page), ARTICLE_TAG_RE)
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.array().cast("array<string>").alias("kept"))
+
+    def step(acc: Column, x: Column) -> Column:
+        opens, closes = x.rlike(HAS_ARTICLE_AT_START_RE), x.rlike(END_AT_START_RE)
+        empty = opens & x.rlike(EMPTY_AT_START_RE)
+        before = acc["depth"]
+        depth = before + F.when(opens & ~empty, 1).when(closes & (before > 0), -1).otherwise(0)
+        first = opens & (before == 0)
+        done = acc["done"] | (closes & (before > 0) & (depth == 0)) | (first & empty)
+        kept = (F.when(acc["done"] | done | ((before == 0) & ~first), acc["kept"])
+                .otherwise(F.concat(acc["kept"], F.array(F.when(first, F.regexp_replace(x, "^<[^>]*>", "")).otherwise(x)))))
+        return F.struct(depth.alias("depth"), done.alias("done"), kept.alias("kept"))
+
+    return F.array_join(F.aggregate(parts, start, step)["kept"], "")
+
+
 def article_text(html) -> Column:
-    """Text of the first ``<article>`` ('' when the page has none)."""
-    return text_of(F.regexp_extract(visible(html), ARTICLE_RE, 1))
+    """Text of the first ``<article>``, nested ones included ('' when the page has none)."""
+    return text_of(article_body(visible(html)))
 
 
 def paragraph_text(html) -> Column:

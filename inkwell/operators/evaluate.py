@@ -66,3 +66,43 @@ def report(pred: DataFrame, label_col: str = "label", pred_col: str = "predictio
                       *[_div(F.sum(F.col(m) * F.col("support")), tot).alias(m) for m in ("precision", "recall", "f1")],
                       tot.cast("bigint").alias("support"))
     return rows.unionByName(acc).unionByName(macro).unionByName(weighted)
+
+
+def grouped_report(pred: DataFrame, group_cols, label_col: str = "label", pred_col: str = "prediction") -> DataFrame:
+    """(group columns, accuracy, weighted_f1, macro_f1, n, report): one row for each group.
+
+    The rows are counted once, as confusion counts; classes and averages of all groups then come
+    from one aggregation over grouping sets. ``report`` lists (name, precision, recall, f1, support)
+    of the classes in ascending order, then accuracy, macro avg and weighted avg.
+    """
+    g = list(group_cols)
+    label, guess, n = F.col(label_col), F.col(pred_col), F.col("_n")
+    cm = pred.groupBy(*g, label.alias("_l"), guess.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    zero = F.lit(0).cast("bigint")
+    hit = F.when(F.col("_l") == F.col("_p"), n).otherwise(zero)
+    sides = F.array(F.struct(F.col("_l").alias("class"), n.alias("support"), zero.alias("predicted"), hit.alias("tp")),
+                    F.struct(F.col("_p").alias("class"), zero.alias("support"), n.alias("predicted"), zero.alias("tp")))
+    classes = cm.select(*g, F.explode(sides).alias("_x")).groupBy(*g, F.col("_x.class").alias("class")).agg(
+        *[F.sum(f"_x.{c}").alias(c) for c in ("support", "predicted", "tp")])
+    tp, sup, prd = F.col("tp"), F.col("support"), F.col("predicted")
+    scored = classes.select(*g, "class", "support", "tp", _div(tp, prd).alias("precision"), _div(tp, sup).alias("recall"),
+                            _div(2.0 * tp, sup + prd).alias("f1"))
+    names = ("precision", "recall", "f1")
+    levels = scored.groupingSets([[*g, "class"], g], *g, "class").agg(
+        F.grouping("class").alias("_all"), F.sum("tp").alias("tp"), F.sum("support").alias("support"),
+        *[F.avg(m).alias(m) for m in names], *[F.sum(F.col(m) * sup).alias(f"w_{m}") for m in names])
+    accuracy, weighted = _div(tp.cast("double"), sup), [_div(F.col(f"w_{m}"), sup) for m in names]
+
+    def entry(place: int, name, values):
+        return F.struct(F.lit(place).alias("place"), F.coalesce(name, F.lit("")).alias("name"),
+                        *[v.cast("double").alias(m) for m, v in zip(names, values)], sup.alias("support"))
+
+    none = F.lit(None)
+    own = [F.col(m) for m in names]
+    lines = F.when(F.col("_all") == 0, F.array(entry(0, F.col("class").cast("string"), own))).otherwise(F.array(
+        entry(1, F.lit("accuracy"), [none, none, accuracy]), entry(2, F.lit("macro avg"), own), entry(3, F.lit("weighted avg"), weighted)))
+    total = lambda c: F.max(F.when(F.col("_all") == 1, c))
+    return levels.groupBy(*g).agg(
+        total(accuracy).alias("accuracy"), total(weighted[2]).alias("weighted_f1"), total(F.col("f1")).alias("macro_f1"),
+        total(sup).alias("n"),
+        F.transform(F.array_sort(F.flatten(F.collect_list(lines))), lambda x: x.dropFields("place")).alias("report"))

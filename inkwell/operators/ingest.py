@@ -91,8 +91,10 @@ def api_to_article(rows: DataFrame, model) -> DataFrame:
     # the language depends on the text alone: distinct texts are scored, whatever response they came in
     base = rows.withColumn("_lt", F.coalesce(
         F.nullif(F.col("description"), F.lit("")), F.nullif(F.col("title"), F.lit("")), F.lit("")))
-    texts = base.select("_lt", F.col("_lt").alias("_text")).distinct()
-    det = base.join(langid.detect(texts, "_lt", "_text", model, out_col="_lang").select("_lt", "_lang"), "_lt")
+    # each by a 128-bit digest, so that its rows of trigrams do not carry the text
+    base = base.withColumn("_key", F.unhex(F.md5("_lt")))
+    texts = base.groupBy("_key").agg(F.first("_lt").alias("_text"))
+    det = base.join(langid.detect(texts, "_key", "_text", model, out_col="_lang").select("_key", "_lang"), "_key")
     default_lang = F.when(F.col("country") != F.lit("ae"), F.lit("en")).otherwise(F.lit("ar"))
     empty_source = F.struct(F.lit(None).cast("string").alias("id"), F.lit(None).cast("string").alias("name"))
     out = det.select(

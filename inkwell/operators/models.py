@@ -10,27 +10,7 @@ from pyspark.sql import functions as F
 from inkwell import constants as C
 from inkwell.functions.text import non_blank, terms
 from inkwell.operators import naive_bayes as NB
-
-MAX_LABELS = 10_000
-
-
-# --- M1 label map ------------------------------------------------------------------------
-
-def label_map(df: DataFrame, label_col: str = "label") -> DataFrame:
-    """(label, id): sorted distinct labels numbered from 0. Fewer than two labels is an error."""
-    labels = df.select(F.col(label_col).alias("label")).where(F.col("label").isNotNull()).distinct()
-    n = labels.count()
-    if n < 2:
-        raise ValueError(f"need at least 2 distinct labels to train a classifier, found {n}")
-    if n > MAX_LABELS:
-        raise ValueError(f"too many labels for a label map: {n}")
-    # bounded by MAX_LABELS rows
-    return labels.select("label", (F.row_number().over(Window.orderBy("label")) - 1).cast("int").alias("id"))
-
-
-def encode(df: DataFrame, lmap: DataFrame, label_col: str = "label", out_col: str = "label_id") -> DataFrame:
-    return df.join(F.broadcast(lmap.select(F.col("label").alias(label_col), F.col("id").alias(out_col))),
-                   label_col)
+from inkwell.operators.labels import decode, encode, label_map  # noqa: F401
 
 
 # --- M2 exact split -------------------------------------------------------------------------

@@ -1,12 +1,10 @@
 """Multinomial naive Bayes as aggregations and joins.
 
-Training is two grouped counts (feature counts per label, documents per label);
-the model is a table ``(group..., feature, label, log_p)`` kept dense over the
-labels of each group (a pivot/unpivot, bounded by ``spark.sql.pivotMaxValues``),
-plus ``(group..., label, log_prior)``. Scoring explodes a document's features,
-joins the model on the feature, sums ``n * log_p`` per (document, label) and
-keeps the arg-max with a softmax probability. Nothing is collected except the
-label names needed by the pivot.
+Training is two grouped counts (feature counts per label, documents per label); the model is a
+table ``(group..., feature, label, log_p)`` with a row for every label of the group under each of
+its features, plus ``(group..., label, log_prior)``. Scoring explodes a document's features, joins
+the model on the feature, sums ``n * log_p`` per (document, label) and keeps the arg-max with a
+softmax probability. Nothing is collected.
 """
 
 from __future__ import annotations

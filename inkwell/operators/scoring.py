@@ -1,13 +1,13 @@
 """Scorers: sentiment (naive Bayes per language), topics over caller-supplied labels, centroids.
 
-A scorer maps ``(id, text)`` rows to ``(id, label, score)``; the defaults are
-native joins and aggregations. Label sets are small by construction and are
-checked before they are broadcast.
+A scorer maps ``(id, text)`` rows to ``(id, label, score)`` (see ``scorers``); the defaults are
+native joins and aggregations. Label sets may have any size: seeds are joined on the term,
+centroids are held in matrices of bounded bytes, one block of labels after the other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell import constants as C
@@ -15,9 +15,12 @@ from inkwell.functions import text as T
 from inkwell.operators import models as M
 from inkwell.operators import tfidf
 from inkwell.operators.preprocess import preprocess
+from inkwell.operators.scorers import FrameScorer, NaiveBayesScorer, apply_scorer
+from inkwell.session import cut_lineage
 
 TOPIC_TEMPERATURE = 0.1
-MAX_LABELS = M.MAX_LABELS
+#: Bytes of centroids that a task holds at a time.
+MATRIX_BYTES = 32 << 20
 
 
 # --- M5 sentiment ---------------------------------------------------------------------------
@@ -29,19 +32,8 @@ def train_sentiment(labelled: DataFrame, text_col: str = "cleaned_text", per_lan
 
 def score_sentiment(df: DataFrame, model, id_col: str = "doc_id", text_col: str = "cleaned_text") -> DataFrame:
     """(id, sentiment, sentiment_score): EMPTY/0.0 for blank text, ERROR/0.0 when no model covers the row."""
-    blank = F.col(text_col).isNull() | ~F.col(text_col).rlike(C_NON_BLANK)
-    keep = df.select(id_col, *[c for c in model.group_cols if c in df.columns], text_col)
-    scored = M.predict_nb(keep.where(~blank), model, id_col, text_col)
-    out = keep.join(scored.select(id_col, "prediction", "prob"), id_col, "left")
-    is_blank = F.col(text_col).isNull() | ~F.col(text_col).rlike(C_NON_BLANK)
-    return out.select(
-        id_col,
-        F.when(is_blank, F.lit(C.SENTINEL_EMPTY))
-         .otherwise(F.coalesce("prediction", F.lit(C.SENTINEL_ERROR))).alias("sentiment"),
-        F.when(is_blank, F.lit(0.0)).otherwise(F.coalesce("prob", F.lit(0.0))).alias("sentiment_score"))
-
-
-C_NON_BLANK = f"[^{C.WS}]"
+    out = apply_scorer(df, NaiveBayesScorer(model), id_col, text_col)
+    return out.select(id_col, F.col("label").alias("sentiment"), F.col("score").alias("sentiment_score"))
 
 
 # --- M6 topics ----------------------------------------------------------------------------------
@@ -60,7 +52,11 @@ def seed_weights(candidates: DataFrame, vec: tfidf.Vectorizer) -> DataFrame:
 
 def topic_scores(doc_weights: DataFrame, docs: DataFrame, candidates: DataFrame, vec: tfidf.Vectorizer,
                  id_col: str = "doc_id", temperature: float = TOPIC_TEMPERATURE) -> DataFrame:
-    """(id, topic, topic_score, n_labels, best_cos, n_present): cosine to every label's seed, softmax over all labels.
+    """(id, topic, topic_score, n_labels, best_cos, n_present, label_scores, absent_score): cosine to every
+    label's seed, softmax over all labels.
+
+    ``label_scores`` maps the labels that share a term with the document to their probabilities;
+    every other label has ``absent_score``. Together they are the whole distribution (``full_scores``).
 
     Only labels sharing a term with the document produce join rows; the others
     have cosine 0 and enter the softmax as exp(0) each, so no document x label
@@ -78,6 +74,7 @@ def topic_scores(doc_weights: DataFrame, docs: DataFrame, candidates: DataFrame,
         F.min_by("label", F.struct(-F.col("cos"), F.col("label"))).alias("best"),
         F.max("cos").alias("best_cos"),
         F.sum(F.exp(F.col("cos") / t)).alias("present_mass"),
+        F.map_from_entries(F.collect_list(F.struct("label", "cos"))).alias("cosines"),
         F.count(F.lit(1)).alias("n_present"))
     out = docs.select(id_col).join(per_doc, id_col, "left")
     absent = F.lit(n_labels) - F.coalesce(F.col("n_present"), F.lit(0))
@@ -88,7 +85,56 @@ def topic_scores(doc_weights: DataFrame, docs: DataFrame, candidates: DataFrame,
     return out.select(id_col, topic.alias("topic"), score.alias("topic_score"),
                       F.lit(n_labels).cast("bigint").alias("n_labels"),
                       F.coalesce("best_cos", F.lit(0.0)).alias("best_cos"),
-                      F.coalesce("n_present", F.lit(0)).cast("bigint").alias("n_present"))
+                      F.coalesce("n_present", F.lit(0)).cast("bigint").alias("n_present"),
+                      F.coalesce(F.transform_values("cosines", lambda _, c: F.exp(c / t) / denom),
+                                 F.create_map().cast("map<string,double>")).alias("label_scores"),
+                      (F.lit(1.0) / denom).alias("absent_score"))
+
+
+def full_scores(label_scores, absent_score, labels) -> Column:
+    """The probability of every label of the array ``labels``, from the sparse map and the shared probability."""
+    return F.map_from_arrays(labels, F.transform(labels, lambda x: F.coalesce(F.element_at(label_scores, x), absent_score)))
+
+
+def topic_scorer(candidates: DataFrame, vec: tfidf.Vectorizer, temperature: float = TOPIC_TEMPERATURE) -> FrameScorer:
+    """The topic model as a scorer: label and score are the topic's, the label scores come beside them."""
+
+    def score(rows: DataFrame) -> DataFrame:
+        weights = tfidf.transform(tfidf.term_frequency(rows, "id", "text"), vec)
+        found = topic_scores(weights, rows.withColumnRenamed("id", "doc_id"), candidates, vec, "doc_id", temperature)
+        return found.select(F.col("doc_id").alias("id"), F.col("topic").alias("label"), F.col("topic_score").alias("score"),
+                            "label_scores", "absent_score")
+
+    return FrameScorer(score)
+
+
+# --- F3, F6, P6 classification ----------------------------------------------------------------
+
+def scored_text(cleaned: DataFrame) -> Column:
+    """The text that is classified: the cleaned text, else the title."""
+    return T.first_non_empty("cleaned_text", "title")
+
+
+def classify(cleaned: DataFrame, sentiment, topic, languages=None, valid_only: bool = True, require_text: bool = True) -> DataFrame:
+    """``cleaned`` with sentiment, sentiment_score, topic, topic_score, label_scores and absent_score.
+
+    ``sentiment`` and ``topic`` are scorers. Only articles of ``languages`` (default: all) whose cleaned text is not
+    blank (``require_text``; else the title stands in) are scored, and with ``valid_only`` only those that got
+    both labels are kept.
+    """
+    rows = cleaned if languages is None else cleaned.where(F.col("language").isin(list(languages)))
+    if require_text:
+        rows = rows.where(F.col("cleaned_text").isNotNull() & T.non_blank("cleaned_text"))
+    texts = rows.select("doc_id", "language", scored_text(rows).alias("text"))
+    moods = apply_scorer(texts, sentiment, "doc_id", "text").select(
+        "doc_id", F.col("label").alias("sentiment"), F.col("score").alias("sentiment_score"))
+    topics = apply_scorer(texts, topic, "doc_id", "text")
+    for c, kind in (("label_scores", "map<string,double>"), ("absent_score", "double")):
+        if c not in topics.columns:
+            topics = topics.withColumn(c, F.lit(None).cast(kind))
+    topics = topics.select("doc_id", F.col("label").alias("topic"), F.col("score").alias("topic_score"), "label_scores", "absent_score")
+    out = rows.join(moods, "doc_id").join(topics, "doc_id")
+    return M.valid_predictions(out) if valid_only else out
 
 
 # --- M9 analysis ------------------------------------------------------------------------------
@@ -123,23 +169,52 @@ def analyze(heads: DataFrame, sentiment_model, vec: tfidf.Vectorizer, candidates
 
 # --- M7 centroids ---------------------------------------------------------------------------
 
-def centroid_scores(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
-                    label_col: str = "label") -> DataFrame:
-    """(id, label, predicted, cosine): nearest label centroid by cosine (label ascending on ties)."""
-    long = vectors.select(id_col, F.col(label_col).alias("label"),
-                          F.posexplode(vec_col).alias("pos", "x")).withColumn("x", F.col("x").cast("double"))
-    cent = long.groupBy(F.col("label").alias("c_label"), "pos").agg(F.avg("x").alias("c"))
-    n_cent = cent.select("c_label").distinct().count()
-    # more labels are joined by a shuffle
-    small = F.broadcast if n_cent <= MAX_LABELS else (lambda d: d)
-    cnorm = cent.groupBy("c_label").agg(F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("cn"))
-    vnorm = long.groupBy(id_col).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("vn"))
-    dots = (long.join(small(cent), "pos")        # labels x dims rows
-            .groupBy(id_col, "c_label").agg(F.sum(F.col("x") * F.col("c")).alias("dot")))
-    cos = (dots.join(small(cnorm), "c_label").join(vnorm, id_col)
-           .select(id_col, "c_label", F.when((F.col("cn") > 0) & (F.col("vn") > 0),
-                                             F.col("dot") / (F.col("cn") * F.col("vn"))).otherwise(0.0).alias("cos")))
-    best = cos.groupBy(id_col).agg(
-        F.min_by("c_label", F.struct(-F.col("cos"), F.col("c_label"))).alias("predicted"),
-        F.max("cos").alias("cosine"))
-    return vectors.select(id_col, F.col(label_col).alias("label")).join(best, id_col)
+def centroids(vectors: DataFrame, vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
+    """(c_label, c, cn): the mean vector of every label, place by place, and its norm.
+
+    One aggregation with a mean for each place; no vector is taken apart into rows. Places that a
+    vector does not have do not count in their mean.
+    """
+    dims = vectors.agg(F.max(F.size(vec_col))).first()[0] or 0
+    place = lambda i: F.avg(F.get(F.col(vec_col), F.lit(i)).cast("double"))
+    means = F.array(*[place(i) for i in range(dims)]).cast("array<double>")
+    rows = vectors.where(F.col(label_col).isNotNull()).groupBy(F.col(label_col).alias("c_label")).agg(means.alias("c"))
+    return rows.withColumn("cn", F.sqrt(_dot(F.col("c"), F.col("c"))))
+
+
+def _dot(a: Column, b: Column) -> Column:
+    """Sum of products; places that one side does not have are left out."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.coalesce(x.cast("double") * y, F.lit(0.0))), F.lit(0.0), lambda s, x: s + x)
+
+
+def centroid_scores(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
+                    matrix_bytes: int | None = None) -> DataFrame:
+    """(id, label, predicted, cosine): nearest label centroid by cosine (label ascending on ties).
+
+    The centroids lie in one array, looked through inside each row. It is held to ``matrix_bytes``;
+    more labels are dealt to several arrays, and the vectors are read once for each. Null and empty vectors are left out.
+    """
+    cent = cut_lineage(centroids(vectors, vec_col, label_col))
+    n, width = cent.agg(F.count(F.lit(1)), F.max(F.size("c"))).first()
+    blocks = max(1, -(-n * (8 * (width or 0) + 64) // (matrix_bytes or MATRIX_BYTES)))
+    rows = vectors.where(F.size(vec_col) > 0)
+    v = F.col(vec_col)
+    none = F.struct(F.lit(None).cast(cent.schema["c_label"].dataType).alias("label"), F.lit(None).cast("double").alias("cos"))
+    found = None
+    for b in range(blocks):
+        block = cent.where(F.pmod(F.xxhash64("c_label"), F.lit(blocks)) == b)
+        matrix = block.agg(F.array_sort(F.collect_list(F.struct("c_label", "c", "cn")))).scalar()     # one value of bounded size
+
+        def nearer(best: Column, x: Column) -> Column:
+            cos = F.when((x["cn"] > 0) & (F.col("_vn") > 0), _dot(v, x["c"]) / (x["cn"] * F.col("_vn"))).otherwise(F.lit(0.0))
+            step = F.struct(x["c_label"].alias("label"), cos.alias("cos"))
+            return F.when(best["cos"].isNull() | (step["cos"] > best["cos"]), step).otherwise(best)
+
+        best = F.aggregate("_matrix", none, nearer)
+        part = rows.withColumn("_matrix", matrix).withColumn("_vn", F.sqrt(_dot(v, v))).select(id_col, F.col(label_col).alias("label"), best.alias("_best"))
+        found = part if found is None else found.unionByName(part)
+    if blocks > 1:
+        order = F.struct(-F.col("_best.cos"), F.col("_best.label"))
+        found = found.where("_best.label IS NOT NULL").groupBy(id_col, "label").agg(F.min_by("_best", order).alias("_best"))
+    return found.where("_best.label IS NOT NULL").select(
+        id_col, "label", F.col("_best.label").alias("predicted"), F.col("_best.cos").alias("cosine"))

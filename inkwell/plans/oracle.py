@@ -249,7 +249,21 @@ def has_article(h: str) -> str:
 
 
 def article_text(h: str) -> str:
-    return text_of(f"regexp_extract({visible(h)}, {q(_html().ARTICLE_RE)}, 1)")
+    """Marks instead of tags, then the first place where as many articles were closed as opened."""
+    opening, closing = q(r"(?i)<article([\s/][^>]*)?>"), q(r"(?i)</article\s*>")
+    tags = f"regexp_replace({visible(h)}, {opening}, chr(1) || 'o\\1' || chr(2), 'g')"
+    x = f"regexp_replace({tags}, {closing}, chr(1) || 'c' || chr(2), 'g')"
+    pieces = f"string_split({x}, chr(1))"
+    # a piece is its tag, chr(2) and the text after it; the text before the first tag is no piece
+    kind = lambda p: (f"CASE WHEN starts_with({p}, 'c') THEN -1 WHEN ends_with(split_part({p}, chr(2), 1), '/') THEN 0 "
+                      f"ELSE 1 END")
+    opened = f"list_position(list_transform(ap, lambda v: starts_with(v, 'o')), true)"
+    inner = f"ap[{opened}:]"
+    depth = f"list_transform(range(1, len(aq) + 1), lambda k: list_sum(list_transform(aq[1:k], lambda w: {kind('w')})))"
+    cut = f"coalesce(list_position({depth}, 0) - 1, len(aq))"
+    body = f"array_to_string(list_transform(aq[1:{cut}], lambda z: substr(z, strpos(z, chr(2)) + 1)), '<>')"
+    chosen = f"list_transform([{inner}], lambda aq: {text_of(body)})[1]"
+    return f"coalesce(list_transform([{pieces}[2:]], lambda ap: CASE WHEN {opened} IS NULL THEN '' ELSE {chosen} END)[1], '')"
 
 
 def paragraph_text(h: str) -> str:
@@ -473,3 +487,73 @@ def topic_ctes(docs: str, temperature: float = 0.1, weights: str = "weights", p:
          CAST(nl.n AS BIGINT) AS n_labels, coalesce(p.best_cos, 0) AS best_cos,
          CAST(coalesce(p.n_present, 0) AS BIGINT) AS n_present
   FROM {docs} d CROSS JOIN nl LEFT JOIN {p}per_doc p USING (doc_id))"""
+
+
+# --- tuning of stored models, for every (language, task) -------------------------------------------
+
+def tuning_ctes(rows: str, epochs: int = C.EPOCHS, seed: int = C.SPLIT_SEED, cuts=C.SPLIT_CUTS) -> str:
+    """CTE tpred(language, task, model, doc_id, label, prediction) on each group's test rows.
+
+    ``rows`` is a relation (language, task, doc_id, cleaned_text, label). The original model of a
+    task has the counts of all languages' training rows; the tuned one adds ``epochs`` times the group's own.
+    """
+    g, gm = "language, task", "model, language, task"
+    return f"""t_ok AS (SELECT {g} FROM {rows} GROUP BY {g} HAVING min(label) < max(label)),
+t_rank AS (SELECT *, row_number() OVER (PARTITION BY {g} ORDER BY md5('{seed}:' || CAST(doc_id AS VARCHAR)), doc_id) - 1 AS rk,
+                  count(*) OVER (PARTITION BY {g}) AS n FROM {rows} JOIN t_ok USING ({g})),
+t_sp AS (SELECT *, CASE WHEN rk < floor({cuts[0]}::DOUBLE * n) THEN 'train' WHEN rk < floor({cuts[1]}::DOUBLE * n) THEN 'val'
+                        ELSE 'test' END AS split FROM t_rank),
+t_ownf AS (SELECT {g}, label, feature, count(*) AS c FROM (
+  SELECT {g}, label, unnest({terms('cleaned_text')}) AS feature FROM t_sp WHERE split = 'train') GROUP BY ALL),
+t_ownd AS (SELECT {g}, label, count(*) AS n FROM t_sp WHERE split = 'train' GROUP BY ALL),
+t_grp AS (SELECT DISTINCT {g} FROM t_ownd),
+t_basef AS (SELECT g.language, g.task, o.label, o.feature, sum(o.c) AS c FROM t_ownf o JOIN t_grp g ON g.task = o.task GROUP BY ALL),
+t_based AS (SELECT g.language, g.task, o.label, sum(o.n) AS n FROM t_ownd o JOIN t_grp g ON g.task = o.task GROUP BY ALL),
+t_f AS (SELECT 'original' AS model, * FROM t_basef UNION ALL
+  SELECT 'finetuned', {g}, label, feature, sum(c) FROM (
+    SELECT * FROM t_basef UNION ALL SELECT {g}, label, feature, {epochs} * c FROM t_ownf) GROUP BY {g}, label, feature),
+t_d AS (SELECT 'original' AS model, * FROM t_based UNION ALL
+  SELECT 'finetuned', {g}, label, sum(n) FROM (SELECT * FROM t_based UNION ALL SELECT {g}, label, {epochs} * n FROM t_ownd) GROUP BY {g}, label),
+t_t AS (SELECT {gm}, label, sum(c) AS t FROM t_f GROUP BY ALL),
+t_v AS (SELECT {gm}, count(DISTINCT feature) AS v FROM t_f GROUP BY ALL),
+t_p AS (SELECT {gm}, label, ln(n) - ln(sum(n) OVER (PARTITION BY {gm})) AS prior FROM t_d),
+t_df AS (SELECT {g}, doc_id, feature, count(*) AS n FROM (
+  SELECT {g}, doc_id, unnest({terms('cleaned_text')}) AS feature FROM t_sp WHERE split = 'test') GROUP BY ALL),
+t_known AS (SELECT DISTINCT {gm}, feature FROM t_f),
+t_x AS (SELECT {gm}, doc_id, label, sum(d.n * (ln(coalesce(f.c, 0) + 1.0) - ln(coalesce(t.t, 0) + 1.0 * v.v))) AS s
+  FROM t_df d JOIN t_known k USING ({g}, feature) JOIN t_p p USING ({gm}) JOIN t_v v USING ({gm})
+  LEFT JOIN t_f f USING ({gm}, label, feature) LEFT JOIN t_t t USING ({gm}, label) GROUP BY ALL),
+t_sc AS (SELECT p.model, r.language, r.task, r.doc_id, r.label AS truth, p.label, round(p.prior + coalesce(x.s, 0), 6) AS score
+  FROM (SELECT {g}, doc_id, label FROM t_sp WHERE split = 'test') r
+  JOIN (SELECT {gm}, label, prior FROM t_p) p ON p.language = r.language AND p.task = r.task
+  LEFT JOIN t_x x ON x.model = p.model AND x.language = p.language AND x.task = p.task AND x.label = p.label AND x.doc_id = r.doc_id),
+tpred AS (SELECT {gm}, doc_id, truth AS label, label AS prediction FROM (
+  SELECT *, row_number() OVER (PARTITION BY {gm}, doc_id ORDER BY score DESC, label) AS best FROM t_sc) WHERE best = 1)"""
+
+
+def grouped_class_ctes(p: str, pred: str, keys: str) -> str:
+    """Like ``per_class_ctes`` for every combination of the columns ``keys``: {p}_pc(keys, class, ...)."""
+    return f"""{p}_cm AS (SELECT {keys}, label, prediction, count(*) AS n FROM {pred} GROUP BY ALL),
+{p}_cl AS (SELECT {keys}, label AS class FROM {p}_cm UNION SELECT {keys}, prediction FROM {p}_cm),
+{p}_ct AS (SELECT {keys}, class, CAST(coalesce(sum(n) FILTER (WHERE label = class), 0) AS DOUBLE) AS support,
+    CAST(coalesce(sum(n) FILTER (WHERE prediction = class), 0) AS DOUBLE) AS predicted,
+    CAST(coalesce(sum(n) FILTER (WHERE label = class AND prediction = class), 0) AS DOUBLE) AS tp
+  FROM {p}_cl JOIN {p}_cm USING ({keys}) GROUP BY ALL),
+{p}_pc AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+    CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall,
+    CASE WHEN support + predicted > 0 THEN 2.0 * tp / (support + predicted) ELSE 0.0 END AS f1 FROM {p}_ct)"""
+
+
+def grouped_summary(p: str, keys: str) -> str:
+    return f"""SELECT {keys}, sum(tp) / sum(support) AS accuracy, sum(f1 * support) / sum(support) AS weighted_f1,
+  avg(f1) AS macro_f1, CAST(sum(support) AS BIGINT) AS n FROM {p}_pc GROUP BY {keys}"""
+
+
+def grouped_report(p: str, keys: str) -> str:
+    """Rows (keys, name, precision, recall, f1, support): classes, accuracy, macro avg, weighted avg."""
+    avg = ", ".join(f"avg({m}) AS {m}" for m in ("precision", "recall", "f1"))
+    weighted = ", ".join(f"sum({m} * support) / sum(support) AS {m}" for m in ("precision", "recall", "f1"))
+    return f"""SELECT {keys}, class AS name, precision, recall, f1, support FROM {p}_pc
+UNION ALL SELECT {keys}, 'accuracy', NULL, NULL, sum(tp) / sum(support), sum(support) FROM {p}_pc GROUP BY {keys}
+UNION ALL SELECT {keys}, 'macro avg', {avg}, sum(support) FROM {p}_pc GROUP BY {keys}
+UNION ALL SELECT {keys}, 'weighted avg', {weighted}, sum(support) FROM {p}_pc GROUP BY {keys}"""

@@ -45,6 +45,18 @@ def q_html_article_text(spark, sf_dir):
                                         html.article_text("html").alias("article_text"))
 
 
+_NESTED = "'<div><article><h1>' || coalesce(url, '') || '</h1>' || coalesce(html, '') || '<article class=x>in ' || page_id || '</article> tail</article> after</div>'"
+
+
+@register("html_nested_article", sql=f"""
+SELECT page_id, {O.article_text('nested')} AS article_text FROM (SELECT page_id, {_NESTED} AS nested FROM pages)""")
+def q_html_nested_article(spark, sf_dir):
+    """Every page put into an article of its own, with one more article inside: the outer one is read to its end."""
+    nested = F.concat(F.lit("<div><article><h1>"), F.coalesce("url", F.lit("")), F.lit("</h1>"), F.coalesce("html", F.lit("")),
+                      F.lit("<article class=x>in "), F.col("page_id").cast("string"), F.lit("</article> tail</article> after</div>"))
+    return _pages(spark, sf_dir).select("page_id", html.article_text(nested).alias("article_text"))
+
+
 @register("html_paragraph_text", sql=f"SELECT page_id, {O.paragraph_text('html')} AS paragraph_text FROM pages")
 def q_html_paragraph_text(spark, sf_dir):
     return _pages(spark, sf_dir).select("page_id", html.paragraph_text("html").alias("paragraph_text"))
@@ -196,11 +208,18 @@ def q_scan_feed_csv(spark, sf_dir):
     return rows.select(*S.FEED_COLUMNS)
 
 
-@register("feed_reject", sql=O.with_(O.FEED_ROWS) + "SELECT '' AS _bad FROM feed_rows WHERE false")
+@register("feed_reject", sql=O.with_(O.FEED_ROWS) + """
+SELECT publish_time || ',' || feed_code || ',"' || replace(headline_text, '"', '""') || ', more",,extra ' || doc_id AS _bad
+FROM feed_rows WHERE doc_id % 3 = 0 AND headline_text NOT LIKE '%' || chr(13) || '%'""")
 def q_feed_reject(spark, sf_dir):
-    """Rows with more than four fields (none in a well-formed feed)."""
+    """Rows with more than four fields, from a feed file in which every third row has five."""
+    f = feed_rows(spark, sf_dir).where(~F.col("headline_text").contains("\r"))
+    quoted = F.concat(F.lit('"'), F.replace("headline_text", F.lit('"'), F.lit('""')), F.lit(', more"'))
+    last = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit(",extra "), F.col("doc_id").cast("string"))).otherwise(F.lit(""))
+    line = F.concat_ws(",", "publish_time", "feed_code", quoted, last)
     path = scratch_path(spark, "feed-csv")
-    S.write_feed(feed_rows(spark, sf_dir), path)
+    # the header is one more line at the head of every file: written by each task before its rows
+    f.select(line.alias(",".join(S.FEED_COLUMNS))).write.option("header", True).option("quote", "").option("escapeQuotes", False).option("sep", "\x01").csv(path)
     _rows, rejected = S.read_feed(spark, [path])
     return rejected.select("_bad")
 
@@ -224,8 +243,9 @@ FROM articles"""
 @register("sink_roundtrip_json", sql=_CLEAN_SQL)
 def q_sink_roundtrip_json(spark, sf_dir):
     path = scratch_path(spark, "cleaned-json")
-    S.write_articles(preprocess(spread(articles(spark, sf_dir, url=False))), path)
-    back = spark.read.json(path)
+    cleaned = preprocess(spread(articles(spark, sf_dir, url=False)))
+    S.write_articles(cleaned, path)
+    back = S.read_articles(spark, path, schema=cleaned.schema)
     return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "title", "language", "cleaned_text")
 
 
@@ -234,8 +254,9 @@ SELECT language, count(*) AS n_articles, CAST(sum(length(cleaned_text)) AS BIGIN
 FROM ({_CLEAN_SQL}) GROUP BY language""")
 def q_sink_by_language(spark, sf_dir):
     path = scratch_path(spark, "cleaned-by-lang")
-    S.write_articles(preprocess(spread(articles(spark, sf_dir, url=False))), path, by="language")
-    back = spark.read.json(path)
+    cleaned = preprocess(spread(articles(spark, sf_dir, url=False)))
+    S.write_articles(cleaned, path, by="language")
+    back = S.read_articles(spark, path, schema=cleaned.schema)
     return back.groupBy("language").agg(F.count(F.lit(1)).alias("n_articles"),
                                         big(F.sum(F.length("cleaned_text"))).alias("n_chars"))
 
@@ -248,7 +269,7 @@ def _landing_zone(spark, sf_dir):
         "source", "author", "title", "description", "url", "urlToImage", "publishedAt", "content")
     root = scratch_path(spark, "api-landing")
     S.write_api_envelopes(a, root)
-    return S.read_api(spark, root, extra_fields=[("page", T.LongType())], json_lines=True)
+    return S.read_api(spark, root, json_lines=True)
 
 
 _API_ROWS_SQL = O.with_(O.ARTICLES) + """
@@ -263,17 +284,31 @@ def q_api_envelope_explode(spark, sf_dir):
                     big(F.length("content")).alias("content_chars"))
 
 
+#: Articles that the capped requests may bring.
+CAP = 4
+
+
 @register("request_cap", sql=O.with_(O.ARTICLES) + f"""
 SELECT country, category, title FROM (
   SELECT source_name AS country, language AS category, title,
          row_number() OVER (PARTITION BY source_name, language ORDER BY doc_id) AS rn
-  FROM articles) WHERE rn <= {C.PAGE_SIZE}""")
+  FROM articles) WHERE rn <= {CAP}""")
 def q_request_cap(spark, sf_dir):
+    """The first articles of every (country, category), in the order of the landed responses."""
     r = _landing_zone(spark, sf_dir)
-    capped = ingest.first_per_group(r, C.PAGE_SIZE, ["country", "category"], [F.col("page"), F.col("pos")])
+    capped = ingest.first_per_group(r, CAP, ["country", "category"], [F.col("response"), F.col("pos")])
     return capped.select("country", "category", "title")
 
 
+@register("api_responses", sql=O.with_(O.ARTICLES) + f"""
+SELECT source_name AS country, language AS category, count(DISTINCT CAST(floor(doc_id / {C.PAGE_SIZE}) AS BIGINT)) AS n_responses,
+       count(*) AS n_articles FROM articles GROUP BY ALL""")
+def q_api_responses(spark, sf_dir):
+    """Responses of every request told apart by their place, several of them in one file of lines."""
+    r = _landing_zone(spark, sf_dir)
+    return r.groupBy("country", "category").agg(F.countDistinct("response").alias("n_responses"), F.count(F.lit(1)).alias("n_articles"))
+
+
 @register("api_to_article", sql=O.with_(
     O.ARTICLES, O.LANGID_MODEL,
     "heads AS (SELECT doc_id, coalesce(nullif(description, ''), nullif(title, ''), '') AS lt FROM articles)",

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from inkwell import constants as C
 from inkwell.operators import evaluate as EV
+from inkwell.operators import labels as L
 from inkwell.operators import models as M
+from inkwell.operators import tuning
 from inkwell.operators.naive_bayes import NBModel
 from inkwell.plans import oracle as O
 from inkwell.plans.catalog import big, r6, register
@@ -82,12 +84,22 @@ def q_filter_classifiable(spark, sf_dir):
 
 
 @register("label_encode", sql=_BASE + """
-SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS id
-FROM (SELECT DISTINCT label FROM t_labelled)""")
+SELECT label, row_number() OVER (ORDER BY label) - 1 AS id FROM (SELECT DISTINCT label FROM t_labelled)""")
 def q_label_encode(spark, sf_dir):
     return M.label_map(labelled(spark, sf_dir))
 
 
+@register("label_roundtrip", sql="""
+WITH l AS (SELECT doc_id, source || '/' || lang AS label FROM documents),
+ids AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS label_id FROM (SELECT DISTINCT label FROM l WHERE label IS NOT NULL))
+SELECT doc_id, label, label_id, label AS decoded FROM l LEFT JOIN ids USING (label)""")
+def q_label_roundtrip(spark, sf_dir):
+    """Every document's source and language as one label, encoded to its dense id and decoded again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", "source", "lang").alias("label"))
+    lmap = L.label_map(docs)
+    return L.decode(L.encode(docs, lmap), lmap, out_col="decoded").select("doc_id", "label", "label_id", "decoded")
+
+
 @register("split_data", sql=_BASE + "SELECT doc_id, rank, split FROM t_splits")
 def q_split_data(spark, sf_dir):
     return M.split(labelled(spark, sf_dir)).select("doc_id", "rank", "split")
@@ -191,35 +203,74 @@ def q_model_comparison(spark, sf_dir):
     return compare(spark, sf_dir, [TASK])
 
 
-@register("train_evaluate", sql=_compare_sql(["quality", "toxic"]))
+TASKS = ("quality", "toxic")
+_TASK_ROWS = "task_rows AS (" + " UNION ALL ".join(
+    f"SELECT c.language, '{t}' AS task, c.doc_id, c.cleaned_text, CAST(l.{t} AS VARCHAR) AS label FROM cleaned c JOIN labels l USING (doc_id) "
+    f"WHERE c.cleaned_text <> '' AND l.{t} IS NOT NULL" for t in TASKS) + ")"
+_KEYS = "language, task, model"
+_TUNING_SQL = O.with_(O.CLEANED, _TASK_ROWS, O.tuning_ctes("task_rows"), O.grouped_class_ctes("tm", "tpred", _KEYS))
+
+
+def task_rows(spark, sf_dir) -> DataFrame:
+    """(language, task, doc_id, cleaned_text, label): the labelled documents of every language and task."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.explode(F.create_map(
+        *[x for t in TASKS for x in (F.lit(t), F.col(t).cast("string"))])).alias("task", "label"))
+    return M.labelled_rows(cleaned_docs(spark, sf_dir).join(labels, "doc_id")).select("language", "task", "doc_id", "cleaned_text", "label")
+
+
+def tuned_predictions(spark, sf_dir) -> DataFrame:
+    """Test predictions of the stored and the tuned model of every (language, task), as a stage table."""
+    return stage(spark, sf_dir, "tuned_pred", lambda: tuning.tune_and_compare(spread(task_rows(spark, sf_dir))).predictions)
+
+
+@register("train_evaluate", sql=_TUNING_SQL + f"""
+SELECT {_KEYS}, round(accuracy, 6) AS accuracy, round(weighted_f1, 6) AS weighted_f1, round(macro_f1, 6) AS macro_f1, n
+FROM ({O.grouped_summary('tm', _KEYS)})""")
 def q_train_evaluate(spark, sf_dir):
-    """Split -> baseline -> train -> score again, for both label tasks."""
-    return compare(spark, sf_dir, ["quality", "toxic"])
+    """For every language and task: split, stored model scored, tuned on the training rows, scored again."""
+    r = EV.grouped_report(tuned_predictions(spark, sf_dir), ["language", "task", "model"])
+    return r.select("language", "task", "model", *[r6(c).alias(c) for c in ("accuracy", "weighted_f1", "macro_f1")], "n")
 
 
-@register("metrics_record", sql="SELECT 'en' AS language, 'quality' AS task, 'naive_bayes' AS model_name, "
-          f"CAST({C.EPOCHS} AS BIGINT) AS epochs, CAST({C.BATCH_SIZE} AS BIGINT) AS batch_size, "
-          "o.accuracy AS original_accuracy, o.weighted_f1 AS original_f1, "
-          "f.accuracy AS finetuned_accuracy, f.weighted_f1 AS finetuned_f1 "
-          "FROM (" + _compare_sql([TASK]) + ") o, (" + _compare_sql([TASK]) + ") f "
-          "WHERE o.model = 'original' AND f.model = 'finetuned'")
-def q_metrics_record(spark, sf_dir):
-    """Nested metrics record written as JSON partitioned by (language, task), read back and flattened."""
-    c = compare(spark, sf_dir, [TASK])
-    o = c.where(F.col("model") == "original").select(F.struct("accuracy", F.col("weighted_f1").alias("f1"))
-                                                      .alias("original_model"))
-    f = c.where(F.col("model") == "finetuned").select(F.struct("accuracy", F.col("weighted_f1").alias("f1"))
-                                                       .alias("finetuned_model"))
-    rec = o.join(f).select(  # one row each
-        "original_model", "finetuned_model", F.lit("en").alias("language"), F.lit(TASK).alias("task"),
-        F.lit("naive_bayes").alias("model_name"),
-        F.struct(F.lit(C.EPOCHS).alias("epochs"), F.lit(C.BATCH_SIZE).alias("batch_size")).alias("training_params"))
+def metrics_records(spark, sf_dir, name: str = "naive_bayes", epochs: int = C.EPOCHS) -> DataFrame:
+    """One nested record for each (language, task): both models' accuracy, F1 and report, and the parameters."""
+    r = EV.grouped_report(tuned_predictions(spark, sf_dir), ["language", "task", "model"])
+    metrics = F.struct("accuracy", F.col("weighted_f1").alias("f1"), "report")
+    own = lambda m: F.max_by(metrics, F.col("model") == m).alias(f"{m}_model")
+    return r.groupBy("language", "task").agg(own("original"), own("finetuned")).withColumns({
+        "model_name": F.lit(name), "training_params": F.struct(F.lit(epochs).cast("bigint").alias("epochs"), F.lit(1.0).alias("alpha"))})
+
+
+def metrics_roundtrip(spark, sf_dir) -> DataFrame:
+    """The records written as JSON in folders by language and task, read back in their declared schema."""
+    rec = metrics_records(spark, sf_dir)
     path = scratch_path(spark, "metrics")
-    rec.write.mode("overwrite").partitionBy("language", "task").json(path)
-    back = spark.read.json(path)
-    return back.select("language", "task", "model_name",
-                       big("training_params.epochs").alias("epochs"), big("training_params.batch_size").alias("batch_size"),
-                       F.col("original_model.accuracy").alias("original_accuracy"),
-                       F.col("original_model.f1").alias("original_f1"),
-                       F.col("finetuned_model.accuracy").alias("finetuned_accuracy"),
-                       F.col("finetuned_model.f1").alias("finetuned_f1"))
+    rec.write.mode("overwrite").option("ignoreNullFields", False).partitionBy("language", "task").json(path)
+    return spark.read.schema(rec.schema).json(path)
+
+
+@register("metrics_record", sql=_TUNING_SQL + f""", s AS ({O.grouped_summary('tm', _KEYS)}),
+nr AS (SELECT {_KEYS}, count(*) AS n_lines FROM ({O.grouped_report('tm', _KEYS)}) GROUP BY {_KEYS})
+SELECT o.language, o.task, 'naive_bayes' AS model_name, CAST({C.EPOCHS} AS BIGINT) AS epochs, 1.0::DOUBLE AS alpha,
+  round(o.accuracy, 6) AS original_accuracy, round(o.weighted_f1, 6) AS original_f1,
+  round(f.accuracy, 6) AS finetuned_accuracy, round(f.weighted_f1, 6) AS finetuned_f1, nr.n_lines AS n_report_lines
+FROM s o JOIN s f ON o.language = f.language AND o.task = f.task AND o.model = 'original' AND f.model = 'finetuned'
+JOIN nr ON nr.language = f.language AND nr.task = f.task AND nr.model = 'finetuned'""")
+def q_metrics_record(spark, sf_dir):
+    """The metrics record of every language and task, after its round trip through JSON."""
+    m = metrics_roundtrip(spark, sf_dir)
+    return m.select("language", "task", "model_name", "training_params.epochs", "training_params.alpha",
+                    r6("original_model.accuracy").alias("original_accuracy"), r6("original_model.f1").alias("original_f1"),
+                    r6("finetuned_model.accuracy").alias("finetuned_accuracy"), r6("finetuned_model.f1").alias("finetuned_f1"),
+                    big(F.size("finetuned_model.report")).alias("n_report_lines"))
+
+
+@register("metrics_report", sql=_TUNING_SQL + f"""
+SELECT {_KEYS}, name, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+  CAST(support AS BIGINT) AS support FROM ({O.grouped_report('tm', _KEYS)})""")
+def q_metrics_report(spark, sf_dir):
+    """The lines of both reports of every record, after its round trip through JSON."""
+    m = metrics_roundtrip(spark, sf_dir)
+    both = F.explode(F.array(*[F.struct(F.lit(x).alias("model"), F.col(f"{x}_model.report").alias("report")) for x in ("original", "finetuned")]))
+    lines = m.select("language", "task", both.alias("x")).select("language", "task", "x.model", F.explode("x.report").alias("r"))
+    return lines.select("language", "task", "model", "r.name", *[r6(f"r.{c}").alias(c) for c in ("precision", "recall", "f1")], "r.support")

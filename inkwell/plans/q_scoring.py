@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 from inkwell.functions import text as T
 from inkwell.operators import scoring, tfidf
 from inkwell.operators import models as M
-from inkwell.operators.preprocess import preprocess
+from inkwell.operators.scorers import NaiveBayesScorer
 from inkwell.plans import oracle as O
 from inkwell.plans.catalog import r6, register
-from inkwell.plans.q_ingest import feed_articles
 from inkwell.plans.q_tfidf import cleaned_stage
 from inkwell.plans.stages import stage
-from inkwell.session import cut_lineage, spread
-from inkwell.sources.tables import articles, candidate_labels, table
+from inkwell.session import scratch_path, spread
+from inkwell.sources.classified import read_classified, write_classified
+from inkwell.sources.tables import candidate_labels, table
 
 TASK = "quality"
 _SCORED_DOCS = f"(SELECT doc_id FROM cleaned WHERE cleaned_text IS NOT NULL AND {O.non_blank('cleaned_text')})"
@@ -87,6 +87,62 @@ def q_argmax_label(spark, sf_dir):
                     F.col("n_present").alias("n_labels_matched"))
 
 
+@register("topic_label_scores", sql=_BASE + """, mass AS (
+  SELECT d.doc_id, coalesce(p.mass, 0.0) + (nl.n - coalesce(p.n_present, 0)) AS m, nl.n - coalesce(p.n_present, 0) AS n_absent
+  FROM """ + _SCORED_DOCS + """ d CROSS JOIN nl LEFT JOIN per_doc p USING (doc_id))
+SELECT doc_id, label, round(exp(cos / 0.1) / m, 6) AS score, CAST(1 AS BIGINT) AS n_labels FROM sims JOIN mass USING (doc_id)
+UNION ALL SELECT doc_id, '(each other)', round(1 / m, 6), CAST(n_absent AS BIGINT) FROM mass""")
+def q_topic_label_scores(spark, sf_dir):
+    """The whole distribution over the topics of every document: a row for each label that shares a term
+    with it, and one for all others with their shared probability and number. Scores times numbers sum to 1."""
+    t = topic_stage(spark, sf_dir)
+    own = t.select("doc_id", F.explode("label_scores").alias("label", "score")).withColumn("n_labels", F.lit(1).cast("bigint"))
+    rest = t.select("doc_id", F.lit("(each other)").alias("label"), F.col("absent_score").alias("score"),
+                    (F.col("n_labels") - F.col("n_present")).alias("n_labels"))
+    return own.unionByName(rest).select("doc_id", "label", r6("score").alias("score"), "n_labels")
+
+
+@register("topic_score_sums", sql=_BASE + """
+SELECT doc_id, CAST((SELECT n FROM nl) AS BIGINT) AS n_scores, 1.0::DOUBLE AS total FROM topics""")
+def q_topic_score_sums(spark, sf_dir):
+    """The expanded map of every document has every label, and its scores sum to 1."""
+    labels = F.array_sort(F.collect_list("label"))
+    every = candidate_labels(spark, sf_dir).agg(labels).scalar()
+    t = topic_stage(spark, sf_dir).withColumn("_labels", every)
+    full = t.select("doc_id", scoring.full_scores(F.col("label_scores"), F.col("absent_score"), F.col("_labels")).alias("m"))
+    return full.select("doc_id", F.size("m").cast("bigint").alias("n_scores"),
+                       r6(F.aggregate(F.map_values("m"), F.lit(0.0), lambda a, x: a + x)).alias("total"))
+
+
+def classifier(spark, sf_dir, fit_on=None):
+    """(sentiment scorer, topic scorer): learnt from the labelled documents, topics in the space of ``fit_on``."""
+    c = _cleaned(spark, sf_dir)
+    vec = tfidf.fit(c if fit_on is None else fit_on, max_features=None)
+    return NaiveBayesScorer(sentiment_model(spark, sf_dir, c)), scoring.topic_scorer(candidate_labels(spark, sf_dir), vec)
+
+
+#: The language that the classified table is run again for.
+RERUN = "fr"
+
+
+@register("classified_articles", sql=_BASE + """
+SELECT s.doc_id, c.language, c.title, s.sentiment, round(s.sentiment_score, 6) AS sentiment_score, t.topic,
+       round(t.topic_score, 6) AS topic_score, t.n_present AS n_scores
+FROM cleaned c JOIN sentiment s USING (doc_id) JOIN topics t USING (doc_id)
+WHERE s.sentiment NOT IN ('EMPTY', 'ERROR') AND t.topic NOT IN ('EMPTY', 'ERROR')""")
+def q_classified_articles(spark, sf_dir):
+    """The table of classified articles by language, written, then written again for one language alone."""
+    cleaned, (mood, topic) = _cleaned(spark, sf_dir), classifier(spark, sf_dir)
+    path = scratch_path(spark, "classified")
+    languages = [r[0] for r in cleaned.select("language").distinct().collect()]
+    write_classified(scoring.classify(cleaned, mood, topic), path, languages)
+    again = scoring.classify(cleaned, mood, topic, [RERUN])
+    write_classified(again, path, [RERUN])
+    back = read_classified(spark, path, again.schema)
+    return back.select("doc_id", "language", "title", "sentiment", r6("sentiment_score").alias("sentiment_score"), "topic",
+                       r6("topic_score").alias("topic_score"), F.size("label_scores").cast("bigint").alias("n_scores"))
+
+
 @register("centroid_scores", sql="""
 WITH long AS (SELECT vec_id, label, unnest(range(1, len(embedding) + 1)) AS pos, unnest(embedding)::DOUBLE AS x
               FROM embeddings),
@@ -165,18 +221,3 @@ def q_corpus_summary(spark, sf_dir):
     j = c.select("doc_id", "language").join(s, "doc_id").join(t, "doc_id")
     return j.groupBy("language", "topic", "sentiment").agg(
         F.count(F.lit(1)).alias("n_articles"), r6(F.avg("sentiment_score")).alias("avg_sentiment_score"))
-
-
-@register("article_pipeline")
-def q_pipeline(spark, sf_dir):
-    """The reference's full run: feed -> ingest (language, quota, pages) -> preprocess -> vectorise ->
-    sentiment + topic -> per-language, per-topic summary of the ingested articles."""
-    ingested = cut_lineage(preprocess(feed_articles(spark, sf_dir)))   # keeps the feed's doc_id
-    labelled_src = _cleaned(spark, sf_dir)
-    model = sentiment_model(spark, sf_dir, labelled_src)
-    s = scoring.score_sentiment(ingested, model)
-    vec, weights = tfidf.fit_transform(ingested, max_features=None)
-    docs = ingested.where(T.non_blank("cleaned_text"))
-    t = scoring.topic_scores(weights, docs, candidate_labels(spark, sf_dir), vec)
-    j = ingested.select("doc_id", "language").join(s, "doc_id").join(t, "doc_id", "left")
-    return j.groupBy("language", "topic", "sentiment").agg(F.count(F.lit(1)).alias("n_articles"))

@@ -111,28 +111,42 @@ def write_api_envelopes(articles: DataFrame, root: str, page_col: str = "page")
            .select("country", "category", page_col, "status",
                    F.transform("_arts", lambda x: x["a"]).alias("articles")))
     # JSON lines, one response per line; read back with ``read_api(..., json_lines=True)``
+    # in ranges of the request's order: the names of a request's files, and the lines in them, keep its pages in order
+    env = env.repartitionByRange("country", "category", page_col).sortWithinPartitions("country", "category", page_col)
     env.write.mode("overwrite").partitionBy("country", "category").json(root)
 
 
 def read_api(spark: SparkSession, root: str, extra_fields=(), json_lines: bool = False) -> DataFrame:
-    """One row per article of every response file, tagged with country, category and ``response`` (the file).
+    """One row per article of every response, tagged with country, category and ``response``.
 
-    A response without ``articles`` contributes no rows; an unparsable file is a
-    corrupt record and is skipped; the rest are read. Files hold one pretty-printed
-    response each (as fetched), or one response per line with ``json_lines``.
+    ``response`` = (file, block, line) tells responses apart and orders them: ``block`` is the byte at
+    which the task's piece of the file starts and ``line`` grows along it. ``digest`` is the md5 of the response's
+    raw text where files hold one response per line (``json_lines``), the same in every read; files of one pretty-printed
+    response each (as fetched) have a null digest, as the file is the identity. A response without ``articles`` contributes no rows;
+    an unparsable one is skipped; the rest are read.
     """
     schema = T.StructType(list(API_ENVELOPE.fields))
     for name, dtype in extra_fields:
         schema = schema.add(name, dtype)
-    env = (spark.read.schema(schema).option("multiLine", not json_lines)
-           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
-           .option("basePath", root).json(root))
+    # ids of rows grow along a task, which reads its blocks one after the other
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("line"))
+    if json_lines:
+        raw = spark.read.option("basePath", root).text(root).withColumn("response", place)
+        parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+        env = raw.select("country", "category", "response", F.unhex(F.md5("value")).alias("digest"), parsed.alias("e"))
+        env = env.select("country", "category", "response", "digest", "e.*")
+    else:
+        env = (spark.read.schema(schema).option("multiLine", True)
+               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
+               .option("basePath", root).json(root))
+        env = env.withColumn("response", place).withColumn("digest", F.lit(None).cast("binary"))
     env = env.where(F.col("_corrupt").isNull())
-    extra = [c for c in env.columns if c not in ("status", "articles", "_corrupt", "country", "category")]
-    arts = env.select("country", "category", F.col("_metadata.file_path").alias("response"), *extra,
+    extra = [c for c in env.columns if c not in ("status", "articles", "_corrupt", "country", "category", "response", "digest")]
+    arts = env.select("country", "category", "response", "digest", *extra,
                       F.posexplode(F.coalesce(F.col("articles"), F.array().cast(T.ArrayType(API_ARTICLE))))
                       .alias("pos", "a"))
-    return arts.select("country", "category", "response", *extra, "pos", "a.*")
+    return arts.select("country", "category", "response", "digest", *extra, "pos", "a.*")
 
 
 def request_grid(spark: SparkSession, countries, categories, page_size: int = C.PAGE_SIZE) -> DataFrame:
