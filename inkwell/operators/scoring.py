@@ -196,7 +196,7 @@ def centroid_scores(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     """
     cent = cut_lineage(centroids(vectors, vec_col, label_col))
     n, width = cent.agg(F.count(F.lit(1)), F.max(F.size("c"))).first()
-    blocks = max(1, -(-n * (8 * (width or 0) + 64) // (matrix_bytes or MATRIX_BYTES)))
+    blocks = max(1, min(n, -(-n * (8 * (width or 0) + 64) // (matrix_bytes or MATRIX_BYTES))))
     rows = vectors.where(F.size(vec_col) > 0)
     v = F.col(vec_col)
     none = F.struct(F.lit(None).cast(cent.schema["c_label"].dataType).alias("label"), F.lit(None).cast("double").alias("cos"))
