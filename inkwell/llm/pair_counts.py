@@ -2,8 +2,9 @@
 
 Tokenizer A is a byte-level BPE, B a sentencepiece BPE with byte fallback; both read a space and
 the text. Byte offsets where tokens of both end cut a text into groups, and every A token of a
-group is linked with every B token of it. Words (with the space before them) never share a group,
-so each distinct word is encoded and aligned once in a worker.
+group is linked with every B token of it. Words (with the space before them) and runs of
+punctuation never share a token, so each distinct one is encoded and aligned once in a worker; they are told
+apart by 64-bit hashes. Alignment is a merge of the running byte offsets of all new words at once.
 
 Counting: the first pass gives the distinct pairs of every document. The distinct pairs of the corpus are dealt
 to buckets, and each bucket gets a minimal perfect hash. Partial counts then become dense vectors
@@ -15,10 +16,8 @@ pass over the texts, whose sums are added up.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -28,39 +27,86 @@ from pyspark.sql import functions as F
 
 from inkwell.llm.common import stash, text_slices
 from inkwell.llm.perfect_hash import PerfectHash, bucket_of
+from inkwell.llm.text_hash import raw_text, span_hashes
 
 #: Distinct pairs of a broadcast lookup table (at most 25 bytes each) and of a bucket, about.
 PAIRS, BUCKET = 4_000_000, 1 << 15
 #: Dense vectors that are summed by one task of the tree.
 FAN = 32
-#: Words that a Python worker remembers, longest remembered word, pairs gathered before they are handed on.
-REMEMBER, LONG, FLUSH = 200_000, 96, 1 << 20
+#: Words that a Python worker remembers, pairs gathered before they are handed on, words that are encoded as one text.
+REMEMBER, FLUSH, JOIN = 400_000, 1 << 20, 128
+#: Links of a group that are listed one by one; larger groups are counted by distinct ids.
+LISTED = 4096
 #: Bits of a token id in a pair, and of a pair.
 ID_BITS, PAIR_BITS = 24, 48
 #: Fixed value: the character that stands for a space in the pieces of B.
 SPACE = "▁"
-# a word starts at a space or line end that follows neither white space nor SPACE: there both tokenizers cut
-_START = re.compile(f"(?<![\\s{SPACE}])(?=[ \n])")
 
 
-class Word(NamedTuple):
-    """Alignment of a word: tokens of A and B, groups, links, the groups' text form, and the linked pairs with how often."""
+def _kinds() -> np.ndarray:
+    """Kind of a byte: 1 ASCII white space, 2 ASCII letter, 3 ASCII punctuation but the apostrophe, 4 lead of a Latin letter, 0 other."""
+    kind = np.zeros(256, dtype=np.uint8)
+    kind[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = 1
+    kind[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 2
+    kind[[*range(0x21, 0x27), *range(0x28, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = 3
+    kind[0xC3:0xC9] = 4
+    return kind
 
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    groups: str
-    pairs: np.ndarray
-    times: np.ndarray
+
+_KIND = _kinds()
+
+
+def word_starts(data: np.ndarray, letters: bool) -> np.ndarray:
+    """Mask of the bytes where a word starts, so that no token of A or B goes over the place.
+
+    A space or line end after a character that is neither white space nor SPACE starts one; with
+    ``letters`` so does a change between a Latin letter and ASCII punctuation (but the apostrophe).
+    """
+    n = len(data)
+    before = np.zeros(n + 3, dtype=np.uint8)
+    before[3:] = data
+    c, b1, b2, b3 = data, before[2:-1], before[1:-2], before[:-3]
+    lead3 = ((b3 == 0xE1) & (b2 == 0x9A)) | ((b3 == 0xE2) & ((b2 == 0x80) | (b2 == 0x81) | (b2 == 0x96))) | ((b3 == 0xE3) & (b2 == 0x80))
+    blank = (_KIND[b1] == 1) | ((b1 >= 0x80) & (lead3 | ((b2 == 0xC2) & ((b1 == 0x85) | (b1 == 0xA0)))))
+    start = ((c == 0x20) | (c == 0x0A)) & ~blank
+    if letters:
+        k, k1 = _KIND[c], _KIND[b1]
+        sign = (b2 == 0xC3) & ((b1 == 0x97) | (b1 == 0xB7))
+        after_letter = (k1 == 2) | ((_KIND[b2] == 4) & (b1 >= 0x80) & (b1 < 0xC0) & ~sign)
+        start |= (k == 3) & after_letter
+        following = np.zeros(n, dtype=np.uint8)
+        following[:-1] = data[1:]
+        letter = (k == 2) | ((k == 4) & ~((c == 0xC3) & ((following == 0x97) | (following == 0xB7))))
+        start |= letter & (k1 == 3)
+    return start
+
+
+def _csr(lists: list, kind) -> tuple[np.ndarray, np.ndarray]:
+    """(flat values, lengths) of a list of lists."""
+    sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+    return np.fromiter((i for x in lists for i in x), dtype=kind, count=int(sizes.sum())), sizes
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... for every range, one after the other."""
+    total = np.cumsum(size)
+    return np.arange(total[-1] if len(total) else 0) + np.repeat(start - (total - size), size)
 
 
 class Aligner:
-    """Aligns texts under one pair of tokenizers."""
+    """Aligns texts under one pair of tokenizers.
+
+    What is known of a word lies in arrays by its slot: ``numbers`` (tokens of A and B, groups,
+    links; -1 tokens where the tokens do not give back the word), its distinct pairs with how often they
+    are linked, and with ``texts`` the text form of its groups.
+    """
 
     made: dict[tuple[int, int], "Aligner"] = {}
 
-    def __init__(self, a: str, b: bytes) -> None:
+    def __init__(self, a: str, b: bytes, texts: bool = False) -> None:
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
         from tokenizers import Tokenizer
 
@@ -68,83 +114,173 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.a.no_truncation()
         self.a.no_padding()
-        level = _byte_level()
-        vocab = self.a.get_vocab(with_added_tokens=False)
-        self.a_bytes = [b""] * (max(vocab.values()) + 1)
+        level, vocab = _byte_level(), self.a.get_vocab(with_added_tokens=False)
+        a_bytes = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
-            self.a_bytes[i] = bytes(level[c] for c in token)
+            a_bytes[i] = bytes(level[c] for c in token)
         self.b = SentencePieceProcessor(model_proto=b)
         proto = sentencepiece_model_pb2.ModelProto()
         proto.ParseFromString(b)
-        self.b_bytes = [bytes([int(p.piece[3:5], 16)]) if p.type == proto.SentencePiece.BYTE
-                        else p.piece.replace(SPACE, " ").encode() for p in proto.pieces]
-        if max(len(self.a_bytes), len(self.b_bytes)) > 1 << ID_BITS:
+        b_bytes = [bytes([int(p.piece[3:5], 16)]) if p.type == proto.SentencePiece.BYTE
+                   else p.piece.replace(SPACE, " ").encode() for p in proto.pieces]
+        if max(len(a_bytes), len(b_bytes)) > 1 << ID_BITS:
             raise ValueError(f"token ids need more than {ID_BITS} bits")
         pieces = [p.piece for p in proto.pieces if p.type != proto.SentencePiece.BYTE]
         self.by_word = not any("\n" in p or SPACE in p.lstrip(SPACE) for p in pieces)
+        normal = [p.piece for p in proto.pieces if p.type in (proto.SentencePiece.NORMAL, proto.SentencePiece.USER_DEFINED)]
+        glued = (np.frombuffer(p.replace(SPACE, " ").encode(), dtype=np.uint8) for p in normal)
+        self.letters = not any(word_starts(x, True)[1:].any() for x in glued)
         self.line = len(self.b.encode("\n"))
-        self.words: dict[str, Word | None] = {}
+        self.sides = [self._side(x) for x in (a_bytes, b_bytes)]
+        self.texts, self.age = texts, 0
+        self.forget()
 
     @classmethod
-    def of(cls, a: str, b: bytes) -> "Aligner":
-        key = hash(a), hash(b)
+    def of(cls, a: str, b: bytes, texts: bool = False) -> "Aligner":
+        key = hash(a), hash(b), texts
         if key not in cls.made:
-            cls.made[key] = cls(a, b)
+            cls.made[key] = cls(a, b, texts)
         return cls.made[key]
 
-    def learn(self, words: list[str]) -> list[Word | None]:
-        """The words aligned; None where the bytes of the tokens are not those of the word."""
-        a = [x.ids for x in self.a.encode_batch(words, add_special_tokens=False)]
+    @staticmethod
+    def _side(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        size = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+        return np.frombuffer(b"".join(tokens), dtype=np.uint8), np.cumsum(size) - size, size
+
+    def forget(self) -> None:
+        self.age += 1
+        self.keys, self.slot = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        self.numbers = np.zeros((0, 4), dtype=np.int64)
+        self.first, self.pairs, self.times = np.zeros(1, dtype=np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.groups: list[str] = []
+
+    # --- words of a slice ----------------------------------------------------------------
+
+    def slots(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(slot of every word, first word of each row, len + 1); rows that cannot be aligned have no words."""
+        blob = pa.array([None if not t else " " + t for t in column.to_pylist()], pa.large_string())
+        data, offsets = raw_text(blob)
+        start = word_starts(data, self.letters) if self.by_word else np.zeros(len(data), dtype=bool)
+        full = offsets[:-1][np.diff(offsets) > 0]
+        start[full] = True
+        s = np.flatnonzero(start)
+        e = np.append(s[1:], len(data))[:len(s)]
+        first = np.searchsorted(s, offsets)
+        h = span_hashes(data, s, e)
+        keys, at, back = np.unique(h, return_index=True, return_inverse=True)
+        if len(self.keys) > REMEMBER:
+            self.forget()
+        place = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), dtype=bool)
+        inside = place < len(self.keys)
+        new[inside] = self.keys[place[inside]] != keys[inside]
+        if new.any():
+            raw = data.tobytes()
+            self._learn([raw[x:y] for x, y in zip(s[at[new]].tolist(), e[at[new]].tolist())])
+            fresh = np.arange(len(self.numbers) - int(new.sum()), len(self.numbers))
+            to = np.searchsorted(self.keys, keys[new])
+            self.keys, self.slot = np.insert(self.keys, to, keys[new]), np.insert(self.slot, to, fresh)
+        slot = self.slot[np.searchsorted(self.keys, keys)][back]
+        bad = self.numbers[slot, 0] < 0
+        if bad.any():
+            row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+            lost = np.zeros(len(offsets) - 1, dtype=bool)
+            lost[row[bad]] = True
+            slot = slot[~lost[row]]
+            first = np.concatenate([[0], np.cumsum(np.where(lost, 0, np.diff(first)))])
+        return slot, first
+
+    # --- new words -------------------------------------------------------------------------
+
+    def _encode(self, texts: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        a = [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         if self.by_word:  # nothing merges with a line end, so it keeps the space that B adds apart
-            b = [x[self.line:] for x in self.b.encode(["\n" + x for x in words], num_threads=1)]
+            b = [x[self.line:] for x in self.b.encode(["\n" + x for x in texts], num_threads=1)]
         else:
-            b = self.b.encode([x[1:] for x in words], num_threads=1)
-        return [self._align(x, i, j) for x, i, j in zip(words, a, b)]
-
-    def _align(self, word: str, a: list[int], b: list[int]) -> Word | None:
-        raw = word.encode()
-        x, y = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(x) != raw or b"".join(y) != raw:
-            return None
-        groups, times, links = [], Counter(), 0
-        i = j = i0 = j0 = at_a = at_b = 0
-        while i < len(a) or j < len(b):
-            if at_a <= at_b:
-                at_a += len(x[i])
-                i += 1
-            else:
-                at_b += len(y[j])
-                j += 1
-            if at_a == at_b:
-                ga, gb = a[i0:i], b[j0:j]
-                groups.append(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)))
-                links += len(ga) * len(gb)
-                if len(ga) == len(gb) == 1:
-                    times[ga[0] << ID_BITS | gb[0]] += 1
-                else:
-                    right = Counter(gb).items()
-                    for p, n in Counter(ga).items():
-                        for q, m in right:
-                            times[p << ID_BITS | q] += n * m
-                i0, j0 = i, j
-        return Word(len(a), len(b), len(groups), links, ";".join(groups),
-                    np.fromiter(times, dtype=np.int64, count=len(times)), np.fromiter(times.values(), dtype=np.int64, count=len(times)))
-
-    def split(self, text: str | None) -> list[str]:
-        if not text:
-            return []
-        return [w for w in _START.split(" " + text) if w] if self.by_word else [" " + text]
-
-    def rows(self, texts: list[str | None], made, known: dict) -> list[list]:
-        """What ``made`` gives for the words of every text; nothing for a text with a word that cannot be aligned."""
-        rows = [self.split(t) for t in texts]
-        if len(known) > REMEMBER:
-            known.clear()
-        own = {w: None for r in rows for w in r if w not in known}
-        own = dict(zip(own, made(list(own)))) if own else own
-        found = [[own[w] if w in own else known[w] for w in r] for r in rows]
-        known.update((w, x) for w, x in own.items() if len(w) <= LONG)
-        return [[] if None in r else r for r in found]
+            b = self.b.encode([x[1:] for x in texts], num_threads=1)
+        return _csr(a, np.int64), _csr(b, np.int64)
+
+    def _tokens(self, words: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids, tokens of each word) of A and of B. Words that start with a space or line end are encoded many
+        at a time where the place between two of them is one that no token goes over."""
+        n = len(words)
+        out = [[None] * n, [None] * n]
+        ready = [i for i, w in enumerate(words) if self.by_word and w[0] in b" \n" and (0x21 <= w[-1] <= 0x7E)]
+        alone = sorted(set(range(n)) - set(ready))
+        for lo in range(0, len(ready), JOIN):
+            mine = ready[lo:lo + JOIN]
+            sizes = np.array([len(words[i]) for i in mine])
+            for k, (ids, _) in enumerate(self._encode([b"".join(words[i] for i in mine).decode()])):
+                ends = np.cumsum(self.sides[k][2][ids])
+                if len(ends) and ends[-1] == sizes.sum():
+                    cut = np.searchsorted(ends, np.cumsum(sizes), side="right")
+                    for i, x, y in zip(mine, [0, *cut[:-1].tolist()], cut.tolist()):
+                        out[k][i] = ids[x:y]
+        alone += [i for i in ready if out[0][i] is None or out[1][i] is None]
+        if alone:
+            for k, (ids, size) in enumerate(self._encode([words[i].decode() for i in alone])):
+                ends = np.cumsum(size)
+                for i, x, y in zip(alone, (ends - size).tolist(), ends.tolist()):
+                    out[k][i] = ids[x:y]
+        return [(np.concatenate([np.zeros(0, np.int64), *x]), np.fromiter(map(len, x), dtype=np.int64, count=n)) for x in out]
+
+    def _learn(self, words: list[bytes]) -> None:
+        for lo in range(0, len(words), 1 << 14):  # a word's number and a pair share 63 bits
+            self._learn_some(words[lo:lo + (1 << 14)])
+
+    def _learn_some(self, words: list[bytes]) -> None:
+        n = len(words)
+        size = np.fromiter(map(len, words), dtype=np.int64, count=n)
+        tokens = self._tokens(words)
+        ok = np.ones(n, dtype=bool)
+        raw = np.frombuffer(b"".join(words), dtype=np.uint8)
+        start = np.cumsum(size) - size
+        for (ids, count), (data, at, length) in zip(tokens, self.sides):
+            word = np.repeat(np.arange(n), count)
+            ok &= np.bincount(word, weights=length[ids], minlength=n).astype(np.int64) == size
+            keep = ok[word]  # same length: the bytes can be held against each other
+            made = data[_ranges(at[ids[keep]], length[ids[keep]])]
+            differ = made != raw[_ranges(start[ok], size[ok])]
+            ok[np.repeat(np.flatnonzero(ok), size[ok])[differ]] = False
+        # all words that are left lie one after the other; groups end where tokens of both end
+        (a, word_a), (b, word_b) = ((ids[np.repeat(ok, count)], np.repeat(np.arange(n), count)[np.repeat(ok, count)]) for ids, count in tokens)
+        end_a, end_b = np.cumsum(self.sides[0][2][a]), np.cumsum(self.sides[1][2][b])
+        cuts = np.intersect1d(end_a, end_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
+        n_a, n_b = np.bincount(group_a, minlength=len(cuts)), np.bincount(group_b, minlength=len(cuts))
+        first_a, first_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+        word = word_a[first_a] if len(cuts) else word_a
+        links = n_a * n_b
+        listed = np.flatnonzero(links <= LISTED)
+        of = np.repeat(listed, links[listed])
+        k = _ranges(np.zeros(len(listed), dtype=np.int64), links[listed])
+        pair = a[first_a[of] + k // n_b[of]] << ID_BITS | b[first_b[of] + k % n_b[of]]
+        key, times = np.unique(word[of] << PAIR_BITS | pair, return_counts=True)
+        large = []
+        for g in np.flatnonzero(links > LISTED).tolist():
+            right = Counter(b[first_b[g]:first_b[g] + n_b[g]].tolist()).items()
+            for p, x in Counter(a[first_a[g]:first_a[g] + n_a[g]].tolist()).items():
+                large += [(int(word[g]) << PAIR_BITS | p << ID_BITS | q, x * y) for q, y in right]
+        if large:
+            more = np.array(large, dtype=np.int64)
+            key, back = np.unique(np.concatenate([key, more[:, 0]]), return_inverse=True)
+            times = np.bincount(back, weights=np.concatenate([times, more[:, 1]])).astype(np.int64)
+        total = lambda x: np.bincount(word, weights=x, minlength=n).astype(np.int64)
+        numbers = np.stack([np.where(ok, total(n_a), -1), total(n_b), total(np.ones(len(word))), total(links)], axis=1)
+        self.numbers = np.concatenate([self.numbers, numbers])
+        per_word = np.bincount(key >> PAIR_BITS, minlength=n)
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(per_word)])
+        self.pairs = np.concatenate([self.pairs, key & ((1 << PAIR_BITS) - 1)])
+        self.times = np.concatenate([self.times, times])
+        if self.texts:
+            self._write(n, word, a.tolist(), b.tolist(), first_a.tolist(), n_a.tolist(), first_b.tolist(), n_b.tolist())
+
+    def _write(self, n: int, word: np.ndarray, a: list, b: list, first_a: list, n_a: list, first_b: list, n_b: list) -> None:
+        a, b = list(map(str, a)), list(map(str, b))
+        made = [a[i] + "|" + b[j] if x == y == 1 else ",".join(a[i:i + x]) + "|" + ",".join(b[j:j + y])
+                for i, x, j, y in zip(first_a, n_a, first_b, n_b)]
+        ends = np.searchsorted(word, np.arange(n), side="right").tolist()
+        self.groups += [";".join(made[x:y]) for x, y in zip([0, *ends], ends)]
 
 
 def _byte_level() -> dict[str, int]:
@@ -202,10 +338,11 @@ def _first_pass(texts: DataFrame, shared) -> DataFrame:
             return k, np.bincount(back, weights=n, minlength=len(k)).astype(np.int64)
 
         for batch in text_slices(batches, "t"):
-            rows = aligner.rows(batch.column("t").to_pylist(), aligner.learn, aligner.words)
-            marked = [w.pairs | (i << PAIR_BITS) for i, r in enumerate(rows) for w in r]
-            if marked:
-                new.append(np.unique(np.concatenate(marked)) & ((1 << PAIR_BITS) - 1))
+            slot, first = aligner.slots(batch.column("t"))
+            sizes = np.diff(aligner.first)[slot]
+            row = np.repeat(np.repeat(np.arange(len(first) - 1), np.diff(first)), sizes)
+            pair = aligner.pairs[_ranges(aligner.first[slot], sizes)]
+            new.append(np.unique(row << PAIR_BITS | pair) & ((1 << PAIR_BITS) - 1))
             if sum(map(len, new)) > most:
                 keys, counts = merged()
                 new.clear()
@@ -340,31 +477,35 @@ def _second_pass(texts: DataFrame, counts: PairCounts, t: int) -> DataFrame:
     whole = t == 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, (pairs, most) = Aligner.of(*tokenizers.value), table.value
-        known: dict[str, tuple | None] = {}
-
-        def counted(words: list[str]) -> list[tuple | None]:
-            """The words with the best links and the count sum of each, which are the same in every text."""
-            made = aligner.learn(words)
-            full = [w for w in made if w is not None]
-            if not full:
-                return made
-            flat, times = np.concatenate([w.pairs for w in full]), np.concatenate([w.times for w in full])
-            keys, back = np.unique(flat, return_inverse=True)
-            slot = pairs.slots(keys)
+        aligner, (pairs, most) = Aligner.of(*tokenizers.value, whole), table.value
+        age, sums = -1, np.zeros((0, 2), dtype=np.int64)
+
+        def counted(first: int) -> np.ndarray:
+            """Best links and count sums of the words from slot ``first`` on: they are the same in every text."""
+            at = aligner.first[first:]
+            distinct, back = np.unique(aligner.pairs[at[0]:], return_inverse=True)
+            slot = pairs.slots(distinct)
             n = np.where(slot >= 0, pairs.counts[slot] if len(pairs.counts) else 0, 0)
-            top = (slot >= 0) & (n == most[np.minimum(keys >> ID_BITS, len(most) - 1)])
-            at = np.cumsum([0, *(len(w.pairs) for w in full)])[:-1]
-            sums, best = np.add.reduceat(times * n[back], at).tolist(), np.add.reduceat(times * top[back], at).tolist()
-            out = iter([(*w[:4], b, s, w.groups) for w, b, s in zip(full, best, sums)])
-            return [None if w is None else next(out) for w in made]
+            top = (slot >= 0) & (n == most[np.minimum(distinct >> ID_BITS, len(most) - 1)])
+            times = aligner.times[at[0]:]
+            run_ = [np.concatenate([[0], np.cumsum(times * x[back])]) for x in (top, n)]
+            return np.stack([np.diff(x[at - at[0]]) for x in run_], axis=1)
 
         for batch in text_slices(batches, "t"):
-            rows = aligner.rows(batch.column("t").to_pylist(), counted, known)
-            cells = [[*map(sum, list(zip(*r))[:6])] if r else [0] * 6 for r in rows]
+            slot, first = aligner.slots(batch.column("t"))
+            if age != aligner.age:
+                age, sums = aligner.age, sums[:0]
+            if len(sums) < len(aligner.numbers):
+                sums = np.concatenate([sums, counted(len(sums))])
+            of_word = np.concatenate([aligner.numbers[slot], sums[slot]], axis=1)
+            cells = np.diff(np.concatenate([np.zeros((1, 6), np.int64), np.cumsum(of_word, axis=0)])[first], axis=0)
+            groups = None
+            if whole:
+                parts = [aligner.groups[i] for i in slot.tolist()]
+                groups = [";".join(parts[x:y]) for x, y in zip(first[:-1].tolist(), first[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("i"), batch.column("d"), *(pa.array([c[k] for c in cells], pa.int64()) for k in range(6)),
-                 pa.array([";".join(w[6] for w in r) if whole else None for r in rows], pa.string())],
+                [batch.column("i"), batch.column("d"), *(pa.array(cells[:, k]) for k in range(6)),
+                 pa.array(groups, pa.string()) if whole else pa.nulls(len(cells), pa.string())],
                 ["i", "d", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
 
     kind = texts.schema["i"].dataType.simpleString()

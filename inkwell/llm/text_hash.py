@@ -123,6 +123,16 @@ def _blocks(s: np.ndarray, e: np.ndarray):
         a = b
 
 
+def span_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes of ascending spans, case and all."""
+    with np.errstate(over="ignore"):
+        out, exact = np.empty(len(s), dtype=U64), _Tables.get().exact
+        for a, b in _blocks(s, e):
+            lo, hi = int(s[a]), int(e[b - 1])
+            out[a:b] = _block_hashes(data[lo:hi], s[a:b] - lo, e[a:b] - lo, exact)
+        return out
+
+
 def words(column: pa.Array, punctuation: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, start, end of every word; first word of each row, len + 1; the bytes).
 

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from inkwell.llm import pair_counts
@@ -98,16 +99,25 @@ def test_small_flushes_and_fans_change_nothing(spark, rows, monkeypatch):
     assert sorted((tuple(r) for r in out.select(*COLUMNS).collect()), key=str) == brute(rows)[0]
 
 
-def test_small_caches_change_nothing(rows, monkeypatch):
+def test_small_caches_and_joins_change_nothing(rows, monkeypatch):
     with open(tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f, open(tokenizer_path("piece_bpe_32k.model"), "rb") as g:
-        aligner = pair_counts.Aligner(f.read(), g.read())
+        spec = f.read(), g.read()
+
+    def forms(some, aligner):
+        slot, first = aligner.slots(pa.array(some, pa.string()))
+        return [";".join(aligner.groups[i] for i in slot[x:y]) for x, y in zip(first[:-1], first[1:])]
+
     texts = [t for _, t in rows]
-    want = [[w.groups for w in r] for r in aligner.rows(texts, aligner.learn, aligner.words)]
-    monkeypatch.setattr(pair_counts, "REMEMBER", 3)
-    monkeypatch.setattr(pair_counts, "LONG", 2)
-    known = {}
-    got = [[w.groups for w in r] for t in texts for r in aligner.rows([t], aligner.learn, known)]
-    assert got == want and all(len(w) <= 2 for w in known)
+    want = {i: w[7] for i, w in enumerate(sorted(brute(list(enumerate(texts)))[0]))}
+    assert forms(texts, pair_counts.Aligner(*spec, texts=True)) == list(want.values())
+    for name, value in (("REMEMBER", 3), ("JOIN", 1), ("LISTED", 2)):
+        monkeypatch.setattr(pair_counts, name, value)
+    aligner = pair_counts.Aligner(*spec, texts=True)
+    assert [x for t in texts for x in forms([t], aligner)] == list(want.values())
+    monkeypatch.setattr(aligner, "by_word", False)
+    aligner.forget()
+    assert [x for t in texts for x in forms([t], aligner)] == list(want.values())
+    assert aligner.letters
 
 
 def test_tables_without_pairs(spark):
