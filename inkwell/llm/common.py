@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.session import scratch_path
 from inkwell.sources.tables import table
 
-__all__ = ["table", "stash", "text_slices", "keep_ids", "keep_rows", "row_key", "fresh"]
+__all__ = ["table", "stash", "text_slices", "keep_ids", "keep_rows", "row_key", "fresh", "release"]
 
 
 def stash(df: DataFrame, name: str) -> DataFrame:
@@ -26,6 +27,13 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what finished jobs left in the driver: Spark drops the shuffles, broadcasts and plans of
+    frames that nobody holds any more when the driver's JVM collects its garbage."""
+    gc.collect()
+    spark._jvm.java.lang.System.gc()
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches into runs of whole rows of about ``limit`` text bytes, one row at least.
 

@@ -24,6 +24,8 @@ from inkwell.llm.text_hash import U64, words
 
 #: Hash buckets of the classifier; words that a text's evidence counts as; parts of one that posteriors are kept in.
 BUCKETS, EVIDENCE, PARTS = 1 << 16, 24.0, 64
+#: Count vectors of a domain that are summed by one task.
+FAN = 32
 #: Steps at most, and the relative error of every domain's tokens at which they stop.
 STEPS, TOLERANCE = 80, 1e-4
 
@@ -91,21 +93,26 @@ def fit_domains(rows: DataFrame) -> DomainModel:
                 sums[name] = sums.get(name, 0) + np.bincount(bucket[mine], minlength=BUCKETS)
                 docs[name] = docs.get(name, 0) + names.count(name)
         for name, x in sums.items():
-            at = np.flatnonzero(x)
-            at, n = np.append(at, -1), np.append(x[at], docs[name])
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at, pa.int32()), pa.array(n, pa.int64())],
-                                             ["y", "bucket", "n"])
-
-    table = rows.mapInArrow(count, "y string, bucket int, n bigint").groupBy("y", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    domains = sorted(table["y"].unique())
+            dense = np.append(x, docs[name]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([dense.tobytes()], pa.binary())], ["y", "counts"])
+
+    def add(part: pa.Table) -> pa.Table:
+        total = np.zeros(BUCKETS + 1, dtype=np.int64)
+        for x in part.column("counts").to_pylist():
+            total += np.frombuffer(x, dtype=np.int64)
+        return pa.table({"y": part.column("y").slice(0, 1), "part": part.column("part").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    # one dense vector for each task and domain, summed in two steps: the driver gets one for each domain
+    vectors = rows.mapInArrow(count, "y string, counts binary").withColumn("part", (F.spark_partition_id() % FAN).cast("int"))
+    for part in (F.col("part"), F.lit(0)):
+        vectors = (vectors.select("y", part.alias("part"), "counts").groupBy("y", "part")
+                   .applyInArrow(add, "y string, part int, counts binary"))
+    found = {r["y"]: np.frombuffer(bytes(r["counts"]), dtype=np.int64) for r in vectors.select("y", "counts").toLocalIterator()}
+    domains = sorted(found)
     weights, prior = np.zeros((BUCKETS, len(domains)), dtype=np.float32), np.zeros(len(domains))
     if domains:
-        counts = np.zeros((BUCKETS, len(domains)))
-        for k, name in enumerate(domains):
-            mine = table[table["y"] == name]
-            words_, size = mine[mine["bucket"] >= 0], mine[mine["bucket"] < 0]["n"].sum()
-            counts[words_["bucket"].to_numpy(), k] = words_["n"].to_numpy()
-            prior[k] = size
+        counts = np.stack([found[name][:-1] for name in domains], axis=1).astype(np.float64)
+        prior = np.array([float(found[name][-1]) for name in domains])
         pooled = (counts.sum(axis=1, keepdims=True) + 1.0) / (counts.sum() + BUCKETS)
         smooth = counts + 0.05 * counts.sum(axis=0).mean() * pooled + 1e-9
         weights = np.log(smooth / smooth.sum(axis=0)).astype(np.float32)
