@@ -9,11 +9,13 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from inkwell.session import scratch_path
 from inkwell.sources.tables import table
 
-__all__ = ["table", "stash", "text_slices", "keep_ids", "keep_rows", "row_key", "fresh", "release"]
+__all__ = ["table", "stash", "text_slices", "keep_ids", "keep_keys", "keep_rows", "row_key", "fresh", "map_rows",
+           "release"]
 
 
 def stash(df: DataFrame, name: str) -> DataFrame:
@@ -60,6 +62,24 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def map_rows(df: DataFrame, run, added: StructType) -> DataFrame:
+    """``df.mapInArrow(run)`` for a ``run(batches, names)`` that appends the columns ``added`` to the batches of ``df``.
+
+    Inside, the columns of ``df`` are called c0, c1, ... (``names`` maps their real names to these), so names with
+    dots do no harm.
+    """
+    inner = [f"c{i}" for i in range(len(df.columns))]
+    names = dict(zip(df.columns, inner))
+    schema = StructType([StructField(c, f.dataType) for c, f in zip(inner, df.schema.fields)]
+                        + [StructField(f"x{i}", f.dataType) for i, f in enumerate(added.fields)])
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(batches, names):
+            yield pa.RecordBatch.from_arrays(batch.columns, schema.fieldNames())
+
+    return df.toDF(*inner).mapInArrow(renamed, schema).toDF(*df.columns, *added.fieldNames())
+
+
 #: Most ids that are broadcast (8 bytes each); longer lists are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -70,12 +90,19 @@ def keep_ids(df: DataFrame, key: str, ids: DataFrame, anti: bool = False) -> Dat
     The list is counted first: up to BROADCAST_IDS rows it is broadcast, so that the texts
     stay where they are; beyond that both sides are shuffled. The rows are the same.
     """
-    name = ids.columns[0]
-    side = fresh(df, "__id")
-    ids = ids.select(F.col(name).alias(side))
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return df.join(ids, df[key].eqNullSafe(ids[side]), "left_anti" if anti else "left_semi")
+    return keep_keys(df, [df[key]], ids, anti, BROADCAST_IDS)
+
+
+def keep_keys(df: DataFrame, own: list, keys: DataFrame, anti: bool = False, most: int = BROADCAST_IDS // 4) -> DataFrame:
+    """Like ``keep_ids`` with several columns ``own`` of ``df`` against those of ``keys`` in the same order; nulls are equal."""
+    sides = [fresh(df, f"__key{i}") for i in range(len(own))]
+    keys = keys.toDF(*sides)
+    if keys.count() <= most:
+        keys = F.broadcast(keys)
+    same = F.lit(True)
+    for column, side in zip(own, sides):
+        same = same & column.eqNullSafe(keys[side])
+    return df.join(keys, same, "left_anti" if anti else "left_semi")
 
 
 def row_key(id_col: str, text_col: str):
@@ -86,9 +113,5 @@ def row_key(id_col: str, text_col: str):
 def keep_rows(df: DataFrame, id_col: str, text_col: str, keys: DataFrame, anti: bool = False) -> DataFrame:
     """Like ``keep_ids`` with ``keys``, one stashed column of distinct ``row_key`` values: no other row of an id is touched."""
     name = keys.columns[0]
-    side, digest = fresh(df, "__id"), fresh(df, "__digest")
-    keys = keys.select(F.col(f"{name}.id").alias(side), F.col(f"{name}.digest").alias(digest))
-    if keys.count() <= BROADCAST_IDS // 4:
-        keys = F.broadcast(keys)
-    own = F.unhex(F.md5(df[text_col]))
-    return df.join(keys, df[id_col].eqNullSafe(keys[side]) & own.eqNullSafe(keys[digest]), "left_anti" if anti else "left_semi")
+    keys = keys.select(F.col(f"{name}.id"), F.col(f"{name}.digest"))
+    return keep_keys(df, [df[id_col], F.unhex(F.md5(df[text_col]))], keys, anti)

@@ -19,15 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from inkwell.llm.common import BROADCAST_IDS, fresh, stash, text_slices
+from inkwell.llm.common import BROADCAST_IDS, fresh, map_rows, stash, text_slices
 from inkwell.llm.text_hash import U64, words
 
-#: Hash buckets of the classifier; words that a text's evidence counts as; parts of one that posteriors are kept in.
-BUCKETS, EVIDENCE, PARTS = 1 << 16, 24.0, 64
+#: Hash buckets of the classifier; words that a text's evidence counts as.
+BUCKETS, EVIDENCE = 1 << 16, 24.0
 #: Count vectors of a domain that are summed by one task.
 FAN = 32
-#: Steps at most, and the relative error of every domain's tokens at which they stop.
-STEPS, TOLERANCE = 80, 1e-4
+#: Steps at most, and the relative error of every domain's tokens at which they stop. They also stop where
+#: three steps in a row lower the sum of squared errors by less than TOLERANCE squared: closer is not to be had, or hardly.
+STEPS, TOLERANCE = 200, 1e-4
 
 
 @dataclass(frozen=True)
@@ -48,6 +49,11 @@ class Mixture:
     totals: np.ndarray
     steps: list[np.ndarray]
 
+    @property
+    def residual(self) -> np.ndarray:
+        """How far each domain's expected tokens are from its target, relative to the target (or to one token)."""
+        return (self.totals - self.targets) / np.maximum(self.targets, 1.0)
+
     def rates(self, p: np.ndarray) -> np.ndarray:
         return replay(p, self.steps)
 
@@ -121,7 +127,7 @@ def fit_domains(rows: DataFrame) -> DomainModel:
 
 
 def _posteriors(model: DomainModel, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(posteriors in whole parts of 1 / PARTS, words) of every text; without words the prior."""
+    """(posteriors, words) of every text; without words the prior."""
     w, _, _, first, _ = words(column)
     n = np.diff(first)
     logit = np.tile(model.prior, (len(n), 1))
@@ -131,12 +137,7 @@ def _posteriors(model: DomainModel, column: pa.Array) -> tuple[np.ndarray, np.nd
         sums = np.add.reduceat(rows, first[:-1][full], axis=0, dtype=np.float64)
         logit[full] += sums * (np.minimum(n[full], EVIDENCE) / n[full])[:, None]
     p = np.exp(logit - logit.max(axis=1, keepdims=True))
-    p = p / p.sum(axis=1, keepdims=True) * PARTS
-    whole = np.floor(p).astype(np.int64)
-    order = np.argsort(whole - p, axis=1, kind="stable")  # the largest remainders get the parts that are left
-    rank = np.empty_like(order)
-    np.put_along_axis(rank, order, np.arange(p.shape[1])[None, :].repeat(len(p), 0), axis=1)
-    return whole + (rank < (PARTS - whole.sum(axis=1))[:, None]), n
+    return p / p.sum(axis=1, keepdims=True), n
 
 
 def fit_mixture(docs: DataFrame, model: DomainModel, text_col: str = "text", weights: dict[str, float] | None = None,
@@ -145,6 +146,9 @@ def fit_mixture(docs: DataFrame, model: DomainModel, text_col: str = "text", wei
 
     ``weights``: share of the tokens that each domain shall have, missing domains none; by
     default ``tempered``. ``total``: tokens in all, by default those of ``docs`` for given weights.
+    The steps end when every domain is within TOLERANCE of its target or, where targets cannot be met (a domain
+    without tokens, or two that no text tells apart), at the least squares; ``residual`` of the result tells
+    which. Neither within STEPS is a RuntimeError.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     k = len(model.domains)
@@ -152,22 +156,21 @@ def fit_mixture(docs: DataFrame, model: DomainModel, text_col: str = "text", wei
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "t"):
             p, n = _posteriors(shared.value, batch.column("t"))
-            kinds, back = np.unique(p, axis=0, return_inverse=True)
+            full = n > 0  # a text without words has no tokens to weigh
             yield pa.RecordBatch.from_arrays(
-                [pa.FixedSizeListArray.from_arrays(pa.array(kinds.reshape(-1).astype(np.int16)), k).cast(pa.list_(pa.int16())),
-                 pa.array(np.bincount(back.reshape(-1), weights=n, minlength=len(kinds)).astype(np.int64))], ["p", "n"])
+                [pa.FixedSizeListArray.from_arrays(pa.array(p[full].reshape(-1)), k).cast(pa.list_(pa.float64())),
+                 pa.array(n[full].astype(np.int64))], ["p", "n"])
 
     if not k:
         return Mixture([], np.zeros(0), np.zeros(0), [])
-    # documents of equal posteriors have equal rates, so the steps work on the distinct posteriors
-    table = stash(docs.select(F.col(text_col).alias("t")).mapInArrow(tally, "p array<smallint>, n bigint")
-                  .groupBy("p").agg(F.sum("n").alias("n")), "posteriors")
+    # the steps read this narrow table only, one row for each text, unrounded
+    table = stash(docs.select(F.col(text_col).alias("t")).mapInArrow(tally, "p array<double>, n bigint"), "posteriors")
 
     def totals(steps: list[np.ndarray], ahead: bool = True) -> np.ndarray:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = np.zeros(k)
             for batch in batches:
-                p = batch.column("p").flatten().to_numpy().reshape(-1, k) / PARTS
+                p = batch.column("p").flatten().to_numpy().reshape(-1, k)
                 out += (replay(p, steps, ahead) * batch.column("n").to_numpy()) @ p
             yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array(out)], ["k", "x"])
 
@@ -188,10 +191,17 @@ def fit_mixture(docs: DataFrame, model: DomainModel, text_col: str = "text", wei
     steps: list[np.ndarray] = []
     scale = np.maximum(have, 1.0)
     now = have
-    while len(steps) < STEPS:
+    best, idle = np.inf, 0
+    while True:
         error = (now - targets) / scale
-        if np.abs(error).max() <= TOLERANCE:
+        loss = float((error * error).sum())
+        idle = 0 if loss < best - TOLERANCE ** 2 else idle + 1
+        best = min(best, loss)
+        if np.abs(error).max() <= TOLERANCE or idle >= 3:
             break
+        if len(steps) == STEPS:
+            raise RuntimeError(f"the mixture has not settled after {STEPS} steps: relative errors "
+                               f"{dict(zip(model.domains, error.round(6).tolist()))}")
         steps.append(error)  # the largest curvature in this scale is 1, so is the step
         now = totals(steps)
     return Mixture(model.domains, targets, totals(steps, False), steps)
@@ -213,22 +223,21 @@ def with_rates(docs: DataFrame, model: DomainModel, mixture: Mixture, text_col:
     """
     shared = docs.sparkSession.sparkContext.broadcast((model, mixture))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], at: dict[str, str]) -> Iterator[pa.RecordBatch]:
         m, mixed = shared.value
-        for batch in text_slices(batches, text_col):
+        for batch in text_slices(batches, at[text_col]):
             if m.domains:
-                p, n = _posteriors(m, batch.column(text_col))
-                domain, rate = [m.domains[i] for i in p.argmax(axis=1)], mixed.rates(p / PARTS)
+                p, n = _posteriors(m, batch.column(at[text_col]))
+                domain, rate = [m.domains[i] for i in p.argmax(axis=1)], mixed.rates(p)
             else:
-                n = np.diff(words(batch.column(text_col))[3])
+                n = np.diff(words(batch.column(at[text_col]))[3])
                 domain, rate = [None] * len(n), np.ones(len(n))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(domain, pa.string()), pa.array(n, pa.int64()), pa.array(rate, pa.float64())],
                 [*batch.schema.names, *names])
 
     names = [fresh(docs, x) for x in ("domain", "n_words", "rate")]
-    schema = StructType(list(docs.schema.fields)).add(names[0], "string").add(names[1], "long").add(names[2], "double")
-    return docs.mapInArrow(run, schema)
+    return map_rows(docs, run, StructType().add(names[0], "string").add(names[1], "long").add(names[2], "double"))
 
 
 def copies_of(rate, key, seed: int = 17):

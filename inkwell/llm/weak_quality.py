@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from inkwell.llm.common import fresh, text_slices
+from inkwell.llm.common import fresh, map_rows, text_slices
 from inkwell.llm.text_hash import U64, words
 
 #: Hash buckets of the scorer; words that a text's evidence counts as.
@@ -200,10 +200,10 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataF
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [fresh(docs, x) for x in ("quality", "weak_label", "keep")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for batch in text_slices(batches, text_col):
-            x, (w, first) = features(batch.column(text_col))
+    def run(batches: Iterator[pa.RecordBatch], at: dict[str, str]) -> Iterator[pa.RecordBatch]:
+        m, text = shared.value, at[text_col]
+        for batch in text_slices(batches, text):
+            x, (w, first) = features(batch.column(text))
             weak = posterior(cast_votes(x), m.votes, m.good)
             q = 1 / (1 + np.exp(-np.clip(m.offset + m.slope * _linear(m.weights, w, first), -40, 40)))
             empty = np.diff(first) == 0
@@ -212,5 +212,4 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataF
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(q), pa.array(weak), pa.array(odds.sum(axis=0) >= 0)],
                                              [*batch.schema.names, *names])
 
-    schema = StructType(list(docs.schema.fields)).add(names[0], "double").add(names[1], "double").add(names[2], "boolean")
-    return docs.mapInArrow(run, schema)
+    return map_rows(docs, run, StructType().add(names[0], "double").add(names[1], "double").add(names[2], "boolean"))

@@ -209,6 +209,10 @@ def test_mixing_meets_targets(spark):
     assert np.abs(mixed.totals - mixed.targets).max() < 0.01 * mixed.totals.sum()
     rated = soft_mixing.with_rates(df, model, mixed).collect()
     assert len(rated) == 263 and all(r.rate >= 0 for r in rated)
+    assert np.abs(mixed.residual[[0, 2]]).max() < 1e-3 and len(mixed.steps) < soft_mixing.STEPS
+    # the totals are those of the whole texts' own posteriors, which no rounding stands between
+    total = {d: sum(r.rate * r.n_words * (r.domain == d) for r in rated) for d in model.domains}
+    assert total["en/1"] == pytest.approx(mixed.targets[0], rel=0.02) and total["fr/1"] == pytest.approx(mixed.targets[2], rel=0.02)
     out = soft_mixing.mix_sources(df, lab)
     assert out.columns == df.columns and out.where("lang = 'en'").count() >= 199
     assert soft_mixing.mix_sources(df.limit(0), lab).count() == 0
