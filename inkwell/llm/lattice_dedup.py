@@ -127,7 +127,8 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
     ``n_links`` counts the other vectors linked directly, copies included; ``component`` is the smallest id reachable.
     Null, empty or zero vectors, vectors with null or non-finite components, of different lengths
     or without an id link with nothing. Rows that repeat an id and vector are further copies; rows that repeat
-    an id with another vector share the links of that id. No rows give no rows.
+    an id with another vector or label keep links of their own, but all rows of an id are in one component. No rows
+    give no rows.
     """
     v, kind = F.col("e"), vectors.schema[vector_col].dataType.elementType.simpleString()
     rows = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).alias("e"))
@@ -135,19 +136,26 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
              & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")).cast(kind)))
              & F.exists(v, lambda x: x != 0))
     rows = rows.withColumn("ok", F.coalesce(sound, F.lit(False)))
-    classes = stash(rows.where("ok").groupBy("label", F.col("e").alias("embedding"))
-                    .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "classes")
-    links = stash(lattice_links(classes.select("id", "label", "embedding"), threshold, tables, probes), "links")
-    weight = classes.groupBy("id").agg(F.sum("copies").alias("copies"))
+    # equal vectors of a label are a class with a number of its own; the stored table fixes the numbers
+    classes = stash(rows.where("ok").groupBy("label", "e").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
+                    .withColumn("c", F.monotonically_increasing_id()), "classes")
+    links = stash(lattice_links(classes.select(F.col("c").alias("id"), "label", F.col("e").alias("embedding")),
+                                threshold, tables, probes), "links")
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = both.join(weight.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
-    roots = connected_components(links)
-    named = (weight.join(degree.withColumnRenamed("a", "id"), "id", "left").join(roots.withColumnRenamed("node", "id"), "id", "left")
-             .select("id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-                     F.coalesce("root", "id").alias("component")))
-    named = stash(classes.select("label", "embedding", "id").join(named, "id").select("label", F.col("embedding").alias("e"), "n_links", "component"),
-                  "named")
-    good = rows.where("ok").join(named, ["label", "e"]).select("id", "n_links", "component")
-    alone = rows.where("NOT ok").select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component"))
+    degree = (both.join(classes.select(F.col("c").alias("b"), "copies"), "b").groupBy(F.col("a").alias("c"))
+              .agg(F.sum("copies").alias("others")))
+    members = stash(rows.where("ok").join(classes.select("label", "e", "c"), ["label", "e"]).select("id", "c"), "members")
+    spread = members.groupBy("id").agg(F.min("c").alias("a"), F.max("c").alias("z")).where("a != z").select("id", "a")
+    same = members.join(spread, "id").where("c != a").select("a", F.col("c").alias("b")).distinct()
+    roots = connected_components(links.unionByName(same)).select(F.col("node").alias("c"), "root")
+    known = classes.select("c", "least", "copies").join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
+    smallest = known.groupBy("root").agg(F.min("least").alias("component"))
+    known = (known.join(smallest, "root").join(degree, "c", "left")
+             .select("c", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component"))
+    good = members.join(known, "c").select("id", "n_links", "component")
+    # rows that link with nothing still belong to the component of their id's other rows
+    other = good.groupBy("id").agg(F.min("component").alias("component"))
+    alone = (rows.where("NOT ok").select("id").join(other, "id", "left")
+             .select("id", F.lit(0).cast("bigint").alias("n_links"), F.coalesce("component", "id").alias("component")))
     out = good.unionByName(alone)
     return out.select("id", "n_links", "component", F.col("component").eqNullSafe(F.col("id")).alias("kept"))
