@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import keep_ids, stash
+from inkwell.llm.common import keep_keys, stash
 
 MAGIC = "WARC/1.0\r\n"
 END = "\r\n\r\n"
@@ -40,12 +40,12 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     page = pages.select(F.col(id_col).alias("i"), F.regexp_replace(F.col(url_col).cast("string"), "[\\r\\n]", " ").alias("u"),
                         F.coalesce(F.col(body_col).cast("string"), F.lit("")).alias("b"))
     page = page.withColumn("n", _bytes(F.col("b"))).withColumn("d", F.sha1(F.col("b").cast("binary")))
-    page = page.withColumn("k", F.xxhash64(F.coalesce(F.col("i").cast("string"), F.lit("-")), "d"))
-    narrow = stash(page.select("i", "u", "n", "d", "k"), "digests")
+    narrow = stash(page.select("i", "u", "n", "d"), "digests")
     keeper = (narrow.where(F.col("n") >= least_bytes).groupBy("d", "n").agg(F.max("i").alias("r"), F.count(F.lit(1)).alias("c"))
               .where("c > 1 AND r IS NOT NULL").select("d", "n", "r"))
     revisits = stash(narrow.join(keeper, ["d", "n"]).where(~F.col("i").eqNullSafe(F.col("r"))), "revisits")
-    first = keep_ids(page, "k", stash(revisits.select("k").distinct(), "revisit-keys"), anti=True)
+    again = stash(revisits.select("i", F.unhex("d").alias("d")).distinct(), "revisit-keys")
+    first = keep_keys(page, [page["i"], F.unhex(page["d"])], again, anti=True)
 
     def record(kind: str, body: Column, more: list[Column]) -> Column:
         http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
@@ -201,13 +201,25 @@ def read_warc(spark: SparkSession, path: str, payload: bool = False) -> DataFram
         columns.append(F.when(F.col("kind") != "revisit", F.col("payload")).alias("payload"))
     elif split.isEmpty():
         return out
-    # records whose payload holds the magic: put their segments together again
-    owner = Window.partitionBy("file").orderBy("at")
-    marked = seen.select("file", "at").join(chain.select("file", (F.col("start") + len(MAGIC)).alias("at"), F.col("start")), ["file", "at"], "left")
-    marked = marked.withColumn("start", F.last("start", ignorenulls=True).over(owner)).where("start IS NOT NULL")
-    wanted = marked.join(split.select("file", "start"), ["file", "start"])
-    texts = _places(_segments(spark, path).withColumn("size", _bytes(F.col("value")))).select("file", "at", "value")
-    whole = (texts.join(wanted, ["file", "at"]).groupBy("file", "start")
+    # records whose payload holds the magic: put their segments together again. Which segments belong to which
+    # record is found on narrow rows, block by block, so that only wanted segments leave their tasks.
+    marked = seen.select("file", "block", "order", "size", "at").join(
+        chain.select("file", (F.col("start") + len(MAGIC)).alias("at"), F.col("start")), ["file", "at"], "left")
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (marked.groupBy("file", "block").agg(F.max("start").alias("top"))
+               .select("file", "block", F.max("top").over(before).alias("top")))
+    inside = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = (marked.withColumn("start", F.max("start").over(inside)).join(carried, ["file", "block"])
+              .withColumn("start", F.coalesce("start", "top")).where("start IS NOT NULL").drop("top"))
+    wanted = stash(marked.join(split.select("file", "start"), ["file", "start"]).select("file", "block", "order", "at", "start", "size"),
+                   "wanted")
+    segments = _segments(spark, path).withColumn("bytes", _bytes(F.col("value")))
+    texts = keep_keys(segments, [segments["file"], segments["block"], segments["order"]], wanted.select("file", "block", "order"))
+    # both scans cut the files alike; if not, say so instead of mixing records up
+    texts = wanted.join(texts, ["file", "block", "order"], "left").withColumn(
+        "value", F.when(F.col("bytes") == F.col("size"), F.col("value"))
+        .otherwise(F.raise_error(F.lit("the archive's blocks changed between two scans; read it again"))))
+    whole = (texts.groupBy("file", "start")
              .agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("parts"))
              .select("file", "start", F.array_join(F.transform("parts", lambda x: x["value"]), MAGIC).alias("value")))
     return out.unionByName(_with(_with(whole, _parsed()), _payload()).select(*columns))
