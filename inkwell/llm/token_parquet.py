@@ -162,10 +162,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     """Write the token ids of ``docs`` to Parquet files in ascending id order (nulls first).
 
     One row for each row; rows that repeat an id stand one after the other, ordered by a hash of
-    their texts. No rows give an empty table. The name order of the files is the id order.
+    their texts, and may be dealt to several files. No rows give an empty table. The files' numbers
+    (``part-<number>``) are in id order.
     """
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-    rows = rows.repartitionByRange(F.col("i")).sortWithinPartitions("i", F.xxhash64("t"))
+    rows = rows.repartitionByRange(F.col("i"), F.xxhash64("t")).sortWithinPartitions("i", F.xxhash64("t"))
     (encode(rows, tokenizer, "i", "t", end_id).write.option("compression", "zstd")
      .option("parquet.block.size", row_group).option("parquet.page.size", page)
      .option("parquet.page.row.count.limit", page_rows).option("parquet.writer.version", "PARQUET_2_0")
@@ -187,8 +188,8 @@ def read_tokens(spark: SparkSession, path: str, ids: tuple[int, int] | None = No
 def token_starts(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every stored row, from the files.
 
-    ``start``: ids of all rows before it. Files come in id order, so it is the total of the files
-    before (one row for each file) and the running sum within the file.
+    ``start``: ids of all rows before it. Files come in id order by their numbers, so it is the total of the
+    files before (one row for each file) and the running sum within the file.
     """
 
     def crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +208,8 @@ def token_starts(spark: SparkSession, path: str) -> DataFrame:
                      "doc_id", "input_ids").mapInArrow(
         crc, f"file string, row bigint, doc_id {kind}, n_tokens bigint, ids_crc32 bigint")
     totals = df.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.sum("n_tokens").alias("all"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    number = F.regexp_extract("file", "^part-(\\d+)", 1).cast("bigint")  # not by name: part-100000 is after part-99999
+    before = Window.orderBy(number, "file").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("file", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("before"))
     inside = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     return (rows.withColumn("inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(totals, "file")

@@ -126,11 +126,16 @@ def hashes(key: Column) -> tuple[Column, Column]:
     return F.xxhash64(key).alias("h1"), F.xxhash64(key, F.lit(0x5EED)).alias("h2")
 
 
+def ascii_lower(c: Column) -> Column:
+    """``c`` with A-Z, and nothing else, lower-cased: hosts of urls and of rules alike."""
+    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path: then up to ``?``, ``#`` or
     the end. A null url or one without ``://`` has both empty."""
     rest = F.when(F.instr(url, "://") > 0, url.substr(F.instr(url, "://") + F.lit(3), F.length(url)))
-    host = F.translate(F.regexp_extract(rest, "^([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    host = ascii_lower(F.regexp_extract(rest, "^([^/?#]*)", 1))
     return F.coalesce(host, F.lit("")), F.coalesce(F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
@@ -154,7 +159,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     """
     spark = pages.sparkSession
     rules = rules.where("rule IS NOT NULL AND verdict IN ('allow', 'block')").select(
-        F.concat(F.lower(F.regexp_extract("rule", "^([^/]*)", 1)), F.regexp_extract("rule", "^[^/]*((?s:.*))", 1)).alias("rule"), "verdict")
+        F.concat(ascii_lower(F.regexp_extract("rule", "^([^/]*)", 1)), F.regexp_extract("rule", "^[^/]*((?s:.*))", 1)).alias("rule"), "verdict")
     lengths = sorted(r[0] for r in rules.select(F.length(F.regexp_extract("rule", "^[^/]*((?s:.*))", 1))).distinct().collect())
     host, path = host_and_path(F.col(url_col).cast("string"))
     out = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
