@@ -15,6 +15,8 @@ from inkwell.llm.common import stash
 
 #: Turns of one conversation that are ordered together; a hot conversation is cut into spans of them.
 SPAN = 1024
+#: Least words of a line or sentence that links a quotation whose paragraph is not found.
+LEAST_WORDS = 3
 MARKS = "^(?:[ \\t]*>)+"
 
 
@@ -33,9 +35,11 @@ def own_text(lines: Column) -> Column:
 
 
 def passages(messages: DataFrame) -> DataFrame:
-    """(conv, turn, level, hash) of every paragraph: lines of one level between blank lines or lines of other levels.
+    """(conv, turn, row, run, level, hash, parts) of every paragraph: lines of one level between blank lines or lines of
+    other levels; ``run`` numbers them in the row.
 
-    Normalised: white space runs are one blank, letters are lower-cased. The hash is 128 bits.
+    Normalised: white space runs are one blank, letters are lower-cased. The hash is 128 bits. ``parts`` are the hashes
+    of its single lines and sentences of LEAST_WORDS or more.
     """
     line = (messages.select("conv", "turn", "row", F.posexplode("lines").alias("at", "x"))
             .select("conv", "turn", "row", "at", F.col("x.level").alias("level"),
@@ -45,8 +49,17 @@ def passages(messages: DataFrame) -> DataFrame:
     starts = before.isNull() | (before["level"] != F.col("level")) | before["blank"]
     line = line.withColumn("starts", starts.cast("int")).withColumn("run", F.sum("starts").over(order)).where("line != ''")
     return (line.groupBy("conv", "turn", "row", "run", "level").agg(F.sort_array(F.collect_list(F.struct("at", "line"))).alias("x"))
-            .select("conv", "turn", "row", "level",
-                    F.md5(F.array_join(F.transform("x", lambda p: p["line"]), " ").cast("binary")).alias("hash")))
+            .withColumn("lines", F.transform("x", lambda p: p["line"]))
+            .select("conv", "turn", "row", "run", "level", F.md5(F.array_join("lines", " ").cast("binary")).alias("hash"),
+                    fragments(F.col("lines")).alias("parts")))
+
+
+def fragments(lines: Column) -> Column:
+    """Distinct hashes of a paragraph's lines and sentences (these may cross lines); shorter ones than LEAST_WORDS are left
+    out, as they stand in many messages by chance."""
+    sentences = F.split(F.array_join(lines, " "), "(?<=[.!?]) ")
+    long = F.filter(F.concat(lines, sentences), lambda x: F.size(F.split(x, " ")) >= LEAST_WORDS)
+    return F.array_distinct(F.transform(long, lambda x: F.md5(x.cast("binary"))))
 
 
 def link_passages(parts: DataFrame) -> DataFrame:
@@ -56,7 +69,7 @@ def link_passages(parts: DataFrame) -> DataFrame:
     ordered in one task.
     """
     span = F.floor(F.col("turn") / SPAN)
-    events = parts.select("conv", "hash", "turn", "row", "level", span.alias("span"), F.when(F.col("level") == 0, F.col("turn")).alias("own"))
+    events = parts.select("conv", "hash", "turn", "row", "run", "level", span.alias("span"), F.when(F.col("level") == 0, F.col("turn")).alias("own"))
     spans = events.where("own IS NOT NULL").groupBy("conv", "hash", "span").agg(F.max("own").alias("last"))
     carry = Window.partitionBy("conv", "hash").orderBy("span")
     # what a span inherits: the last own turn of the latest span before it
@@ -68,7 +81,21 @@ def link_passages(parts: DataFrame) -> DataFrame:
     inside = Window.partitionBy("conv", "hash", "span").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
     here = events.withColumn("here", F.max("own").over(inside)).where("level > 0")
     return here.join(carried, ["conv", "hash", "span"], "left").select(
-        "conv", "turn", "row", "level", "hash", F.coalesce("here", "before").alias("source"))
+        "conv", "turn", "row", "run", "level", "hash", F.coalesce("here", "before").alias("source"))
+
+
+def link_parts(paragraphs: DataFrame, linked: DataFrame) -> DataFrame:
+    """``linked``, its passages without a source linked through their lines and sentences: the source is the latest
+    earlier turn that has one of these in its own text, or null."""
+    lost = stash(linked.where("source IS NULL").select("row", "run"), "unlinked")
+    if lost.isEmpty():
+        return linked
+    each = ["conv", "turn", "row", "run", "level", F.explode("parts").alias("hash")]
+    quoted = stash(paragraphs.join(lost, ["row", "run"]).select(*each), "quoted-parts")
+    own = paragraphs.where("level = 0").select(*each).join(quoted.select("conv", "hash").distinct(), ["conv", "hash"], "left_semi")
+    found = (link_passages(stash(quoted.unionByName(own), "parts")).groupBy("row", "run")
+             .agg(F.max("source").alias("found")))
+    return linked.join(found, ["row", "run"], "left").withColumn("source", F.coalesce("source", "found")).drop("found")
 
 
 def threads(replies: DataFrame) -> DataFrame:
@@ -92,6 +119,8 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     """(conv, turn, text, reply_to, n_quotes, n_linked, thread, depth) of every message; sorted by (conv, thread, turn) the
     rows are the reply-ordered conversations.
 
+    A quoted passage is linked to the latest earlier turn with the same paragraph; where there is none, to the latest
+    with one of its lines or sentences (of LEAST_WORDS words or more).
     ``text`` is the message without quotes; ``reply_to`` the latest turn that a level-1 passage is linked to; ``n_quotes`` and
     ``n_linked`` count passages of all levels. Null texts are empty and quote nothing. Rows with a null conversation
     or turn are kept, unlinked, their thread null. Rows that repeat a turn are messages of their own; a reply to
@@ -102,7 +131,8 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     rows = rows.withColumn("lines", parse_lines(F.col("t"))).withColumn("row", F.md5(F.concat_ws(
         "\n", F.coalesce(F.col("conv").cast("string"), F.lit("-")), F.coalesce(F.col("turn").cast("string"), F.lit("-")), "t").cast("binary")))
     known = rows.where("conv IS NOT NULL AND turn IS NOT NULL")
-    linked = link_passages(passages(known.dropDuplicates(["row"])))
+    paragraphs = stash(passages(known.dropDuplicates(["row"])), "passages")
+    linked = link_parts(paragraphs, stash(link_passages(paragraphs), "linked"))
     replies = stash(linked.groupBy("row").agg(
         F.max(F.when(F.col("level") == 1, F.col("source"))).alias("reply_to"), F.count(F.lit(1)).alias("n_quotes"),
         F.count("source").alias("n_linked")), "replies")
