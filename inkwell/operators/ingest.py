@@ -36,19 +36,19 @@ def lookup_pages(rows: DataFrame, pages: DataFrame, url_col: str = "source_url",
                  rows_bounded: bool = False) -> DataFrame:
     """rows + ``html`` of the page with the same url (null when no page: a failed fetch).
 
-    The page table is large and the selected rows are few, so the page table is
-    first semi-joined against the urls in the rows, then deduplicated per url
-    (lowest page_id) and joined back. The rows side of the semi-join is bounded by
-    ``quota * len(languages)`` when called after ``select_rows``: pass ``rows_bounded``
-    there and both small sides are broadcast on that bound; otherwise they are shuffle
-    joins (AQE may still pick a broadcast from runtime sizes).
+    The page of each url (the lowest ``page_id`` that was fetched; ids are the key of the page table) is
+    chosen on the narrow columns among the urls in the rows; the html is then read by page id, so it
+    passes no aggregate. The rows are bounded by ``quota * len(languages)`` when called after
+    ``select_rows``: pass ``rows_bounded`` there and the small sides are broadcast on that bound;
+    otherwise these are shuffle joins (AQE may still pick a broadcast from runtime sizes).
     """
     urls = rows.select(F.col(url_col).alias("url")).where(F.col("url").isNotNull()).distinct()
     # the url side is bounded by the quota, so the page table streams past it without a shuffle
     small = F.broadcast if rows_bounded else (lambda d: d)
-    hits = pages.select("page_id", "url", "html").join(small(urls), "url", "left_semi")
-    one = hits.groupBy("url").agg(F.min_by("html", "page_id").alias("html"))
-    return rows.join(small(one.withColumnRenamed("url", url_col)), url_col, "left")
+    hits = pages.where(F.col("html").isNotNull()).select("page_id", "url").join(small(urls), "url", "left_semi")
+    one = hits.groupBy("url").agg(F.min("page_id").alias("page_id"))
+    found = pages.select("page_id", "html").join(small(one), "page_id").select(F.col("url").alias(url_col), "html")
+    return rows.join(small(found), url_col, "left")
 
 
 def to_article(rows: DataFrame, url_col: str = "source_url") -> DataFrame:

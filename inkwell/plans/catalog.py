@@ -41,7 +41,7 @@ def joined(c) -> Column:
 def load_all() -> None:
     """Import every module that registers queries."""
     from inkwell.plans import (q_text, q_ingest, q_tfidf, q_langid, q_models,  # noqa: F401
-                               q_scoring, q_run)
+                               q_scoring, q_run, q_marked)
 
 
 FLAGSHIP = "corpus_summary"

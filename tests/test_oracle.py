@@ -13,7 +13,8 @@ from inkwell.sources.tables import TABLES
 SF = "/root/testdata/sf0.001"
 KEYS = ["clean_articles", "remove_stopwords", "ngrams", "source_host", "html_article_text",
         "html_paragraph_text", "tfidf_long", "split_data", "classification_report", "topic_scores",
-        "centroid_scores", "scan_feed_csv", "union_languages"]
+        "centroid_scores", "scan_feed_csv", "union_languages", "marked_tags", "marked_urls", "marked_dediac",
+        "marked_tokens_ar", "marked_cleaned", "marked_image", "scan_articles_array"]
 
 
 def _norm(v):
