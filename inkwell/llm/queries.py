@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from inkwell.llm import (decontaminate, fill_middle, lattice_dedup, minmax_dedup, pair_counts, prefix_counts, quote_link,
                          soft_mixing, token_parquet, toxic_segments, url_cascade, warc_chain, weak_quality)
-from inkwell.llm.common import table
+from inkwell.llm.common import stash, table
 from inkwell.session import scratch_path
 
 
@@ -64,7 +64,8 @@ def quoted_messages(conversations: DataFrame) -> DataFrame:
 
 def op4_quote_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replies found from quotations in all conversations, with texts free of quotes, in reply order columns."""
-    out = quote_link.link_quotes(quoted_messages(table(spark, sf_dir, "conversations")))
+    mail = stash(quoted_messages(table(spark, sf_dir, "conversations")), "mail")
+    out = quote_link.link_quotes(mail)
     return out.withColumnRenamed("conv", "conv_id")
 
 

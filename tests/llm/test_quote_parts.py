@@ -27,3 +27,21 @@ def test_a_very_long_message_and_its_parts(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, text string")
     got = {r.turn: r.reply_to for r in quote_link.link_quotes(df).collect()}
     assert got == {0: None, 1: 0, 2: None, 3: None}
+
+
+def test_chains_and_passages_across_spans(spark, monkeypatch):
+    monkeypatch.setattr(quote_link, "SPAN", 4)
+    rows = [(c, t, (f"> message {t - 1} of {c} here\n\n" if t else "") + f"message {t} of {c} here") for c in (1, 2) for t in range(30)]
+    rows += [(3, 0, "said once at the start"), (3, 21, "> said once at the start\n\nlate"), (3, 22, "> late\n\nlater still")]
+    rows += [(4, 1, "twice the same"), (4, 1, "another of this turn"), (4, 9, "> another of this turn\n\nyes"), (4, 9, "> another of this turn\n\nyes")]
+    got = {(r.conv, r.turn): r for r in quote_link.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()}
+    assert all((got[c, t].thread, got[c, t].depth, got[c, t].reply_to) == (0, t, t - 1 if t else None) for c in (1, 2) for t in range(30))
+    assert (got[3, 21].thread, got[3, 21].depth, got[3, 22].thread, got[3, 22].depth) == (0, 1, 0, 2)
+    assert (got[4, 9].reply_to, got[4, 9].thread, got[4, 9].n_quotes, got[4, 9].n_linked) == (1, 1, 1, 1)
+
+
+def test_a_conversation_named_like_null_keeps_its_rows_apart(spark):
+    rows = [("-", 0, "first thing said"), ("-", 1, "> first thing said\n\nyes"), (None, 1, "> first thing said\n\nyes"), ("1:-", 1, "x")]
+    got = {(r.conv, r.turn): (r.reply_to, r.n_quotes) for r in
+           quote_link.link_quotes(spark.createDataFrame(rows, "conv_id string, turn long, text string")).collect()}
+    assert got == {("-", 0): (None, 0), ("-", 1): (0, 1), (None, 1): (None, 0), ("1:-", 1): (None, 0)}
