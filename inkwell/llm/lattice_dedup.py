@@ -3,7 +3,8 @@
 Unit vectors are projected to eight dimensions by several random matrices and decoded to
 the nearest point of the E8 lattice. A vector is stored in the cell of its point and looks up that cell
 and the neighbouring cells that its residual leans to most; what it meets is verified by the cosine
-in double precision. Equal vectors of a label are one class and searched once.
+in double precision. Equal vectors of a label are one class and searched once. Pairs that meet in a cell of many vectors
+never become rows: blocks of the cell are compared inside tasks, which emit sums of links and a spanning forest.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.llm.common import stash
@@ -25,6 +27,10 @@ from inkwell.llm.text_hash import U64, mix
 TABLES, PROBES = 5, 8
 #: Distance, in units of the lattice, of the projections of a pair at the threshold (per coordinate).
 SPREAD = 0.2
+#: Cells with more vectors than HEAVY are compared in blocks of about BLOCK vectors; the result is the same for any values.
+HEAVY, BLOCK = 64, 512
+#: Pairs whose meeting cells are looked up together.
+CHUNK = 4096
 
 
 @lru_cache(maxsize=1)
@@ -85,8 +91,8 @@ def cells(unit: np.ndarray, threshold: float, tables: int = TABLES, probes: int
     return np.stack(own, axis=1), np.concatenate(look, axis=1)
 
 
-def lattice_links(vectors: DataFrame, threshold: float = 0.98, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
-    """(a, b), a < b: classes (id, label, embedding) of one label with cosine >= threshold that share a cell."""
+def place(vectors: DataFrame, threshold: float, tables: int, probes: int) -> DataFrame:
+    """(id, label, copies, own, look, unit): unit vectors of the classes (id, label, copies, embedding) and their cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -101,22 +107,110 @@ def lattice_links(vectors: DataFrame, threshold: float = 0.98, tables: int = TAB
                 own, look = cells(v, threshold, tables, probes)
                 pick = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pick), batch.column("label").take(pick),
+                    [*[batch.column(c).take(pick) for c in ("id", "label", "copies")],
                      *[pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * x.shape[1]),
                                                 pa.array(x.reshape(-1).view(np.int64) if x.dtype == U64 else x.reshape(-1)))
-                       for x in (own, look, v)]], ["id", "label", "own", "look", "unit"])
+                       for x in (own, look, v)]], ["id", "label", "copies", "own", "look", "unit"])
 
-    id_type, label_type = (vectors.schema[c].dataType.simpleString() for c in ("id", "label"))
-    placed = stash(vectors.mapInArrow(run, f"id {id_type}, label {label_type}, own array<bigint>, look array<bigint>, "
-                                           "unit array<double>"), "cells")
+    label_type = vectors.schema["label"].dataType.simpleString()
+    return stash(vectors.mapInArrow(run, f"id bigint, label {label_type}, copies bigint, own array<bigint>, look array<bigint>, "
+                                         "unit array<double>"), "cells")
+
+
+def _padded(lists: pd.Series, fill: int) -> np.ndarray:
+    """Lists of numbers as rows of one array, short ones filled up."""
+    out = np.full((len(lists), max(1, max(map(len, lists)))), fill, dtype=np.int64)
+    for row, x in zip(out, lists):
+        row[:len(x)] = x
+    return out
+
+
+def _first_meeting(own: np.ndarray, look: np.ndarray) -> np.ndarray:
+    """The smallest of a row's ``own`` cells that is among the row's ``look`` cells."""
+    met = (own[:, :, None] == look[:, None, :]).any(axis=2)
+    return np.where(met, own, np.iinfo(np.int64).max).min(axis=1)
+
+
+def compare_blocks(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """(id, others, root) from one block of stored and one of asking vectors of a heavy cell: copies of the vectors
+    linked with ``id`` here, and the root of a forest that spans these links.
+
+    A pair is counted in the smallest heavy cell where it meets, there only with the smaller id as the stored one if both are.
+    """
+    s, a = rows[rows["stored"]], rows[~rows["stored"]]
+    empty = pd.DataFrame({c: np.empty(0, dtype=np.int64) for c in ("id", "others", "root")})
+    if s.empty or a.empty:
+        return empty
+    cell = rows["h"].iloc[0]
+    p, q = np.nonzero(np.stack(s["unit"].to_list()) @ np.stack(a["unit"].to_list()).T >= threshold)
+    sid, aid = s["id"].to_numpy(), a["id"].to_numpy()
+    p, q = p[sid[p] != aid[q]], q[sid[p] != aid[q]]
+    so, sl, ao, al = _padded(s["own"], -1), _padded(s["look"], -2), _padded(a["own"], -1), _padded(a["look"], -2)
+    good = np.zeros(len(p), dtype=bool)
+    for at in range(0, len(p), CHUNK):
+        i, j = p[at:at + CHUNK], q[at:at + CHUNK]
+        first = np.minimum(_first_meeting(so[i], al[j]), _first_meeting(ao[j], sl[i]))
+        good[at:at + CHUNK] = (first == cell) & ((sid[i] < aid[j]) | ~(ao[j] == cell).any(axis=1))
+    p, q = p[good], q[good]
+    if not len(p):
+        return empty
+    ids, at = np.unique(np.concatenate([sid[p], aid[q]]), return_inverse=True)
+    x, y = at[:len(p)], at[len(p):]
+    others = np.zeros(len(ids), dtype=np.int64)
+    np.add.at(others, x, a["copies"].to_numpy()[q])
+    np.add.at(others, y, s["copies"].to_numpy()[p])
+    root, last = np.arange(len(ids)), None
+    while last is None or (root != last).any():
+        last, low = root, np.minimum(root[x], root[y])
+        root = root.copy()
+        np.minimum.at(root, x, low)
+        np.minimum.at(root, y, low)
+        root = root[root]
+    return pd.DataFrame({"id": ids, "others": others, "root": ids[root]})
+
+
+def lattice_links(vectors: DataFrame, threshold: float = 0.98, tables: int = TABLES,
+                  probes: int = PROBES) -> tuple[DataFrame, DataFrame]:
+    """Links of the classes (id, label, copies, embedding; id is a bigint) of one label with cosine >= threshold that share a cell.
+
+    Two tables: (a, b), a < b, the links of pairs that meet in no heavy cell, and (id, others, root) of ``compare_blocks`` for
+    all others. Every link is in one of them, once.
+    """
+    placed = place(vectors, threshold, tables, probes)
+    key = ["label", "d", "cell"]
     stored = placed.select("label", F.size("unit").alias("d"), F.explode("own").alias("cell"), F.col("id").alias("x"))
     asked = placed.select("label", F.size("unit").alias("d"), F.explode("look").alias("cell"), F.col("id").alias("y"))
-    pairs = (asked.join(stored, ["label", "d", "cell"]).where("x != y")
+    many = stash(stored.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HEAVY), "heavy-sizes")
+    asking = asked.join(many, key).groupBy(*key, "n").agg(F.count(F.lit(1)).alias("m"))
+    heavy = stash(asking.select(*key, F.struct(F.monotonically_increasing_id().alias("h"), F.ceil(F.col("n") / BLOCK).alias("bs"),
+                                               F.ceil(F.col("m") / BLOCK).alias("ba")).alias("cut")), "heavy")
+    own = stored.join(heavy, key).groupBy("x").agg(F.collect_list("cut").alias("own")).withColumnRenamed("x", "id")
+    look = asked.join(heavy, key).groupBy("y").agg(F.collect_list("cut").alias("look")).withColumnRenamed("y", "id")
+    marked = stash(placed.select("id", "copies", "unit").join(own, "id", "left").join(look, "id", "left"), "marked")
+
+    def numbers(c: str) -> Column:
+        return F.coalesce(F.transform(c, lambda x: x["h"]), F.array().cast("array<bigint>"))
+
+    # light cells: at most HEAVY pairs for each lookup
+    light = stored.join(heavy, key, "left_anti")
+    pairs = (asked.join(light, key).where("x != y")
              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    left = placed.select(F.col("id").alias("a"), F.col("unit").alias("u"))
-    right = placed.select(F.col("id").alias("b"), F.col("unit").alias("v"))
+    left = marked.select(F.col("id").alias("a"), F.col("unit").alias("u"), numbers("own").alias("ao"), numbers("look").alias("al"))
+    right = marked.select(F.col("id").alias("b"), F.col("unit").alias("v"), numbers("own").alias("bo"), numbers("look").alias("bl"))
     dot = F.aggregate(F.zip_with("u", "v", lambda p, q: p * q), F.lit(0.0), lambda s, x: s + x)
-    return pairs.join(left, "a").join(right, "b").where(dot >= threshold).select("a", "b").distinct()
+    apart = ~F.arrays_overlap("ao", "bl") & ~F.arrays_overlap("bo", "al")
+    links = pairs.join(left, "a").join(right, "b").where(apart & (dot >= threshold)).select("a", "b")
+
+    # heavy cells: every block of stored vectors meets every block of asking ones in a task of its own
+    payload = ["id", "copies", "unit", numbers("own").alias("own"), numbers("look").alias("look")]
+    cut = lambda c: marked.select(*payload, F.explode(c).alias("cut"))
+    place_of = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    s = cut("own").select("*", "cut.*").withColumn("i", place_of("bs")).withColumn("j", every("ba")).withColumn("stored", F.lit(True))
+    a = cut("look").select("*", "cut.*").withColumn("j", place_of("ba")).withColumn("i", every("bs")).withColumn("stored", F.lit(False))
+    blocks = (s.unionByName(a).select("h", "i", "j", "stored", "id", "copies", "unit", "own", "look").groupBy("h", "i", "j")
+              .applyInPandas(lambda rows: compare_blocks(rows, threshold), "id bigint, others bigint, root bigint"))
+    return links, blocks
 
 
 def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
@@ -139,15 +233,17 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
     # equal vectors of a label are a class with a number of its own; the stored table fixes the numbers
     classes = stash(rows.where("ok").groupBy("label", "e").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
                     .withColumn("c", F.monotonically_increasing_id()), "classes")
-    links = stash(lattice_links(classes.select(F.col("c").alias("id"), "label", F.col("e").alias("embedding")),
-                                threshold, tables, probes), "links")
+    links, blocks = lattice_links(classes.select(F.col("c").alias("id"), "label", "copies", F.col("e").alias("embedding")),
+                                  threshold, tables, probes)
+    links, blocks = stash(links, "links"), stash(blocks, "blocks")
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = (both.join(classes.select(F.col("c").alias("b"), "copies"), "b").groupBy(F.col("a").alias("c"))
-              .agg(F.sum("copies").alias("others")))
+    degree = (both.join(classes.select(F.col("c").alias("b"), "copies"), "b").select(F.col("a").alias("c"), F.col("copies").alias("others"))
+              .unionByName(blocks.select(F.col("id").alias("c"), "others")).groupBy("c").agg(F.sum("others").alias("others")))
+    forest = blocks.where("id != root").select(F.col("root").alias("a"), F.col("id").alias("b"))
     members = stash(rows.where("ok").join(classes.select("label", "e", "c"), ["label", "e"]).select("id", "c"), "members")
     spread = members.groupBy("id").agg(F.min("c").alias("a"), F.max("c").alias("z")).where("a != z").select("id", "a")
     same = members.join(spread, "id").where("c != a").select("a", F.col("c").alias("b")).distinct()
-    roots = connected_components(links.unionByName(same)).select(F.col("node").alias("c"), "root")
+    roots = connected_components(links.unionByName(forest).unionByName(same)).select(F.col("node").alias("c"), "root")
     known = classes.select("c", "least", "copies").join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
     smallest = known.groupBy("root").agg(F.min("least").alias("component"))
     known = (known.join(smallest, "root").join(degree, "c", "left")
