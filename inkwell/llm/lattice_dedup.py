@@ -181,12 +181,14 @@ def lattice_links(vectors: DataFrame, threshold: float = 0.98, tables: int = TAB
     stored = placed.select("label", F.size("unit").alias("d"), F.explode("own").alias("cell"), F.col("id").alias("x"))
     asked = placed.select("label", F.size("unit").alias("d"), F.explode("look").alias("cell"), F.col("id").alias("y"))
     many = stash(stored.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HEAVY), "heavy-sizes")
-    asking = asked.join(many, key).groupBy(*key, "n").agg(F.count(F.lit(1)).alias("m"))
-    heavy = stash(asking.select(*key, F.struct(F.monotonically_increasing_id().alias("h"), F.ceil(F.col("n") / BLOCK).alias("bs"),
-                                               F.ceil(F.col("m") / BLOCK).alias("ba")).alias("cut")), "heavy")
-    own = stored.join(heavy, key).groupBy("x").agg(F.collect_list("cut").alias("own")).withColumnRenamed("x", "id")
-    look = asked.join(heavy, key).groupBy("y").agg(F.collect_list("cut").alias("look")).withColumnRenamed("y", "id")
-    marked = stash(placed.select("id", "copies", "unit").join(own, "id", "left").join(look, "id", "left"), "marked")
+    hits = stash(asked.join(many, key), "heavy-asked")
+    heavy = stash(hits.groupBy(*key, "n").agg(F.count(F.lit(1)).alias("m")).select(*key, F.struct(
+        F.monotonically_increasing_id().alias("h"), F.ceil(F.col("n") / BLOCK).alias("bs"), F.ceil(F.col("m") / BLOCK).alias("ba")).alias("cut")), "heavy")
+    sides = (stored.join(heavy, key).select(F.col("x").alias("id"), "cut", F.lit(True).alias("stored"))
+             .unionByName(hits.join(heavy, key).select(F.col("y").alias("id"), "cut", F.lit(False).alias("stored"))))
+    cuts = sides.groupBy("id").agg(F.collect_list(F.when(F.col("stored"), F.col("cut"))).alias("own"),
+                                   F.collect_list(F.when(~F.col("stored"), F.col("cut"))).alias("look"))
+    marked = stash(placed.select("id", "copies", "unit").join(cuts, "id", "left"), "marked")
 
     def numbers(c: str) -> Column:
         return F.coalesce(F.transform(c, lambda x: x["h"]), F.array().cast("array<bigint>"))
