@@ -31,7 +31,8 @@ def q_term_frequency(spark, sf_dir):
 
 @register("document_frequency", sql=_TFIDF_SQL + "SELECT term, df, cf FROM stats")
 def q_document_frequency(spark, sf_dir):
-    return tfidf.document_frequency(tfidf.term_frequency(cleaned_docs(spark, sf_dir)))
+    docs = cleaned_docs(spark, sf_dir)
+    return tfidf.document_frequency(tfidf.term_frequency(docs), tfidf.size(docs)[1])
 
 
 @register("tfidf_vocab", sql=_TFIDF_SQL + "SELECT term, term_id, cf, df, round(idf, 6) AS idf FROM vocab")

@@ -2,8 +2,12 @@
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from inkwell.operators import models as M
+from inkwell.operators import naive_bayes as NB
+from inkwell.operators import scoring, tfidf
 
 
 @pytest.fixture(scope="module")
@@ -20,3 +24,23 @@ def folder(tmp_path_factory):
 def test_request_cap_is_the_page_size(spark, folder):
     got = [(r["category"], r["title"]) for r in E.queries()["request_cap"](spark, folder).collect()]
     assert sorted(got) == sorted([("en", f"head {i}") for i in range(50)] + [("fr", f"head {i}") for i in range(130, 160)])
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+TEXTS = [(1, "red tea red tea red"), (2, "tea"), (2, "red tea"), (None, "tea pot"), (None, "tea"), (3, None), (4, ""), (5, "pot")]
+
+
+def test_terms_are_counted_inside_their_rows(spark):
+    once = spark.createDataFrame([r for r in TEXTS if r[0] in (1, 3, 4, 5)], "doc_id long, cleaned_text string")
+    tf = tfidf.term_frequency(once)
+    assert "Exchange" not in plan(tf)
+    assert sorted(map(tuple, tf.collect())) == [(1, "red", 3), (1, "red tea", 2), (1, "tea", 2), (1, "tea red", 2), (5, "pot", 1)]
+
+
+def test_rows_that_share_an_id_are_one_document(spark):
+    tf = tfidf.term_frequency(spark.createDataFrame(TEXTS, "doc_id long, cleaned_text string"))
+    got = sorted(map(tuple, tf.where("doc_id = 2 OR doc_id IS NULL").collect()), key=str)
+    assert got == sorted([(2, "tea", 2), (2, "red", 1), (2, "red tea", 1), (None, "tea", 2), (None, "pot", 1), (None, "tea pot", 1)], key=str)
