@@ -16,7 +16,7 @@ from inkwell.operators import models as M
 from inkwell.operators import tfidf
 from inkwell.operators.preprocess import preprocess
 from inkwell.operators.scorers import FrameScorer, NaiveBayesScorer, apply_scorer
-from inkwell.session import cut_lineage
+from inkwell.session import cut_lineage, stored
 
 TOPIC_TEMPERATURE = 0.1
 #: Bytes of centroids that a task holds at a time.
@@ -38,18 +38,55 @@ def score_sentiment(df: DataFrame, model, id_col: str = "doc_id", text_col: str
 
 # --- M6 topics ----------------------------------------------------------------------------------
 
-def seed_weights(candidates: DataFrame, vec: tfidf.Vectorizer) -> DataFrame:
-    """(label, term, weight): TF-IDF of each label's seed text in the documents' vector space."""
+def seed_counts(candidates: DataFrame) -> DataFrame:
+    """(doc_id, term, tf): the counted terms of each label's seed text; ``doc_id`` is the label."""
     seeds = candidates.select(F.col("label").alias("doc_id"), F.col("seed_text").alias("content"),
                               F.col("seed_text").alias("description"), F.lit("en").alias("language"),
                               F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("publishedAt"),
                               F.lit(None).cast("struct<id:string,name:string>").alias("source"),
                               F.lit(None).cast("string").alias("url"))
-    clean = preprocess(seeds)
-    w = tfidf.transform(tfidf.term_frequency(clean), vec)
+    return tfidf.term_frequency(preprocess(seeds))
+
+
+def seed_weights(candidates: DataFrame, vec: tfidf.Vectorizer) -> DataFrame:
+    """(label, term, weight): TF-IDF of each label's seed text in the documents' vector space."""
+    w = tfidf.transform(seed_counts(candidates), vec)
     return w.select(F.col("doc_id").alias("label"), "term", F.col("weight").alias("sw"))
 
 
+def _cosines(tf: DataFrame, norms: DataFrame, candidates: DataFrame, vocabulary, n_docs: int, parts: int) -> DataFrame:
+    """(doc_id, label, cos) from counts: only terms of the seeds are weighted, the documents' ``norms`` are given.
+
+    ``vocabulary`` takes the terms of the seeds and gives (term, df, cf) of those. The seeds are stored first, so that
+    Spark broadcasts them where their size allows.
+    """
+    counts = stored(seed_counts(candidates), "seeds")
+    known = stored(vocabulary(counts.select("term").distinct()).select(
+        "term", F.lit(None).cast("int").alias("term_id"), "cf", "df", tfidf._idf(n_docs).alias("idf")), "seed-terms")
+    own = tfidf.Vectorizer(known, n_docs, capped=False, parts=parts)
+    sw = tfidf.transform(counts, own).select(F.col("doc_id").alias("label"), "term", F.col("weight").alias("sw"))
+    sw = stored(sw.join(known.select("term", "idf"), "term"), "seed-weights")
+    dots = tf.join(sw, "term").groupBy("doc_id", "label").agg(F.sum(F.col("tf") * F.col("idf") * F.col("sw")).alias("dot"))
+    return dots.join(norms, "doc_id").select("doc_id", "label", (F.col("dot") / F.col("norm")).alias("cos"))
+
+
+def own_topic_scores(docs: DataFrame, candidates: DataFrame, rows: DataFrame, temperature: float = TOPIC_TEMPERATURE) -> DataFrame:
+    """``topic_scores`` of ``rows`` of the documents ``docs`` in the vector space of these documents (all terms)."""
+    tf, (n_docs, parts) = tfidf.term_frequency(docs), tfidf.size(docs)
+    sims = _cosines(tf, tfidf.own_norms(tf, n_docs, parts), candidates,
+                    lambda terms: tfidf.document_frequency(tf.join(terms, "term", "left_semi")), n_docs, parts)
+    return _distribution(sims, rows, candidates, "doc_id", temperature)
+
+
+def counted_topic_scores(docs: DataFrame, candidates: DataFrame, vec: tfidf.Vectorizer, text_col: str = "cleaned_text",
+                         temperature: float = TOPIC_TEMPERATURE) -> DataFrame:
+    """``topic_scores`` of the texts of ``docs`` in the vector space of ``vec`` (its vocabulary ``tfidf.kept``)."""
+    tf, parts = tfidf.term_frequency(docs, "doc_id", text_col), tfidf.size(docs, text_col)[1]
+    sims = _cosines(tf, tfidf.norms(tf, vec, max(parts, vec.parts or 1)), candidates,
+                    lambda terms: vec.vocabulary.join(terms, "term", "left_semi"), vec.n_docs, parts)
+    return _distribution(sims, docs, candidates, "doc_id", temperature)
+
+
 def topic_scores(doc_weights: DataFrame, docs: DataFrame, candidates: DataFrame, vec: tfidf.Vectorizer,
                  id_col: str = "doc_id", temperature: float = TOPIC_TEMPERATURE) -> DataFrame:
     """(id, topic, topic_score, n_labels, best_cos, n_present, label_scores, absent_score): cosine to every
@@ -63,12 +100,17 @@ def topic_scores(doc_weights: DataFrame, docs: DataFrame, candidates: DataFrame,
     product is built. Ties go to the smaller label. Any number of labels is taken: the
     seeds are joined on the term, and Spark broadcasts them where their size allows.
     """
-    n_labels, first_label = candidates.agg(F.count(F.lit(1)), F.min("label")).first()
-    if n_labels == 0:
-        raise ValueError("no candidate labels")
     sw = seed_weights(candidates, vec)
     sims = (doc_weights.join(sw, "term")
             .groupBy(id_col, "label").agg(F.sum(F.col("weight") * F.col("sw")).alias("cos")))
+    return _distribution(sims, docs, candidates, id_col, temperature)
+
+
+def _distribution(sims: DataFrame, docs: DataFrame, candidates: DataFrame, id_col: str, temperature: float) -> DataFrame:
+    """The columns of ``topic_scores`` from the cosines (id, label, cos) of labels that share a term with the document."""
+    n_labels, first_label = candidates.agg(F.count(F.lit(1)), F.min("label")).first()
+    if n_labels == 0:
+        raise ValueError("no candidate labels")
     t = F.lit(temperature)
     per_doc = sims.groupBy(id_col).agg(
         F.min_by("label", F.struct(-F.col("cos"), F.col("label"))).alias("best"),
@@ -98,10 +140,10 @@ def full_scores(label_scores, absent_score, labels) -> Column:
 
 def topic_scorer(candidates: DataFrame, vec: tfidf.Vectorizer, temperature: float = TOPIC_TEMPERATURE) -> FrameScorer:
     """The topic model as a scorer: label and score are the topic's, the label scores come beside them."""
+    kept = tfidf.kept(vec)
 
     def score(rows: DataFrame) -> DataFrame:
-        weights = tfidf.transform(tfidf.term_frequency(rows, "id", "text"), vec)
-        found = topic_scores(weights, rows.withColumnRenamed("id", "doc_id"), candidates, vec, "doc_id", temperature)
+        found = counted_topic_scores(rows.withColumnRenamed("id", "doc_id"), candidates, kept, "text", temperature)
         return found.select(F.col("doc_id").alias("id"), F.col("topic").alias("label"), F.col("topic_score").alias("score"),
                             "label_scores", "absent_score")
 
@@ -154,7 +196,7 @@ def analyze(heads: DataFrame, sentiment_model, vec: tfidf.Vectorizer, candidates
     no words left after cleaning or no model covers it.
     """
     worded = heads.where(T.non_blank("cleaned_text"))
-    topics = topic_scores(tfidf.transform(tfidf.term_frequency(worded), vec), worded, candidates, vec)
+    topics = counted_topic_scores(worded, candidates, tfidf.kept(vec))
     moods = score_sentiment(heads, sentiment_model)
     failed = F.col("sentiment").isNull() | F.col("sentiment").isin(C.SENTINEL_EMPTY, C.SENTINEL_ERROR)
     why = F.when(F.col("sentiment") == F.lit(C.SENTINEL_EMPTY), F.lit("no words")).otherwise(F.lit("no model"))

@@ -45,9 +45,8 @@ def sentiment_model(spark, sf_dir, cleaned):
 
 
 def _topics(spark, sf_dir, cleaned):
-    vec, weights = tfidf.fit_transform(cleaned, max_features=None)
     docs = cleaned.where(F.col("cleaned_text").isNotNull() & T.non_blank("cleaned_text"))
-    return scoring.topic_scores(weights, docs, candidate_labels(spark, sf_dir), vec), vec, weights
+    return scoring.own_topic_scores(cleaned, candidate_labels(spark, sf_dir), docs)
 
 
 def sentiment_stage(spark, sf_dir):
@@ -60,7 +59,7 @@ def sentiment_stage(spark, sf_dir):
 
 def topic_stage(spark, sf_dir):
     """(doc_id, topic, topic_score, n_labels, best_cos, n_present) of every non-blank cleaned article, as a stage table."""
-    return stage(spark, sf_dir, "topics", lambda: _topics(spark, sf_dir, _cleaned(spark, sf_dir))[0])
+    return stage(spark, sf_dir, "topics", lambda: _topics(spark, sf_dir, _cleaned(spark, sf_dir)))
 
 
 @register("sentiment_scores", sql=_BASE + """

@@ -44,3 +44,18 @@ def test_rows_that_share_an_id_are_one_document(spark):
     tf = tfidf.term_frequency(spark.createDataFrame(TEXTS, "doc_id long, cleaned_text string"))
     got = sorted(map(tuple, tf.where("doc_id = 2 OR doc_id IS NULL").collect()), key=str)
     assert got == sorted([(2, "tea", 2), (2, "red", 1), (2, "red tea", 1), (None, "tea", 2), (None, "pot", 1), (None, "tea pot", 1)], key=str)
+
+
+def test_norms_and_topics_equal_those_of_the_weights(spark):
+    docs = spark.createDataFrame([(i, f"tea w{i % 3} pot{i % 5} w{i % 7} tea") for i in range(40)] + [(40, "other words"), (41, "")],
+                                 "doc_id long, cleaned_text string")
+    seeds = spark.createDataFrame([("a", "tea w1 pot2"), ("b", "w6 w2"), ("c", "nothing")], "label string, seed_text string")
+    vec, weights = tfidf.fit_transform(docs, max_features=None)
+    tf, (n, parts) = tfidf.term_frequency(docs), tfidf.size(docs)
+    own = {r["doc_id"]: r["norm"] for r in tfidf.own_norms(tf, n, parts).collect()}
+    assert own == pytest.approx({r["doc_id"]: r["norm"] for r in tfidf.norms(tf, vec).collect()}) and len(own) == 41
+    assert "Window" not in plan(tfidf.norms(tf, vec))
+    key = lambda df: {r["doc_id"]: (r["topic"], r["n_present"], round(r["topic_score"], 9), round(r["best_cos"], 9)) for r in df.collect()}
+    want = key(scoring.topic_scores(weights, docs, seeds, vec))
+    assert key(scoring.own_topic_scores(docs, seeds, docs)) == want
+    assert key(scoring.counted_topic_scores(docs, seeds, tfidf.kept(vec))) == want
