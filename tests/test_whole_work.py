@@ -59,3 +59,11 @@ def test_norms_and_topics_equal_those_of_the_weights(spark):
     want = key(scoring.topic_scores(weights, docs, seeds, vec))
     assert key(scoring.own_topic_scores(docs, seeds, docs)) == want
     assert key(scoring.counted_topic_scores(docs, seeds, tfidf.kept(vec))) == want
+
+
+def test_a_small_model_is_broadcast_and_nothing_is_kept_for_each_feature(spark):
+    train = spark.createDataFrame([(1, "a b", "x"), (2, "b c c", "y")], "doc_id long, cleaned_text string, label string")
+    model = M.train_nb(train)
+    scores = NB.log_scores(M.with_terms(train.withColumn("cleaned_text", F.lit("aa bb cc"))), "doc_id", "_terms", model)
+    assert "BroadcastHashJoin" in plan(scores) and "keys=[doc_id#" in plan(scores)
+    assert "feature#" not in "".join(x for x in plan(scores).splitlines() if "HashAggregate(keys=[doc_id" in x)
