@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from inkwell import constants as C
 from inkwell.functions.text import terms
+from inkwell.operators.naive_bayes import small
 from inkwell.session import cut_lineage
 
 
@@ -97,17 +98,16 @@ def predict(rows: DataFrame, model: CountModel, id_col: str = "doc_id", text_col
     g = model.group_cols
     known = model.features.groupBy(*g, "feature").agg(
         F.map_from_entries(F.collect_list(F.struct("label", F.log1p(F.col("c") / F.lit(alpha)).alias("w")))).alias("w"))
-    counted = (rows.select(*g, id_col, F.explode(terms(F.col(text_col))).alias("feature"))
-               .groupBy(*g, id_col, "feature").agg(F.count(F.lit(1)).alias("n")))
-    hits = counted.join(known, [*g, "feature"]).select(*g, id_col, "n", "w")
-    n_known = hits.groupBy(*g, id_col).agg(F.sum("n").alias("_n"))
-    # one row for each label that the document shares a feature with
-    shared = (hits.select(*g, id_col, "n", F.explode("w").alias("label", "x")).groupBy(*g, id_col, "label")
-              .agg(F.sum(F.col("n") * F.col("x")).alias("s")).groupBy(*g, id_col)
-              .agg(F.map_from_entries(F.collect_list(F.struct("label", "s"))).alias("_s")))
+    hits = rows.select(*g, id_col, F.explode(terms(F.col(text_col))).alias("feature")).join(small(known), [*g, "feature"])
+    # a row for each label that shares the feature, and one without label that counts the occurrence
+    one = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(1.0).alias("value")))
+    shared = (hits.select(*g, id_col, F.inline(F.concat(one, F.map_entries("w"))).alias("label", "x"))
+              .groupBy(*g, id_col, "label").agg(F.sum("x").alias("s")).groupBy(*g, id_col)
+              .agg(F.max(F.when(F.col("label").isNull(), F.col("s"))).alias("_n"),
+                   F.map_from_entries(F.collect_list(F.when(F.col("label").isNotNull(), F.struct("label", "s")))).alias("_s")))
     base = rows.select(*g, id_col).join(_label_arrays(model, alpha), g)
-    every = base.join(n_known, [*g, id_col], "left").join(shared, [*g, id_col], "left")
-    n, s = F.coalesce("_n", F.lit(0)), F.col("_s")
+    every = base.join(shared, [*g, id_col], "left")
+    n, s = F.coalesce("_n", F.lit(0.0)), F.col("_s")
 
     def score(x: Column) -> Column:
         own = F.when(s.isNull(), F.lit(0.0)).otherwise(F.coalesce(s[x["label"]], F.lit(0.0)))
