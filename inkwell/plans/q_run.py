@@ -19,7 +19,7 @@ from inkwell.plans.q_ingest import _TARGET_SQL, feed_articles
 from inkwell.plans.q_scoring import TASK, sentiment_model
 from inkwell.plans.q_tfidf import cleaned_stage
 from inkwell.plans.runner import Outcome, Runner, Stage
-from inkwell.session import scratch_path
+from inkwell.session import scratch_path, stored
 from inkwell.sources.tables import candidate_labels
 
 #: Switches that stand for several stages.
@@ -40,7 +40,8 @@ def article_stages(spark: SparkSession, sf_dir: str, languages: Iterable[str] =
         return feed_articles(spark, sf_dir)
 
     def vectorize(cleaned: DataFrame) -> DataFrame:
-        return tfidf.fit_transform(cleaned)[1]
+        tf = stored(tfidf.term_frequency(cleaned), "terms")     # counted once for the vocabulary and the weights
+        return tfidf.transform(tf, tfidf.fit(cleaned, tf=tf))
 
     def sentiment(cleaned: DataFrame) -> DataFrame:
         model = sentiment_model(spark, sf_dir, cleaned_stage(spark, sf_dir))
@@ -48,7 +49,7 @@ def article_stages(spark: SparkSession, sf_dir: str, languages: Iterable[str] =
         return found.select("doc_id", F.col("label").alias("sentiment"), F.col("score").alias("sentiment_score"))
 
     def topic(cleaned: DataFrame) -> DataFrame:
-        scorer = scoring.topic_scorer(candidate_labels(spark, sf_dir), tfidf.fit(cleaned, max_features=None))
+        scorer = scoring.own_topic_scorer(cleaned, candidate_labels(spark, sf_dir))      # a scored text is its row's cleaned text
         found = apply_scorer(_scored(cleaned), scorer, "doc_id", "text")
         return found.select("doc_id", F.col("label").alias("topic"), F.col("score").alias("topic_score"), "label_scores", "absent_score")
 

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from inkwell.session import release
+
 MANIFEST = "seq bigint, stage string, fingerprint string, path string, schema string, finished timestamp"
 
 
@@ -153,7 +155,9 @@ class Runner:
                 df = s.build(*[self.output(r, stored) for r in s.reads])
                 path = f"{self.root}/{s.name}/{uuid.uuid4().hex}.{'json' if s.write is not write_parquet else 'parquet'}"
                 s.write(df, path)
-                stored[s.name] = self._record(s, fingerprint, path, df.schema.json())
+                schema, df = df.schema.json(), None
+                stored[s.name] = self._record(s, fingerprint, path, schema)
+                release(self.spark)     # a stage's shuffles do not stay on the disks while the later ones run
             except Exception as e:
                 raise StageFailed(s.name, e) from e
             done.append(Outcome(s.name, "built", path))

@@ -5,9 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from inkwell import constants as C
+from inkwell.functions import text as T
+from inkwell.operators import ingest
 from inkwell.operators import models as M
 from inkwell.operators import naive_bayes as NB
 from inkwell.operators import scoring, tfidf
+from inkwell.operators.scorers import apply_scorer
 
 
 @pytest.fixture(scope="module")
@@ -67,3 +71,39 @@ def test_a_small_model_is_broadcast_and_nothing_is_kept_for_each_feature(spark):
     scores = NB.log_scores(M.with_terms(train.withColumn("cleaned_text", F.lit("aa bb cc"))), "doc_id", "_terms", model)
     assert "BroadcastHashJoin" in plan(scores) and "keys=[doc_id#" in plan(scores)
     assert "feature#" not in "".join(x for x in plan(scores).splitlines() if "HashAggregate(keys=[doc_id" in x)
+
+
+ODD = ["Cannot gimme,gonna GOTTA lemme wanna", "wannaـ cannot، xcannot cannotx can not cannotgonna", "wanna", "cannotً gonna_ égimme wanna\n",
+       "\U0001F600a\U0001F600 b\U0001F600\U0001F600 c", " a  b\nc ", "", "x", "a b", None]
+
+
+def test_contractions_are_split_in_one_pass_as_one_by_one(spark):
+    x = F.col("text")
+    for first, second in C.CONTRACTIONS:
+        tail = "(?=[" + C.WS + "]|$)" if first == "wan" else f"(?![{C.WORD}])"
+        x = F.regexp_replace(x, f"(?i)(?<![{C.WORD}])({first})({second}){tail}", "$1 $2")
+    once = T._split_contractions(F.col("text"))
+    rows = spark.createDataFrame([(t,) for t in ODD], "text string").select(x.alias("a"), once.alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in rows)
+    assert str(once._jc).count("regexp_replace") == 1
+
+
+def test_a_page_is_read_once_for_all_its_rows(spark):
+    rows = spark.createDataFrame([(i, "http://x.org/1" if i < 5 else None, "h", "202001010000", "en") for i in range(6)],
+                                 "doc_id long, source_url string, headline_text string, publish_time string, language string")
+    pages = spark.createDataFrame([(1, "http://x.org/1", '<meta property="og:image" content="i.png"><p>one</p><p>two</p>')],
+                                  "page_id long, url string, html string")
+    looked = ingest.lookup_pages(rows, pages, read=ingest.read_pages)
+    assert "html" not in looked.columns
+    key = lambda df: sorted((r["doc_id"], r["content"], r["urlToImage"]) for r in df.collect())
+    want = [(i, "one two", "i.png") for i in range(5)] + [(5, "", "")]
+    assert key(ingest.to_article(looked)) == want == key(ingest.to_article(ingest.lookup_pages(rows, pages)))
+
+
+def test_a_topic_scorer_of_the_documents_themselves_equals_the_fitted_one(spark):
+    docs = spark.createDataFrame([(i, f"tea w{i % 3} pot{i % 5} w{i % 7} tea") for i in range(40)] + [(40, "other words"), (41, "")],
+                                 "doc_id long, cleaned_text string")
+    seeds = spark.createDataFrame([("a", "tea w1 pot2"), ("b", "w6 w2"), ("c", "nothing")], "label string, seed_text string")
+    key = lambda s: {r["doc_id"]: (r["label"], round(r["score"], 9), round(r["absent_score"] or 0, 9))
+                     for r in apply_scorer(docs, s).collect()}
+    assert key(scoring.own_topic_scorer(docs, seeds)) == key(scoring.topic_scorer(seeds, tfidf.fit(docs, max_features=None)))
