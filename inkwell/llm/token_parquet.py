@@ -26,8 +26,9 @@ from inkwell.llm.text_hash import pieces
 ROW_GROUP, PAGE, PAGE_ROWS = 32 << 20, 128 << 10, 512
 #: Fixed value: the pre-token pattern of the word tokenizers that are encoded piece by piece.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Pieces whose ids a Python worker remembers.
-REMEMBER = 2_000_000
+#: Pieces whose ids a Python worker remembers; most that go through the tokenizer at once (its answer takes far more
+#: memory than the ids, and a worker that lives on keeps it).
+REMEMBER, LEARN = 2_000_000, 1 << 13
 
 
 class PieceEncoder:
@@ -106,8 +107,10 @@ class PieceEncoder:
         inside = place < len(self.keys)
         new[inside] = self.keys[place[inside]] != keys[inside]
         if new.any():
-            blob = data.tobytes()
-            self._learn(keys[new], [blob[a:b].decode() for a, b in zip(s[at[new]].tolist(), e[at[new]].tolist())])
+            blob, fresh = data.tobytes(), np.flatnonzero(new)
+            for lo in range(0, len(fresh), LEARN):
+                some = fresh[lo:lo + LEARN]
+                self._learn(keys[some], [blob[a:b].decode() for a, b in zip(s[at[some]].tolist(), e[at[some]].tolist())])
         place = self.slot[np.searchsorted(self.keys, keys)][back]
         lengths = self.start[place + 1] - self.start[place]
         to = np.zeros(len(h) + 1, dtype=np.int64)
@@ -138,7 +141,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = PieceEncoder.of(spec.value)
-        for batch in text_slices(batches, "t", 1 << 22):
+        for batch in text_slices(batches, "t"):
             ids, first = coder.encode(batch.column("t"))
             n = np.diff(first)
             starts = np.zeros(len(n) + 1, dtype=np.int64)

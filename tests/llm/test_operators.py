@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from inkwell.llm import (decontaminate, graph, lattice_dedup, minmax_dedup, queries, quote_link, soft_mixing, token_parquet,
@@ -247,6 +248,28 @@ def test_token_files_round_trip(spark):
     assert token_parquet.token_starts(spark, empty).count() == 0
 
 
+def test_tokenizer_gets_few_pieces_at_once():
+    from tokenizers import Tokenizer
+
+    with open(queries.tokenizer_path(), encoding="utf-8") as f:
+        spec = f.read()
+    coder, sent = token_parquet.PieceEncoder(spec), []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            sent.append(sum(len(x.split()) for x in texts))
+            return whole.encode_batch_fast(texts, **options)
+
+    whole, coder.tokenizer = Tokenizer.from_str(spec), Counted()
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [a + b + c for a in letters for b in letters for c in letters]
+    texts = [" ".join(names), None, " ".join(f"{x}'{x} {x}9!" for x in names[::5]), "", " ".join(names[::-1])]
+    ids, first = coder.encode(pa.array(texts, pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == [
+        whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(coder.keys) > 2 * (1 << 13) and max(sent) <= 1 << 13
+
+
 def test_token_files_have_dictionary_pages_and_indexes(spark):
     import glob
 
