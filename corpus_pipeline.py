@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and
 read again as the next stage's documents. All stages but the last return the columns of the
-documents they were given. Each stage first lets go of what the stages before it left in the driver.
+documents they were given. Each stage first lets go of what the stages before it left in the driver and sees to it that
+executors hold small record batches.
 """
 
 from __future__ import annotations
@@ -10,38 +11,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from inkwell.llm import decontaminate, minmax_dedup, soft_mixing, token_parquet, toxic_segments
-from inkwell.llm.common import release, table
+from inkwell.llm.common import release, small_batches, table
 from inkwell.llm.queries import tokenizer_path
 from inkwell.session import scratch_path
 
 
+def _begin(spark: SparkSession) -> None:
+    release(spark)
+    small_batches(spark)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go."""
-    release(spark)
+    _begin(spark)
     return toxic_segments.drop_toxic(docs, table(spark, sf_dir, "labels"), fold=None)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays (5-word shingles, 80 %)."""
-    release(spark)
+    _begin(spark)
     return minmax_dedup.drop_near_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item go (5-word shingles, 80 %)."""
-    release(spark)
+    _begin(spark)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated or thinned to the target weights of their domains."""
-    release(spark)
+    _begin(spark)
     return soft_mixing.mix_sources(docs, table(spark, sf_dir, "labels"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files in id order, read back as (doc_id, n_tokens, input_ids)."""
-    release(spark)
+    _begin(spark)
     path = scratch_path(spark, "tokens")
     token_parquet.write_tokens(docs, path, tokenizer_path())
     return token_parquet.read_tokens(spark, path)

@@ -15,7 +15,7 @@ from inkwell.session import scratch_path
 from inkwell.sources.tables import table
 
 __all__ = ["table", "stash", "text_slices", "keep_ids", "keep_keys", "keep_rows", "row_key", "fresh", "map_rows",
-           "release"]
+           "release", "small_batches"]
 
 
 def stash(df: DataFrame, name: str) -> DataFrame:
@@ -36,6 +36,16 @@ def release(spark: SparkSession) -> None:
     spark._jvm.java.lang.System.gc()
 
 
+#: Bytes of a record batch between the JVM and its Python workers, one row at least.
+BATCH_BYTES = 2 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session's record batches end at BATCH_BYTES instead of 10 000 rows, whatever the rows' length: an executor
+    holds several of them for each task, on both sides, and its JVM and workers do not give that memory back."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches into runs of whole rows of about ``limit`` text bytes, one row at least.
 

@@ -12,7 +12,8 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-_BLOCK = 1 << 20
+#: Bytes that are hashed at once; a worker holds two tables of so many 64-bit numbers and a few such arrays besides.
+_BLOCK = 1 << 18
 _P = 0x9E3779B97F4A7C55
 _Q = 0xD6E8FEB86659FD93
 
