@@ -84,7 +84,8 @@ def predict_nb(df: DataFrame, model: NB.NBModel, id_col: str = "doc_id",
     """(id, prediction, prob) for every row; rows sharing no term with the model get the prior's choice."""
     g = [c for c in model.group_cols if c in df.columns]
     feats = with_terms(df.select(id_col, *g, text_col), text_col)
-    scored = NB.predict(feats, id_col, "_terms", model)
+    chars = df.agg(F.sum(F.length(text_col))).first()[0] or 0
+    scored = NB.predict(feats, id_col, "_terms", model, chars)
     out = df.select(id_col, *g).join(scored, id_col, "left")
     prior_best = NB.best_label(model.priors.withColumn("score", F.col("log_prior"))
                                .withColumn("_gid", F.to_json(F.struct(*model.group_cols))), "_gid")

@@ -7,16 +7,21 @@ centroids are held in matrices of bounded bytes, one block of labels after the o
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell import constants as C
 from inkwell.functions import text as T
 from inkwell.operators import models as M
-from inkwell.operators import tfidf
+from inkwell.operators import packed, tfidf
+from inkwell.operators.labels import dense_ids
 from inkwell.operators.preprocess import preprocess
 from inkwell.operators.scorers import FrameScorer, NaiveBayesScorer, apply_scorer
-from inkwell.session import cut_lineage, stored
+from inkwell.session import cut_lineage, release, stored
 
 TOPIC_TEMPERATURE = 0.1
 #: Bytes of centroids that a task holds at a time.
@@ -38,14 +43,17 @@ def score_sentiment(df: DataFrame, model, id_col: str = "doc_id", text_col: str
 
 # --- M6 topics ----------------------------------------------------------------------------------
 
+def _seed_articles(candidates: DataFrame) -> DataFrame:
+    return candidates.select(F.col("label").alias("doc_id"), F.col("seed_text").alias("content"),
+                             F.col("seed_text").alias("description"), F.lit("en").alias("language"),
+                             F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("publishedAt"),
+                             F.lit(None).cast("struct<id:string,name:string>").alias("source"),
+                             F.lit(None).cast("string").alias("url"))
+
+
 def seed_counts(candidates: DataFrame) -> DataFrame:
     """(doc_id, term, tf): the counted terms of each label's seed text; ``doc_id`` is the label."""
-    seeds = candidates.select(F.col("label").alias("doc_id"), F.col("seed_text").alias("content"),
-                              F.col("seed_text").alias("description"), F.lit("en").alias("language"),
-                              F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("publishedAt"),
-                              F.lit(None).cast("struct<id:string,name:string>").alias("source"),
-                              F.lit(None).cast("string").alias("url"))
-    return tfidf.term_frequency(preprocess(seeds))
+    return tfidf.term_frequency(preprocess(_seed_articles(candidates)))
 
 
 def seed_weights(candidates: DataFrame, vec: tfidf.Vectorizer) -> DataFrame:
@@ -70,16 +78,133 @@ def _cosines(tf: DataFrame, norms: DataFrame, candidates: DataFrame, vocabulary,
     return dots.join(norms, "doc_id").select("doc_id", "label", (F.col("dot") / F.col("norm")).alias("cos"))
 
 
-def own_topic_scores(docs: DataFrame, candidates: DataFrame, rows: DataFrame, temperature: float = TOPIC_TEMPERATURE,
-                     tf: DataFrame | None = None) -> DataFrame:
-    """``topic_scores`` of ``rows`` of the documents ``docs`` in the vector space of these documents (all terms).
-
-    ``tf``: the documents' counted terms where they are stored; otherwise they are counted for each of three uses.
+#: Most labels whose names and lengths a task holds; more are joined to the cosines.
+LABELS_HELD = 200_000
+
+#: Kinds of a block's sums: squared lengths of its rows, and products with labels; squared lengths of labels.
+NORMS, DOTS, LABEL_NORMS = 1, 2, 3
+
+
+def _weigh(table: pa.Table, n_docs: int) -> pa.Table:
+    """A part's share of the squared lengths of the documents and of the labels, and of their products."""
+    found, known, _ = packed.pieces(table)
+    docs, out = [p for p in found if p.kind == packed.TERMS], packed.passed_on(table)
+    df = np.zeros(len(known))
+    for p in docs:
+        df[p.terms] += p.lengths
+    idf = np.log((1.0 + n_docs) / (1.0 + df)) + 1.0
+    seeds = [p for p in found if p.kind == packed.SEEDS]
+    whole = lambda xs: np.concatenate([np.zeros(0, np.int64), *xs]).astype(np.int64)
+    term, label, times = (whole(x) for x in ([np.repeat(p.terms, p.lengths) for p in seeds], [p.rows for p in seeds], [p.times for p in seeds]))
+    order = np.argsort(term, kind="stable")
+    order = order[df[term[order]] > 0]
+    term, label, times = term[order], label[order], times[order]
+    n_seeds = np.bincount(term, minlength=len(known))
+    first = np.cumsum(n_seeds) - n_seeds
+    out.append((-1, LABEL_NORMS, packed.pack(*packed.summed(label, (times * idf[term]) ** 2))))
+    wide = int(label.max()) + 1 if len(label) else 1
+    for p in docs:
+        at = np.repeat(p.terms, p.lengths)
+        w, mark = p.times * idf[at], np.array([p.mark])
+        out.append((p.block, NORMS, packed.pack(mark, np.bincount(p.rows, weights=w * w, minlength=p.n))))
+        hits = np.flatnonzero(n_seeds[at])
+        n = n_seeds[at[hits]]
+        entry, seed = np.repeat(hits, n), packed.segments(first[at[hits]], n)
+        pairs, dots = packed.summed(p.rows[entry].astype(np.int64) * wide + label[seed], w[entry] * idf[at[entry]] * times[seed])
+        if len(pairs):
+            out.append((p.block, DOTS, packed.pack(mark, *np.divmod(pairs, wide), dots)))
+    return packed.sums_table(out)
+
+
+def _block_dots(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(a block's columns, squared length of every row; row, label and product of every pair that shares a term)."""
+    own, sums = packed.block_rows(table)
+    norms = np.zeros(own.num_rows)
+    for _, x in sums.get(NORMS, []):
+        norms += x
+    row, label, dot = (np.concatenate([np.zeros(0, kind), *xs]) for kind, xs in zip(
+        (np.int64, np.int64, np.float64), list(zip(*(x[1:] for x in sums.get(DOTS, [])), strict=True)) or [[]] * 3, strict=True))
+    wide = int(label.max()) + 1 if len(label) else 1
+    pairs, dot = packed.summed(row.astype(np.int64) * wide + label.astype(np.int64), dot)
+    return own, norms, *np.divmod(pairs, wide), dot
+
+
+def _packed_cosines(docs: DataFrame, candidates: DataFrame, n_docs: int, chars: int, wanted: Column) -> DataFrame:
+    """(doc_id, cosines) of the documents of ``wanted``, whose ids are unique: (label, cos) of the labels that share a term.
+
+    Every term goes once for each block of documents to the part that knows its df, with the seeds' terms; the
+    sums come back once for each block and part (``packed``).
     """
-    tf, (n_docs, parts) = tf if tf is not None else tfidf.term_frequency(docs), tfidf.size(docs)
+    spark, parts = docs.sparkSession, packed.parts_of(docs.sparkSession, chars)
+    numbers = dense_ids(candidates, "label", "number")
+    seeds = preprocess(_seed_articles(candidates)).join(numbers, F.col("doc_id") == F.col("label"))
+    # a null parts the texts of a label that has several
+    seeds = seeds.groupBy("number").agg(F.flatten(F.collect_list(F.concat(T.terms("cleaned_text"), F.array(F.lit(None).cast("string"))))).alias("terms"))
+    rows = docs.select("doc_id", F.coalesce(wanted, F.lit(False)).alias("_wanted"), T.terms("cleaned_text").alias("terms"))
+    dealt = packed.deal(rows, parts, pairs=True).unionByName(packed.deal(seeds, parts, pairs=True, kind=packed.SEEDS))
+    sums = stored(packed.by_part(dealt, lambda table: _weigh(table, n_docs)), "term-sums")
+    release(spark)      # the first exchange does not stay on the disks during the second
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column("data").to_pylist():
+                number, norm = packed.unpack(data)
+                yield pa.RecordBatch.from_arrays([pa.array(number.astype(np.int64)), pa.array(norm)], ["number", "norm"])
+
+    lengths = sums.where(F.col("kind") == LABEL_NORMS).select("data").mapInArrow(split, "number bigint, norm double")
+    labels = numbers.join(lengths.groupBy("number").agg(F.sqrt(F.sum("norm")).alias("norm")), "number")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    blocks = sums.where(F.col("kind") != LABEL_NORMS).groupBy("block")
+
+    def lists(own: pa.Table, row: np.ndarray, **columns: pa.Array) -> pa.Table:
+        offsets = pa.array(np.searchsorted(row, np.arange(own.num_rows + 1)), pa.int32())
+        out = own.select(["doc_id"])
+        for name, values in columns.items():
+            out = out.append_column(name, pa.ListArray.from_arrays(offsets, values))
+        return out.filter(own.column("_wanted"))
+
+    if candidates.count() <= LABELS_HELD:
+        held = labels.toArrow().sort_by("number")
+        place, names, norm_of = held["number"].to_numpy(), held["label"].combine_chunks(), held["norm"].to_numpy()
+
+        def named(table: pa.Table) -> pa.Table:
+            own, norms, row, label, dot = _block_dots(table)
+            at = np.searchsorted(place, label)
+            cos = pa.array(dot / (np.sqrt(norms)[row] * norm_of[at]))
+            pair = pa.StructArray.from_arrays([names.take(pa.array(at)).cast(pa.string()), cos], ["label", "cos"])
+            return lists(own, row, cosines=pair)
+
+        return blocks.applyInArrow(named, f"doc_id {kind}, cosines array<struct<label:string,cos:double>>")
+
+    def numbered(table: pa.Table) -> pa.Table:
+        own, norms, row, label, dot = _block_dots(table)
+        pair = pa.StructArray.from_arrays([pa.array(label), pa.array(dot / np.sqrt(norms)[row])], ["number", "dot"])
+        return lists(own, row, pairs=pair)
+
+    every = stored(blocks.applyInArrow(numbered, f"doc_id {kind}, pairs array<struct<number:bigint,dot:double>>"), "dots")
+    found = every.select("doc_id", F.inline("pairs")).join(labels, "number").groupBy("doc_id").agg(
+        F.collect_list(F.struct("label", (F.col("dot") / F.col("norm")).alias("cos"))).alias("cosines"))
+    return every.select("doc_id").join(found, "doc_id", "left")
+
+
+def own_topic_scores(docs: DataFrame, candidates: DataFrame, rows: DataFrame | Column, temperature: float = TOPIC_TEMPERATURE) -> DataFrame:
+    """``topic_scores`` in the vector space of the documents ``docs`` (all terms).
+
+    ``rows``: those of the documents that are scored, as rows with their ids or as a condition on ``docs``.
+    """
+    n_docs, chars = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("cleaned_text")), F.lit(0))).first()
+    # documents of several rows are counted together by their ids, and no id stands for a null one
+    unnamed = docs.where(F.col("doc_id").isNull()).select("doc_id").union(tfidf.repeated(docs))
+    if unnamed.isEmpty() and candidates.where(F.col("label").isNull()).isEmpty():
+        wanted = rows if isinstance(rows, Column) else F.lit(True)
+        found = _packed_cosines(docs, candidates, n_docs, chars, wanted)
+        if not isinstance(rows, Column):
+            found = rows.select("doc_id").join(found, "doc_id", "left")
+        return _from_cosines(found, candidates, "doc_id", temperature)
+    tf, parts = stored(tfidf.term_frequency(docs), "terms"), tfidf.size(docs)[1]
     sims = _cosines(tf, tfidf.own_norms(tf, n_docs, parts), candidates,
                     lambda terms: tfidf.document_frequency(tf.join(terms, "term", "left_semi")), n_docs, parts)
-    return _distribution(sims, rows, candidates, "doc_id", temperature)
+    return _distribution(sims, docs.where(rows) if isinstance(rows, Column) else rows, candidates, "doc_id", temperature)
 
 
 def counted_topic_scores(docs: DataFrame, candidates: DataFrame, vec: tfidf.Vectorizer, text_col: str = "cleaned_text",
@@ -112,28 +237,31 @@ def topic_scores(doc_weights: DataFrame, docs: DataFrame, candidates: DataFrame,
 
 def _distribution(sims: DataFrame, docs: DataFrame, candidates: DataFrame, id_col: str, temperature: float) -> DataFrame:
     """The columns of ``topic_scores`` from the cosines (id, label, cos) of labels that share a term with the document."""
+    per_doc = sims.groupBy(id_col).agg(F.collect_list(F.struct("label", "cos")).alias("cosines"))
+    return _from_cosines(docs.select(id_col).join(per_doc, id_col, "left"), candidates, id_col, temperature)
+
+
+def _from_cosines(found: DataFrame, candidates: DataFrame, id_col: str, temperature: float) -> DataFrame:
+    """The columns of ``topic_scores`` from rows (id, cosines): an array of (label, cos), or null."""
     n_labels, first_label = candidates.agg(F.count(F.lit(1)), F.min("label")).first()
     if n_labels == 0:
         raise ValueError("no candidate labels")
     t = F.lit(temperature)
-    per_doc = sims.groupBy(id_col).agg(
-        F.min_by("label", F.struct(-F.col("cos"), F.col("label"))).alias("best"),
-        F.max("cos").alias("best_cos"),
-        F.sum(F.exp(F.col("cos") / t)).alias("present_mass"),
-        F.map_from_entries(F.collect_list(F.struct("label", "cos"))).alias("cosines"),
-        F.count(F.lit(1)).alias("n_present"))
-    out = docs.select(id_col).join(per_doc, id_col, "left")
-    absent = F.lit(n_labels) - F.coalesce(F.col("n_present"), F.lit(0))
-    denom = F.coalesce(F.col("present_mass"), F.lit(0.0)) + absent
-    top_is_present = F.col("best").isNotNull() & ((F.col("best_cos") > 0) | (F.col("best") <= F.lit(first_label)))
-    topic = F.when(top_is_present, F.col("best")).otherwise(F.lit(first_label))
+    pairs = F.coalesce("cosines", F.array().cast("array<struct<label:string,cos:double>>"))
+    best = F.array_min(F.transform(pairs, lambda x: F.struct((-x["cos"]).alias("cos"), x["label"].alias("label"))))
+    out = found.select(id_col, pairs.alias("_pairs"), best.alias("_best"), F.size(pairs).alias("n_present"),
+                       F.aggregate(pairs, F.lit(0.0), lambda a, x: a + F.exp(x["cos"] / t)).alias("present_mass"))
+    out = out.select("*", (F.col("present_mass") + (F.lit(n_labels) - F.col("n_present"))).alias("_denom"), (-F.col("_best.cos")).alias("best_cos"))
+    denom = F.col("_denom")
+    top_is_present = F.col("_best").isNotNull() & ((F.col("best_cos") > 0) | (F.col("_best.label") <= F.lit(first_label)))
+    topic = F.when(top_is_present, F.col("_best.label")).otherwise(F.lit(first_label))
     score = F.when(top_is_present, F.exp(F.col("best_cos") / t)).otherwise(F.lit(1.0)) / denom
+    scores = F.transform("_pairs", lambda x: F.struct(x["label"].alias("key"), (F.exp(x["cos"] / t) / denom).alias("value")))
     return out.select(id_col, topic.alias("topic"), score.alias("topic_score"),
                       F.lit(n_labels).cast("bigint").alias("n_labels"),
                       F.coalesce("best_cos", F.lit(0.0)).alias("best_cos"),
-                      F.coalesce("n_present", F.lit(0)).cast("bigint").alias("n_present"),
-                      F.coalesce(F.transform_values("cosines", lambda _, c: F.exp(c / t) / denom),
-                                 F.create_map().cast("map<string,double>")).alias("label_scores"),
+                      F.col("n_present").cast("bigint").alias("n_present"),
+                      F.map_from_entries(scores).alias("label_scores"),
                       (F.lit(1.0) / denom).alias("absent_score"))
 
 
@@ -160,8 +288,7 @@ def own_topic_scorer(docs: DataFrame, candidates: DataFrame, temperature: float
     The documents' own counts give their norms, so no vocabulary of all terms is stored and joined.
     """
     def score(rows: DataFrame) -> DataFrame:
-        tf = stored(tfidf.term_frequency(docs), "terms")
-        found = own_topic_scores(docs, candidates, rows.withColumnRenamed("id", "doc_id"), temperature, tf)
+        found = own_topic_scores(docs, candidates, rows.withColumnRenamed("id", "doc_id"), temperature)
         return found.select(F.col("doc_id").alias("id"), F.col("topic").alias("label"), F.col("topic_score").alias("score"),
                             "label_scores", "absent_score")
 

@@ -1,6 +1,6 @@
 """TF-IDF over uni- and bigrams: counts, capped vocabulary, smoothed idf, L2-normalised weights.
 
-Plan shape: the n-grams of a document are sorted and counted inside its row, so the term
+Plan shape: the n-grams of a document are counted where its row is read (``packed``), so the term
 frequencies need no shuffle; the document frequencies need one on term, into as many
 partitions as the texts' length asks for; the vocabulary is a top-k (TakeOrderedAndProject) of
 at most ``max_features`` rows and is the only broadcast side. Norms are a window on
@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell import constants as C
-from inkwell.functions.text import ngrams, terms
+from inkwell.functions.text import terms
+from inkwell.operators import packed
 from inkwell.session import cut_lineage, stored
 
 
@@ -25,20 +26,18 @@ PART_CHARS = 8 << 20
 
 
 def _counted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, term, tf) of every row by itself: runs of equal terms in the row's sorted n-grams."""
-    t = docs.select(F.col(id_col).alias("doc_id"), terms(F.col(text_col)).alias("_t"))
-    rows = t.select("doc_id", F.sort_array(ngrams(F.col("_t"))).alias("_s"))
-    new = F.transform("_s", lambda x, i: F.when((i == 0) | (x != F.get(F.col("_s"), i - 1)), i))
-    starts = rows.select("doc_id", "_s", F.array_compact(new).alias("_p"))
-    runs = F.transform("_p", lambda p, k: F.struct(
-        F.get(F.col("_s"), p).alias("term"),
-        (F.coalesce(F.get(F.col("_p"), k + 1), F.size("_s")) - p).cast("bigint").alias("tf")))
-    return starts.select("doc_id", F.inline(runs))
+    """(doc_id, term, tf) of every row by itself; the terms of a block of rows are counted at once."""
+    return packed.counted(docs.select(F.col(id_col).alias("doc_id"), terms(F.col(text_col)).alias("terms")))
+
+
+def repeated(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(_id): the ids that several rows share."""
+    return docs.groupBy(F.col(id_col).alias("_id")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_id")
 
 
 def term_frequency(docs: DataFrame, id_col: str = "doc_id", text_col: str = "cleaned_text") -> DataFrame:
     """(doc_id, term, tf). Rows that share an id are one document; only their counts are shuffled."""
-    again = docs.groupBy(F.col(id_col).alias("_id")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_id")
+    again = repeated(docs, id_col)
     if again.isEmpty():
         return _counted(docs, id_col, text_col)
     again = cut_lineage(again)

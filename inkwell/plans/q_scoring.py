@@ -45,8 +45,8 @@ def sentiment_model(spark, sf_dir, cleaned):
 
 
 def _topics(spark, sf_dir, cleaned):
-    docs = cleaned.where(F.col("cleaned_text").isNotNull() & T.non_blank("cleaned_text"))
-    return scoring.own_topic_scores(cleaned, candidate_labels(spark, sf_dir), docs)
+    scored = F.col("cleaned_text").isNotNull() & T.non_blank("cleaned_text")
+    return scoring.own_topic_scores(cleaned, candidate_labels(spark, sf_dir), scored)
 
 
 def sentiment_stage(spark, sf_dir):
