@@ -335,9 +335,47 @@ def feature_counts(docs: DataFrame, columns: list[str], features_col: str) -> Da
     return rows.mapInArrow(run, f"{kinds}, feature {rows.schema['terms'].dataType.elementType.simpleString()}, c bigint")
 
 
+def trigram_counts(docs: DataFrame, columns: list[str], text_col: str) -> DataFrame:
+    """(columns, feature, c): all runs of three characters of the texts of rows with equal ``columns``, counted inside
+    each batch; to be added up. The texts have no characters beyond the basic plane."""
+    same = F.to_json(F.struct(*columns))
+    rows = docs.where(F.col(text_col).isNotNull()).select(*columns, same.alias("grp"), F.col(text_col).alias("text"))
+    kinds = ", ".join(f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table.take(pc.sort_indices(table.column("grp"))).combine_chunks()
+            firsts = np.append(_groups(_one(table.column("grp")))[1], table.num_rows)
+            for a, b in zip(firsts[:-1], firsts[1:], strict=True):
+                texts = _one(table.column("text")).slice(a, b - a)
+                raw, _ = _text(texts)
+                char = np.frombuffer(raw.tobytes().decode().encode("utf-16-le"), np.uint16)
+                row = np.repeat(np.arange(b - a), pc.utf8_length(texts).to_numpy())
+                known = np.flatnonzero(np.bincount(char, minlength=1))
+                n, place = len(known), np.zeros(1 << 16, np.int64)
+                place[known] = np.arange(n)
+                x = place[char]
+                keys = ((x[:-2] * n + x[1:-1]) * n + x[2:])[row[2:] == row[:-2]] if len(x) > 2 else np.zeros(0, np.int64)
+                if n ** 3 <= 4 * BLOCK:
+                    c = np.bincount(keys, minlength=1)
+                    keys = np.flatnonzero(c)
+                    c = c[keys]
+                else:
+                    keys, c = np.unique(keys, return_counts=True)
+                three = np.stack([keys // (n * n), keys // n % n, keys % n], axis=1) if n else np.zeros((0, 3), np.int64)
+                text = known[three].astype(np.uint16).tobytes().decode("utf-16-le")
+                grams = pa.array([text[i:i + 3] for i in range(0, len(text), 3)], pa.string())
+                head = table.select(columns).take(pa.array(np.full(len(keys), a)))
+                yield from head.append_column("feature", grams).append_column("c", pa.array(c, pa.int64())).combine_chunks().to_batches()
+
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return rows.mapInArrow(run, f"{kinds}, feature string, c bigint")
+
+
 def model_sums(docs: DataFrame, model: DataFrame, parts: int) -> DataFrame:
-    """(other columns of ``docs``, label, s) of every row and label of its group that share a feature: the sum of the
-    label's weights over the row's features.
+    """(other columns of ``docs``, sums) of every row that shares a feature with a label of its group: (label, s) of
+    these labels, s the sum of the label's weights over the row's features.
 
     ``docs``: terms, ``grp`` and other columns. ``model``: grp, feature, label, weight. Both are dealt to the parts by
     the feature; the model is not held whole anywhere.
@@ -345,6 +383,7 @@ def model_sums(docs: DataFrame, model: DataFrame, parts: int) -> DataFrame:
     model = model.select(F.pmod(F.crc32(F.col("feature").cast("binary")), F.lit(parts)).cast("int").alias("part"), "grp", "feature", "label", "weight")
     others = [c for c in docs.columns if c not in ("terms", "grp")]
     kind = model.schema["label"].dataType.simpleString()
+    pair = pa.struct([("label", to_arrow_type(model.schema["label"].dataType)), ("s", pa.float64())])
 
     def weigh(table: pa.Table, rows: pa.Table) -> pa.Table:
         found, _, place = pieces(table, _one(rows["feature"].cast(pa.string())))
@@ -363,14 +402,28 @@ def model_sums(docs: DataFrame, model: DataFrame, parts: int) -> DataFrame:
             key = np.repeat(p.terms, p.lengths).astype(np.int64) * wide + group
             at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
             hits = np.flatnonzero((keys[at] == key) & (group >= 0))
-            at = at[hits]
-            entry, of = np.repeat(hits, n_labels[at]), segments(starts[at], n_labels[at])
-            pairs, s = p.rows[entry].astype(np.int64) * some + code[of], p.times[entry] * weight[of]
-            if p.n * some <= 4 * BLOCK:
-                seen = np.flatnonzero(np.bincount(pairs, minlength=1))
-                pairs, s = seen, np.bincount(pairs, s, minlength=1)[seen]
+            at, row = at[hits], p.rows[hits].astype(np.int64) * some
+            times, ends = p.times[hits].astype(np.float64), np.cumsum(n_labels[at])
+            sums = np.zeros(p.n * some) if p.n * some <= 4 * BLOCK else None
+            seen = np.zeros(p.n * some, bool) if sums is not None else None
+            sparse: list[tuple[np.ndarray, np.ndarray]] = []
+            start = 0
+            while start < len(hits):        # as many features as have BLOCK labels together, one at least
+                stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + BLOCK, side="right")))
+                n, first = n_labels[at[start:stop]], starts[at[start:stop]]
+                of = segments(first, n)
+                pairs, s = np.repeat(row[start:stop], n) + code[of], np.repeat(times[start:stop], n) * weight[of]
+                if sums is None:
+                    sparse.append(summed(pairs, s))
+                else:
+                    sums += np.bincount(pairs, s, minlength=len(sums))
+                    seen[pairs] = True
+                start = stop
+            if sums is not None:
+                pairs = np.flatnonzero(seen)
+                s = sums[pairs]
             else:
-                pairs, s = summed(pairs, s)
+                pairs, s = summed(*(np.concatenate(x) for x in zip(*sparse, strict=True))) if sparse else (np.zeros(0, np.int64), np.zeros(0))
             if len(pairs):
                 out.append((p.block, TERMS, pack(np.array([p.mark]), *np.divmod(pairs, some), s, names)))
         return sums_table(out)
@@ -378,18 +431,19 @@ def model_sums(docs: DataFrame, model: DataFrame, parts: int) -> DataFrame:
     def add(table: pa.Table) -> pa.Table:
         own, sums = block_rows(table)
         found = sums.get(TERMS, [])
-        labels = [_one(pa.ipc.open_stream(x[4].tobytes()).read_all()["label"]) for x in found]
         if not found:
-            return own.select(others).slice(0, 0).append_column("label", pa.array([], label_type)).append_column("s", pa.array([], pa.float64()))
+            return own.select(others).slice(0, 0).append_column("sums", pa.array([], pa.list_(pair)))
+        labels = [_one(pa.ipc.open_stream(x[4].tobytes()).read_all()["label"]) for x in found]
         coded, starts = pa.concat_arrays(labels).dictionary_encode(), np.cumsum([0, *(len(x) for x in labels)])[:-1]
         codes, some = coded.indices.to_numpy(), len(coded.dictionary)
         pairs, s = summed(np.concatenate([x[1].astype(np.int64) * some + codes[a + x[2].astype(np.int64)] for x, a in zip(found, starts, strict=True)]),
                           np.concatenate([x[3] for x in found]))
         row, label = np.divmod(pairs, some)
-        return (own.select(others).take(pa.array(row)).append_column("label", coded.dictionary.take(pa.array(label)))
-                .append_column("s", pa.array(s)))
-
-    label_type = to_arrow_type(model.schema["label"].dataType)
-    dealt = deal(docs, parts, pairs=False)
-    sums = dealt.groupBy("part").cogroup(model.groupBy("part")).applyInArrow(weigh, SUMS)
-    return sums.groupBy("block").applyInArrow(add, ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others) + f", label {kind}, s double")
+        values = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(label)), pa.array(s)], ["label", "s"])
+        rows, offsets = np.unique(row, return_index=True)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(offsets, len(row)), pa.int32()), values)
+        return own.select(others).take(pa.array(rows)).append_column("sums", lists)
+
+    sums = deal(docs, parts, pairs=False).groupBy("part").cogroup(model.groupBy("part")).applyInArrow(weigh, SUMS)
+    columns = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others)
+    return sums.groupBy("block").applyInArrow(add, f"{columns}, sums array<struct<label:{kind},s:double>>")

@@ -20,10 +20,14 @@ from pyspark.sql import functions as F
 
 from inkwell import constants as C
 from inkwell.functions.text import terms
-from inkwell.operators.naive_bayes import small
+from inkwell.operators import packed
 from inkwell.session import cut_lineage
 
 
+#: Characters of text that a part takes at least, and most rows of a model that it takes.
+PART_CHARS, MODEL_ROWS = 8 << 20, 2_000_000
+
+
 @dataclass
 class CountModel:
     """``features``: group columns, label, feature, c; ``documents``: group columns, label, n."""
@@ -37,8 +41,8 @@ def count_model(rows: DataFrame, group_cols, text_col: str = "cleaned_text", lab
     """Counts of the terms of labelled rows, one model for each group."""
     g = list(group_cols)
     label = F.col(label_col).alias("label")
-    feats = rows.select(*g, label, F.explode(terms(F.col(text_col))).alias("feature"))
-    return CountModel(feats.groupBy(*g, "label", "feature").agg(F.count(F.lit(1)).alias("c")),
+    feats = packed.feature_counts(rows.select(*g, label, terms(F.col(text_col)).alias("terms")), [*g, "label"], "terms")
+    return CountModel(feats.groupBy(*g, "label", "feature").agg(F.sum("c").alias("c")),
                       rows.groupBy(*g, label).agg(F.count(F.lit(1)).alias("n")), g)
 
 
@@ -96,15 +100,21 @@ def predict(rows: DataFrame, model: CountModel, id_col: str = "doc_id", text_col
     The best label wins, the smaller one on ties. Rows without known features get the prior's choice.
     """
     g = model.group_cols
-    known = model.features.groupBy(*g, "feature").agg(
-        F.map_from_entries(F.collect_list(F.struct("label", F.log1p(F.col("c") / F.lit(alpha)).alias("w")))).alias("w"))
-    hits = rows.select(*g, id_col, F.explode(terms(F.col(text_col))).alias("feature")).join(small(known), [*g, "feature"])
-    # a row for each label that shares the feature, and one without label that counts the occurrence
-    one = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(1.0).alias("value")))
-    shared = (hits.select(*g, id_col, F.inline(F.concat(one, F.map_entries("w"))).alias("label", "x"))
-              .groupBy(*g, id_col, "label").agg(F.sum("x").alias("s")).groupBy(*g, id_col)
-              .agg(F.max(F.when(F.col("label").isNull(), F.col("s"))).alias("_n"),
-                   F.map_from_entries(F.collect_list(F.when(F.col("label").isNotNull(), F.struct("label", "s")))).alias("_s")))
+    named = lambda df: df.dropna(subset=g).withColumn("grp", F.to_json(F.struct(*g)))  # noqa: E731    a null group has no model
+    # a weight for each label that shares the feature, and one for none that counts the occurrence
+    weights = model.features.select(*g, "feature", F.concat(F.lit("="), "label").alias("label"), F.log1p(F.col("c") / F.lit(alpha)).alias("weight"))
+    weights = weights.unionByName(model.features.select(*g, "feature", F.lit("").alias("label"), F.lit(1.0).alias("weight")).distinct())
+    weights = named(weights).where(F.col("feature").isNotNull() & F.col("label").isNotNull()).select("grp", "feature", "label", "weight")
+    chars = rows.agg(F.sum(F.length(text_col))).first()[0] or 0
+    # every part sends a sum for each row and label: few parts, of as much of the model as a task holds
+    parts = max(-(-chars // (4 * packed.PART_CHARS)), -(-model.features.count() // MODEL_ROWS), min(4, -(-chars // PART_CHARS)), 1)
+    texts = named(rows).select(*g, id_col, "grp", terms(F.col(text_col)).alias("terms"))
+    hits = packed.model_sums(texts, weights, parts)
+    if not rows.groupBy(*g, id_col).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").isEmpty():
+        hits = (hits.select(*g, id_col, F.inline("sums")).groupBy(*g, id_col, "label").agg(F.sum("s").alias("s"))
+                .groupBy(*g, id_col).agg(F.collect_list(F.struct("label", "s")).alias("sums")))
+    shared = hits.select(*g, id_col, F.get(F.filter("sums", lambda x: x["label"] == ""), F.lit(0))["s"].alias("_n"), F.map_from_entries(F.transform(
+        F.filter("sums", lambda x: x["label"] != ""), lambda x: F.struct(F.substring(x["label"], 2, 1 << 30).alias("label"), x["s"].alias("s")))).alias("_s"))
     base = rows.select(*g, id_col).join(_label_arrays(model, alpha), g)
     every = base.join(shared, [*g, id_col], "left")
     n, s = F.coalesce("_n", F.lit(0.0)), F.col("_s")

@@ -5,9 +5,10 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from inkwell.operators import langid, packed, scoring, tfidf, tuning
 from inkwell.operators import models as M
 from inkwell.operators import naive_bayes as NB
-from inkwell.operators import packed, scoring, tfidf
+from inkwell.operators.scorers import apply_scorer
 
 
 def plan(df) -> str:
@@ -68,3 +69,53 @@ def test_a_block_ends_at_its_number_of_terms():
 def test_packed_numbers_come_back():
     arrays = [np.arange(300), np.zeros(0, np.int64), np.array([0.1, -2.0]), np.array([-1, 7]), np.frombuffer(b"text", np.uint8)]
     assert [x.tolist() for x in packed.unpack(packed.pack(*arrays))] == [x.tolist() for x in arrays]
+
+
+def test_trigrams_are_counted_from_the_characters(spark):
+    docs = spark.createDataFrame([("x", " ab abمً "), ("x", " ab "), ("y", "  "), (None, "abc"), ("z", None)], "label string, s string")
+    grams = docs.withColumn("f", langid.trigrams_of_normalized(F.col("s")))
+    want = grams.select("label", F.explode("f").alias("feature")).groupBy("label", "feature").count()
+    got = packed.trigram_counts(docs, ["label"], "s").groupBy("label", "feature").agg(F.sum("c"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_a_language_model_counts_wide_characters_as_the_pattern_does(spark):
+    docs = spark.createDataFrame([("a\U0001F600b c", "en"), ("abc abd", "en"), ("xyz", "fr"), ("abc", "")], "text string, lang string")
+    d = docs.where("lang <> ''").select("lang", langid.trigrams_of_normalized(langid.normalized(F.col("text"))).alias("grams"))
+    rows = lambda m: sorted((r["feature"], r["label"], round(r["log_p"], 9)) for r in m.cond.collect())
+    got, want = langid.train(docs), NB.fit(d, "lang", "grams")
+    assert rows(got) == rows(want) and sorted(map(tuple, got.priors.collect())) == sorted(map(tuple, want.priors.collect()))
+    assert langid.train(docs).cond.where(F.length("feature") < 3).isEmpty()
+
+
+def test_tuned_models_predict_without_a_row_for_each_feature_and_label(spark, monkeypatch):
+    rows = spark.createDataFrame([("en", i, f"tea w{i % 4} tea x{i % 3}", f"l{i % 4}") for i in range(20)] + [("en", 20, "nothing known", "l1")] * 2,
+                                 "language string, doc_id long, cleaned_text string, label string")
+    model = tuning.count_model(rows.where("doc_id < 12"), ["language"])
+    c = {(r["feature"], r["label"]): r["c"] for r in model.features.collect()}
+    n = {r["label"]: r["n"] for r in model.documents.collect()}
+    total, vocab = {x: sum(v for (_, y), v in c.items() if y == x) for x in n}, {f for f, _ in c}
+
+    def best(text):
+        words = [w for w in text.split() if w in vocab]
+        s = {x: np.log(n[x] / sum(n.values())) + sum(np.log((c.get((w, x), 0) + 1) / (total[x] + len(vocab))) for w in words) for x in n}
+        return min((-round(v, 6), x) for x, v in s.items())[1]
+
+    want = {r["doc_id"]: best(r["cleaned_text"]) for r in rows.collect()}
+    for block in (1 << 20, 2):
+        monkeypatch.setattr(packed, "BLOCK", block)
+        got = tuning.predict(rows, model)
+        assert {r["doc_id"]: r["prediction"] for r in got.collect()} == want and got.count() == 22
+        assert "FlatMapCoGroupsInArrow" in plan(got)
+
+
+def test_a_topic_scorer_of_documents_fits_them_once(spark, monkeypatch):
+    docs = spark.createDataFrame(DOCS[:40], "doc_id long, cleaned_text string")
+    seeds, calls = spark.createDataFrame(SEEDS, "label string, seed_text string"), []
+    fit = scoring.own_topic_scores
+    monkeypatch.setattr(scoring, "own_topic_scores", lambda *a: calls.append(1) or fit(*a))
+    scorer, want = scoring.own_topic_scorer(docs, seeds), scoring.topic_scorer(seeds, tfidf.fit(docs, max_features=None))
+    key = lambda df: {r["doc_id"]: (r["label"], round(r["score"], 9)) for r in df.collect()}
+    for some in (docs, docs.where("doc_id < 7")):
+        assert key(apply_scorer(some, scorer)) == key(apply_scorer(some, want))
+    assert len(calls) == 1
