@@ -285,10 +285,15 @@ def topic_scorer(candidates: DataFrame, vec: tfidf.Vectorizer, temperature: floa
 def own_topic_scorer(docs: DataFrame, candidates: DataFrame, temperature: float = TOPIC_TEMPERATURE) -> FrameScorer:
     """``topic_scorer`` of a vectorizer fitted on all terms of ``docs``, for texts that are those of ``docs``.
 
-    The documents' own counts give their norms, so no vocabulary of all terms is stored and joined.
+    The documents' own counts give their norms, so no vocabulary of all terms is stored and joined. These and the
+    products with the labels are made once, however often the scorer is asked.
     """
+    fitted = []
+
     def score(rows: DataFrame) -> DataFrame:
-        found = own_topic_scores(docs, candidates, rows.withColumnRenamed("id", "doc_id"), temperature)
+        if not fitted:
+            fitted.append(own_topic_scores(docs, candidates, F.lit(True), temperature))
+        found = rows.select(F.col("id").alias("doc_id")).join(fitted[0], "doc_id")
         return found.select(F.col("doc_id").alias("id"), F.col("topic").alias("label"), F.col("topic_score").alias("score"),
                             "label_scores", "absent_score")
 

@@ -12,7 +12,7 @@ from inkwell.plans import oracle as O
 from inkwell.plans.catalog import r6, register
 from inkwell.plans.q_tfidf import cleaned_stage
 from inkwell.plans.stages import stage
-from inkwell.session import scratch_path, spread
+from inkwell.session import release, scratch_path, spread
 from inkwell.sources.classified import read_classified, write_classified
 from inkwell.sources.tables import candidate_labels, table
 
@@ -113,11 +113,13 @@ def q_topic_score_sums(spark, sf_dir):
                        r6(F.aggregate(F.map_values("m"), F.lit(0.0), lambda a, x: a + x)).alias("total"))
 
 
-def classifier(spark, sf_dir, fit_on=None):
-    """(sentiment scorer, topic scorer): learnt from the labelled documents, topics in the space of ``fit_on``."""
+def classifier(spark, sf_dir):
+    """(sentiment scorer, topic scorer) of the cleaned articles: learnt from the labelled ones, topics in the space of all.
+
+    ``classify`` gives them articles with a cleaned text, so a scored text is its article's cleaned text.
+    """
     c = _cleaned(spark, sf_dir)
-    vec = tfidf.fit(c if fit_on is None else fit_on, max_features=None)
-    return NaiveBayesScorer(sentiment_model(spark, sf_dir, c)), scoring.topic_scorer(candidate_labels(spark, sf_dir), vec)
+    return NaiveBayesScorer(sentiment_model(spark, sf_dir, c)), scoring.own_topic_scorer(c, candidate_labels(spark, sf_dir))
 
 
 #: The language that the classified table is run again for.
@@ -135,6 +137,7 @@ def q_classified_articles(spark, sf_dir):
     path = scratch_path(spark, "classified")
     languages = [r[0] for r in cleaned.select("language").distinct().collect()]
     write_classified(scoring.classify(cleaned, mood, topic), path, languages)
+    release(spark)      # what the first go shuffled does not stay on the disks during the second
     again = scoring.classify(cleaned, mood, topic, [RERUN])
     write_classified(again, path, [RERUN])
     back = read_classified(spark, path, again.schema)
